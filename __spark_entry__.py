@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle import ORACLES  # noqa: E402
-from parley.plans import conversation  # noqa: E402
+from parley.plans import config, conversation, daily, response  # noqa: E402
 from parley.sources import fixtures  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -38,6 +38,44 @@ def q_conversation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation.conversation_summary_flat(_message_events(spark, sf_dir), _working_hours(spark, sf_dir))
 
 
+def q_daily_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.daily_performance_flat(_message_events(spark, sf_dir), _working_hours(spark, sf_dir))
+
+
+def _mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.user_mapping(_events(spark, sf_dir))
+
+
+def _config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.working_hours_config(_mapping(spark, sf_dir))
+
+
+def q_adjusted_response_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hours = config.response_hours_map(_mapping(spark, sf_dir), _config(spark, sf_dir))
+    return response.adjusted_response_times(_message_events(spark, sf_dir), hours)
+
+
+def q_raw_response_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return response.raw_response_times(_message_events(spark, sf_dir))
+
+
+def q_user_working_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return config.user_working_hours(_mapping(spark, sf_dir), _config(spark, sf_dir))
+
+
+def q_user_working_hours_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return config.user_working_hours_flat(_mapping(spark, sf_dir), _config(spark, sf_dir))
+
+
+def q_working_hours_for_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests = _message_events(spark, sf_dir).where("user_id IS NOT NULL").select("user_id", "org_id").distinct()
+    return config.working_hours_for(_config(spark, sf_dir), requests)
+
+
+def q_weekday_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return config.weekday_pivot(_working_hours(spark, sf_dir))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the lifetime conversation summary on sf0.001."""
     return q_conversation_summary(spark, SMOKE_DIR)
@@ -46,6 +84,13 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "conversation_summary": q_conversation_summary,
+        "daily_performance": q_daily_performance,
+        "adjusted_response_times": q_adjusted_response_times,
+        "raw_response_times": q_raw_response_times,
+        "user_working_hours": q_user_working_hours,
+        "user_working_hours_flat": q_user_working_hours_flat,
+        "working_hours_for_users": q_working_hours_for_users,
+        "weekday_pivot": q_weekday_pivot,
     }
 
 

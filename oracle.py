@@ -168,6 +168,280 @@ LEFT JOIN by_chat b ON a.chat_id = b.chat_id AND a.user_id = b.user_id AND a.org
 """,
 )
 
+# --------------------------------------------------------------------------
+# Q2 daily performance summary (flattened analytics)
+# --------------------------------------------------------------------------
+def _q2_reply_ws() -> str:
+    s, e = slot_of("(dayofweek(r.prev_ts) + 1)")
+    return working_seconds_sql("r.prev_ts", "r.message_timestamp", s, e)
+
+
+def _q2_first_ws() -> str:
+    s, e = slot_of("(dayofweek(a.first_contact) + 1)")
+    return working_seconds_sql("a.first_contact", "a.first_agent", s, e)
+
+
+Q2 = _with(
+    MESSAGE_EVENTS,
+    WORKING_HOURS,
+    WEEK_PIVOT,
+    """
+de AS (SELECT me.*, CAST(message_timestamp AS DATE) AS activity_date FROM me),
+lagged AS (
+  SELECT de.*,
+         LAG(direction) OVER w AS prev_direction,
+         LAG(message_timestamp) OVER w AS prev_ts
+  FROM de
+  WINDOW w AS (PARTITION BY user_id, chat_id ORDER BY message_timestamp, event_id)
+),
+replies AS (
+  SELECT r.activity_date, r.user_id, r.chat_id, """ + _q2_reply_ws() + """ AS ws
+  FROM lagged r LEFT JOIN week w ON r.user_id = w.user_id AND r.org_id = w.org_id
+  WHERE r.direction = 'OUTGOING' AND r.prev_direction = 'INCOMING' AND r.prev_ts IS NOT NULL
+),
+agg AS (
+  SELECT activity_date, user_id, org_id, agent_phone_number, chat_id AS contact_id,
+         FIRST(direction ORDER BY message_timestamp, event_id) AS starter,
+         COUNT(*) FILTER (WHERE direction = 'INCOMING') AS received,
+         COUNT(*) FILTER (WHERE direction = 'OUTGOING') AS sent,
+         MIN(CASE WHEN direction = 'INCOMING' THEN message_timestamp END) AS first_contact,
+         MIN(CASE WHEN direction = 'OUTGOING' THEN message_timestamp END) AS first_agent,
+         COUNT(DISTINCT message_id) AS uniq,
+         COUNT(*) FILTER (WHERE direction = 'OUTGOING' AND prev_direction = 'OUTGOING') AS follow_ups
+  FROM lagged
+  WHERE user_id IS NOT NULL
+  GROUP BY activity_date, user_id, org_id, chat_id, agent_phone_number
+)
+SELECT a.activity_date, a.user_id, a.contact_id, a.agent_phone_number, a.org_id,
+       CASE WHEN a.starter = 'OUTGOING' THEN 'employee' ELSE 'contact' END AS conversation_starter_of_day,
+       a.sent AS agent_message_count,
+       a.received AS contact_message_count,
+       a.sent AS messages_sent,
+       a.received AS messages_received,
+       a.sent + a.received AS total_messages,
+       a.uniq AS unique_messages,
+       a.follow_ups AS number_of_follow_ups,
+       (SELECT AVG(CASE WHEN re.ws > 0 THEN re.ws END) FROM replies re
+         WHERE re.user_id = a.user_id AND re.chat_id = a.contact_id
+           AND re.activity_date = a.activity_date) AS avg_agent_response_time_seconds,
+       CASE WHEN a.first_agent > a.first_contact THEN
+         (SELECT """ + _q2_first_ws() + """ FROM week w
+           WHERE w.user_id = a.user_id AND w.org_id = a.org_id)
+       END AS time_to_first_response_seconds
+FROM agg a
+""",
+)
+
+# --------------------------------------------------------------------------
+# Relational configuration: mapping, config rows, priority resolution
+# --------------------------------------------------------------------------
+MAPPING = """
+mu AS (SELECT DISTINCT user_id FROM events),
+mapping AS (
+  SELECT user_id, user_id % 5 AS team_id, user_id % 3 AS org_id, 0 AS row_order FROM mu
+  UNION ALL
+  SELECT user_id, user_id % 5 AS team_id, user_id % 3 + 1 AS org_id, 1 AS row_order FROM mu
+  WHERE user_id % 17 = 0
+),
+first_map AS (
+  SELECT user_id, team_id, org_id FROM mapping
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY row_order, org_id, team_id) = 1
+)"""
+
+CONFIG = """
+self_users AS (SELECT DISTINCT user_id FROM mapping WHERE user_id % 6 = 0),
+cfg AS (
+  SELECT 'self' AS type, user_id AS type_id,
+         unnest(CASE WHEN user_id % 60 = 6 THEN ['monday,tuesday', 'wednesday', 'thursday', 'friday']
+                     WHEN user_id % 60 = 12 THEN ['monday', 'tuesday', 'wednesday', 'thursday', 'Friday']
+                     ELSE ['monday', 'tuesday', 'wednesday', 'thursday', 'friday'] END) AS week_day,
+         CASE WHEN user_id % 12 = 0 THEN '08:00:00' ELSE '10:00:00' END AS start_time,
+         CASE WHEN user_id % 12 = 0 THEN '16:30:00' ELSE '19:00:00' END AS end_time,
+         0 AS timezone_offset
+  FROM self_users
+  UNION ALL
+  SELECT 'self', user_id, 'monday', '07:00:00', '12:00:00', 0 FROM self_users WHERE user_id % 60 = 24
+  UNION ALL
+  SELECT 'team', team_id,
+         unnest(CASE WHEN team_id = 0 THEN ['monday', 'tuesday', 'wednesday', 'thursday', 'friday', 'saturday']
+                     ELSE ['sunday', 'monday', 'tuesday', 'wednesday', 'thursday'] END),
+         CASE WHEN team_id = 0 THEN '09:00:00' ELSE '22:00:00' END,
+         CASE WHEN team_id = 0 THEN '17:00:00' ELSE '06:00:00' END,
+         60
+  FROM (SELECT DISTINCT team_id FROM mapping WHERE team_id IN (0, 1))
+  UNION ALL
+  SELECT 'org', org_id,
+         unnest(['monday', 'tuesday', 'wednesday', 'thursday', 'friday', 'saturday', 'sunday']),
+         '06:00:00', '20:00:00', -120
+  FROM (SELECT DISTINCT org_id FROM mapping WHERE org_id = 0)
+)"""
+
+
+def resolve_sql(requests: str, user_col: str, team_col: str, org_col: str) -> str:
+    """Priority self > team > org > default for each row of ``requests``."""
+    return f"""
+req_src AS (
+  SELECT r.*,
+         TRY_CAST(regexp_extract(CAST(r.{user_col} AS VARCHAR), '^\\s*([+-]?[0-9]+)', 1) AS BIGINT) AS self_key,
+         TRY_CAST(regexp_extract(CAST(r.{team_col} AS VARCHAR), '^\\s*([+-]?[0-9]+)', 1) AS BIGINT) AS team_key,
+         TRY_CAST(regexp_extract(CAST(r.{org_col} AS VARCHAR), '^\\s*([+-]?[0-9]+)', 1) AS BIGINT) AS org_key
+  FROM {requests} r
+),
+req_src2 AS (
+  SELECT r.*,
+         CASE WHEN EXISTS (SELECT 1 FROM cfg c WHERE c.type = 'self' AND c.type_id = r.self_key) THEN 'self'
+              WHEN EXISTS (SELECT 1 FROM cfg c WHERE c.type = 'team' AND c.type_id = r.team_key) THEN 'team'
+              WHEN EXISTS (SELECT 1 FROM cfg c WHERE c.type = 'org' AND c.type_id = r.org_key) THEN 'org'
+              ELSE 'default' END AS source
+  FROM req_src r
+),
+resolved AS (
+  SELECT r.* EXCLUDE (self_key, team_key, org_key), c.week_day, c.start_time, c.end_time, c.timezone_offset
+  FROM req_src2 r JOIN cfg c
+    ON c.type = r.source
+   AND c.type_id = CASE r.source WHEN 'self' THEN r.self_key WHEN 'team' THEN r.team_key ELSE r.org_key END
+  UNION ALL
+  SELECT r.* EXCLUDE (self_key, team_key, org_key), d.week_day, '09:00:00', '18:00:00', 0
+  FROM req_src2 r
+  CROSS JOIN (VALUES ('monday'), ('tuesday'), ('wednesday'), ('thursday'), ('friday'), ('saturday'), ('sunday'))
+       AS d(week_day)
+  WHERE r.source = 'default'
+)"""
+
+
+FLAT = """
+flat AS (
+  SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(org_id AS VARCHAR) AS org_id,
+         trim(unnest(string_split(lower(week_day), ','))) AS week_day, start_time, end_time
+  FROM resolved
+)"""
+
+Q5 = _with(MAPPING, CONFIG, resolve_sql("first_map", "user_id", "team_id", "org_id"), """
+out AS (SELECT user_id, team_id, org_id, source, week_day, start_time, end_time, timezone_offset FROM resolved)
+SELECT * FROM out
+""")
+
+Q5_FLAT = _with(MAPPING, CONFIG, resolve_sql("first_map", "user_id", "team_id", "org_id"), FLAT, """
+out AS (SELECT * FROM flat)
+SELECT * FROM out
+""")
+
+Q6 = _with(MESSAGE_EVENTS, MAPPING, CONFIG, """
+requests AS (SELECT DISTINCT user_id, org_id FROM me WHERE user_id IS NOT NULL)""",
+    resolve_sql("requests", "user_id", "user_id", "org_id"), """
+out AS (
+  SELECT user_id, org_id, source, week_day, start_time, end_time,
+         CASE WHEN source <> 'default' THEN timezone_offset END AS timezone_offset
+  FROM resolved
+)
+SELECT * FROM out
+""")
+
+Q13 = _with(WORKING_HOURS, WEEK_PIVOT, """
+out AS (SELECT * FROM week)
+SELECT * FROM out
+""")
+
+
+# --------------------------------------------------------------------------
+# Q3 / Q4 per-user response times
+# --------------------------------------------------------------------------
+PAIRS = """
+rmsg AS (
+  SELECT user_id, org_id, chat_id, CAST(message_timestamp AS DATE) AS date, event_id,
+         sender_number, direction, message_timestamp
+  FROM me WHERE direction IN ('INCOMING', 'OUTGOING')
+),
+rlag AS (
+  SELECT rmsg.*,
+         LAG(direction) OVER w AS prev_direction,
+         LAG(message_timestamp) OVER w AS prev_ts
+  FROM rmsg
+  WINDOW w AS (PARTITION BY user_id, org_id, chat_id, date ORDER BY message_timestamp, event_id)
+),
+pairs AS (
+  SELECT user_id, org_id, chat_id, date, event_id, sender_number,
+         prev_ts AS in_ts, message_timestamp AS out_ts,
+         epoch_ms(prev_ts) AS in_ms, epoch_ms(message_timestamp) AS out_ms,
+         epoch_ms(message_timestamp) - epoch_ms(prev_ts) AS raw_ms
+  FROM rlag WHERE direction = 'OUTGOING' AND prev_direction = 'INCOMING'
+)"""
+
+RESPONSE_TAIL = """
+grp AS (
+  SELECT user_id, org_id, chat_id, date,
+         SUM(v) AS s, COUNT(*) AS n,
+         FIRST(sender_number ORDER BY out_ts, event_id) AS phone_number
+  FROM valued WHERE v IS NOT NULL
+  GROUP BY user_id, org_id, chat_id, date
+),
+grp_avg AS (SELECT *, (2 * s + 1000 * n) // (2000 * n) AS avg_rt FROM grp),
+out AS (
+  SELECT TRY_CAST(user_id AS BIGINT) AS user_id, TRY_CAST(org_id AS BIGINT) AS org_id, phone_number, date,
+         arg_max(avg_rt, chat_id) AS avg_response_time
+  FROM grp_avg GROUP BY user_id, org_id, phone_number, date
+)
+SELECT * FROM out
+"""
+
+Q4 = _with(MESSAGE_EVENTS, PAIRS, """
+valued AS (SELECT *, raw_ms AS v FROM pairs)""", RESPONSE_TAIL)
+
+# Pairs never cross a UTC date here (the group includes the date), so of the
+# message-level rules only the same-day cases can occur:
+#   no configuration for (user, org)          -> raw
+#   configuration but no slot that weekday    -> dropped
+#   incoming >= slot start, outgoing <= end   -> raw
+#   incoming before the start, outgoing in it -> 0
+#   anything else                             -> dropped
+SLOTS = """
+cfg_present AS (SELECT DISTINCT user_id, org_id FROM flat),
+slot_rows AS (
+  SELECT user_id, org_id,
+         list_position(['sunday', 'monday', 'tuesday', 'wednesday', 'thursday', 'friday', 'saturday'], week_day) - 1
+           AS weekday,
+         (CAST(split_part(start_time, ':', 1) AS BIGINT) * 3600
+          + CAST(split_part(start_time, ':', 2) AS BIGINT) * 60) * 1000 AS start_ms,
+         (CAST(split_part(end_time, ':', 1) AS BIGINT) * 3600
+          + CAST(split_part(end_time, ':', 2) AS BIGINT) * 60) * 1000 AS end_ms
+  FROM flat
+),
+slots AS (
+  SELECT user_id, org_id, weekday,
+         FIRST(start_ms ORDER BY start_ms, end_ms) AS start_ms,
+         FIRST(end_ms ORDER BY start_ms, end_ms) AS end_ms
+  FROM slot_rows WHERE weekday >= 0
+  GROUP BY user_id, org_id, weekday
+)"""
+
+Q3 = _with(MESSAGE_EVENTS, MAPPING, CONFIG, resolve_sql("first_map", "user_id", "team_id", "org_id"), FLAT, SLOTS, PAIRS, """
+placed AS (
+  SELECT p.*, (cp.user_id IS NOT NULL) AS configured,
+         epoch_ms(CAST(p.date AS TIMESTAMP)) + s.start_ms AS ws,
+         epoch_ms(CAST(p.date AS TIMESTAMP)) + s.end_ms
+           + CASE WHEN s.end_ms <= s.start_ms THEN 86400000 ELSE 0 END AS we,
+         s.start_ms IS NOT NULL AS has_slot
+  FROM pairs p
+  LEFT JOIN cfg_present cp ON cp.user_id = p.user_id AND cp.org_id = p.org_id
+  LEFT JOIN slots s ON s.user_id = p.user_id AND s.org_id = p.org_id AND s.weekday = dayofweek(p.in_ts)
+),
+valued AS (
+  SELECT *,
+         CASE WHEN NOT configured THEN raw_ms
+              WHEN NOT has_slot THEN NULL
+              WHEN in_ms >= ws AND out_ms <= we THEN raw_ms
+              WHEN in_ms < ws AND out_ms >= ws AND out_ms <= we THEN 0
+              ELSE NULL END AS v
+  FROM placed
+)""", RESPONSE_TAIL)
+
 ORACLES: dict[str, str] = {
     "conversation_summary": Q1,
+    "daily_performance": Q2,
+    "adjusted_response_times": Q3,
+    "raw_response_times": Q4,
+    "user_working_hours": Q5,
+    "user_working_hours_flat": Q5_FLAT,
+    "working_hours_for_users": Q6,
+    "weekday_pivot": Q13,
 }
