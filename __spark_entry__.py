@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle import ORACLES  # noqa: E402
-from parley.plans import config, conversation, daily, response  # noqa: E402
+from parley.functions.timecols import utc_timestamp_literal  # noqa: E402
+from parley.plans import config, conversation, daily, legacy, merges, response  # noqa: E402
 from parley.sources import fixtures  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -76,6 +77,51 @@ def q_weekday_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return config.weekday_pivot(_working_hours(spark, sf_dir))
 
 
+# The upsert checks start from the snapshot a run before CUTOFF produced
+# (run at RUN_TS_PREV) and merge a full run (at RUN_TS) into it.
+CUTOFF = "2024-01-20 00:00:00"
+RUN_TS_PREV = "2024-01-20 00:00:00"
+RUN_TS = "2024-01-31 00:00:00"
+
+
+def _before_cutoff(events: DataFrame) -> DataFrame:
+    return events.where(events.message_timestamp < utc_timestamp_literal(CUTOFF))
+
+
+def q_conversation_summary_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    me, wh = _message_events(spark, sf_dir), _working_hours(spark, sf_dir)
+    previous = conversation.conversation_summary(_before_cutoff(me), wh)
+    current = conversation.conversation_summary(me, wh)
+    return merges.flatten_analytics(merges.merge_conversation_summary(previous, current))
+
+
+def q_daily_performance_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    me, wh = _message_events(spark, sf_dir), _working_hours(spark, sf_dir)
+    previous = merges.daily_target_rows(daily.daily_performance(_before_cutoff(me), wh), RUN_TS_PREV)
+    current = daily.daily_performance(me, wh)
+    return merges.flatten_analytics(merges.merge_daily_performance(previous, current, RUN_TS))
+
+
+def q_legacy_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return legacy.legacy_counts(_message_events(spark, sf_dir), days=None)
+
+
+def q_legacy_counts_last_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The original merge's default window: ingestion date in [run_date - 1, run_date]."""
+    return legacy.legacy_counts(_message_events(spark, sf_dir), run_date="2024-01-30", days=1)
+
+
+def q_legacy_simple_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return legacy.legacy_simple_summary(_message_events(spark, sf_dir), days=None)
+
+
+def q_legacy_enhanced_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    me = _message_events(spark, sf_dir)
+    requests = me.where("user_id IS NOT NULL").select("user_id", "org_id").distinct()
+    hours = config.working_hours_for(_config(spark, sf_dir), requests)
+    return legacy.legacy_enhanced_summary(me, hours, days=None)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the lifetime conversation summary on sf0.001."""
     return q_conversation_summary(spark, SMOKE_DIR)
@@ -91,6 +137,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "user_working_hours_flat": q_user_working_hours_flat,
         "working_hours_for_users": q_working_hours_for_users,
         "weekday_pivot": q_weekday_pivot,
+        "conversation_summary_upsert": q_conversation_summary_upsert,
+        "daily_performance_upsert": q_daily_performance_upsert,
+        "legacy_counts": q_legacy_counts,
+        "legacy_counts_last_day": q_legacy_counts_last_day,
+        "legacy_simple_summary": q_legacy_simple_summary,
+        "legacy_enhanced_summary": q_legacy_enhanced_summary,
     }
 
 

@@ -114,29 +114,28 @@ def _q1_ws() -> str:
     return working_seconds_sql("r.prev_ts", "r.message_timestamp", s, e)
 
 
-Q1 = _with(
-    MESSAGE_EVENTS,
-    WORKING_HOURS,
-    WEEK_PIVOT,
-    """
-ev AS (SELECT * FROM me WHERE user_id IS NOT NULL),
-lagged AS (
+def q1_ctes(src: str, p: str) -> str:
+    """CTEs computing the conversation summary of message rows ``src``;
+    the result is CTE ``{p}out``."""
+    return f"""
+{p}ev AS (SELECT * FROM {src} WHERE user_id IS NOT NULL),
+{p}lagged AS (
   SELECT ev.*,
          LAG(direction) OVER w AS prev_direction,
          LAG(message_timestamp) OVER w AS prev_ts
-  FROM ev
+  FROM {p}ev ev
   WINDOW w AS (PARTITION BY chat_id ORDER BY message_timestamp, event_id)
 ),
-replies AS (
-  SELECT r.chat_id, r.user_id, r.org_id, """ + _q1_ws() + """ AS ws
-  FROM lagged r LEFT JOIN week w ON r.user_id = w.user_id AND r.org_id = w.org_id
+{p}replies AS (
+  SELECT r.chat_id, r.user_id, r.org_id, {_q1_ws()} AS ws
+  FROM {p}lagged r LEFT JOIN week w ON r.user_id = w.user_id AND r.org_id = w.org_id
   WHERE r.direction = 'OUTGOING' AND r.prev_direction = 'INCOMING'
 ),
-by_chat AS (
+{p}by_chat AS (
   SELECT chat_id, user_id, org_id, AVG(CASE WHEN ws > 0 THEN ws END) AS avg_rt
-  FROM replies GROUP BY chat_id, user_id, org_id
+  FROM {p}replies GROUP BY chat_id, user_id, org_id
 ),
-agg AS (
+{p}agg AS (
   SELECT chat_id, user_id, org_id, agent_phone_number,
          MIN(message_timestamp) AS first_ts,
          MAX(message_timestamp) AS last_ts,
@@ -146,27 +145,30 @@ agg AS (
          COUNT(*) FILTER (WHERE direction = 'OUTGOING') AS sent,
          COUNT(DISTINCT message_id) AS uniq,
          COUNT(*) FILTER (WHERE direction = 'OUTGOING' AND prev_direction = 'OUTGOING') AS follow_ups
-  FROM lagged
+  FROM {p}lagged
   GROUP BY chat_id, user_id, org_id, agent_phone_number
-)
-SELECT a.chat_id,
-       a.user_id AS uid,
-       a.org_id,
-       a.agent_phone_number AS phone_number,
-       a.sent AS messages_sent,
-       a.received AS messages_received,
-       a.sent + a.received AS total_messages,
-       a.uniq AS unique_messages,
-       a.follow_ups AS number_of_follow_ups,
-       COALESCE(b.avg_rt, 0.0) AS average_response_time,
-       CASE WHEN a.starter = 'OUTGOING' THEN 'employee' ELSE 'contact' END AS conversation_starter,
-       CASE WHEN a.last_dir = 'OUTGOING' THEN 'employee' ELSE 'contact' END AS last_message_from,
-       a.first_ts AS created_at,
-       a.last_ts AS updated_at
-FROM agg a
-LEFT JOIN by_chat b ON a.chat_id = b.chat_id AND a.user_id = b.user_id AND a.org_id = b.org_id
-""",
-)
+),
+{p}out AS (
+  SELECT a.chat_id,
+         a.user_id AS uid,
+         a.org_id,
+         a.agent_phone_number AS phone_number,
+         a.sent AS messages_sent,
+         a.received AS messages_received,
+         a.sent + a.received AS total_messages,
+         a.uniq AS unique_messages,
+         a.follow_ups AS number_of_follow_ups,
+         COALESCE(b.avg_rt, 0.0) AS average_response_time,
+         CASE WHEN a.starter = 'OUTGOING' THEN 'employee' ELSE 'contact' END AS conversation_starter,
+         CASE WHEN a.last_dir = 'OUTGOING' THEN 'employee' ELSE 'contact' END AS last_message_from,
+         a.first_ts AS created_at,
+         a.last_ts AS updated_at
+  FROM {p}agg a
+  LEFT JOIN {p}by_chat b ON a.chat_id = b.chat_id AND a.user_id = b.user_id AND a.org_id = b.org_id
+)"""
+
+
+Q1 = _with(MESSAGE_EVENTS, WORKING_HOURS, WEEK_PIVOT, q1_ctes("me", "q1_")) + "\nSELECT * FROM q1_out\n"
 
 # --------------------------------------------------------------------------
 # Q2 daily performance summary (flattened analytics)
@@ -181,25 +183,24 @@ def _q2_first_ws() -> str:
     return working_seconds_sql("a.first_contact", "a.first_agent", s, e)
 
 
-Q2 = _with(
-    MESSAGE_EVENTS,
-    WORKING_HOURS,
-    WEEK_PIVOT,
-    """
-de AS (SELECT me.*, CAST(message_timestamp AS DATE) AS activity_date FROM me),
-lagged AS (
+def q2_ctes(src: str, p: str) -> str:
+    """CTEs computing the daily performance rows of message rows ``src``;
+    the result is CTE ``{p}out``."""
+    return f"""
+{p}de AS (SELECT m.*, CAST(message_timestamp AS DATE) AS activity_date FROM {src} m),
+{p}lagged AS (
   SELECT de.*,
          LAG(direction) OVER w AS prev_direction,
          LAG(message_timestamp) OVER w AS prev_ts
-  FROM de
+  FROM {p}de de
   WINDOW w AS (PARTITION BY user_id, chat_id ORDER BY message_timestamp, event_id)
 ),
-replies AS (
-  SELECT r.activity_date, r.user_id, r.chat_id, """ + _q2_reply_ws() + """ AS ws
-  FROM lagged r LEFT JOIN week w ON r.user_id = w.user_id AND r.org_id = w.org_id
+{p}replies AS (
+  SELECT r.activity_date, r.user_id, r.chat_id, {_q2_reply_ws()} AS ws
+  FROM {p}lagged r LEFT JOIN week w ON r.user_id = w.user_id AND r.org_id = w.org_id
   WHERE r.direction = 'OUTGOING' AND r.prev_direction = 'INCOMING' AND r.prev_ts IS NOT NULL
 ),
-agg AS (
+{p}agg AS (
   SELECT activity_date, user_id, org_id, agent_phone_number, chat_id AS contact_id,
          FIRST(direction ORDER BY message_timestamp, event_id) AS starter,
          COUNT(*) FILTER (WHERE direction = 'INCOMING') AS received,
@@ -208,29 +209,32 @@ agg AS (
          MIN(CASE WHEN direction = 'OUTGOING' THEN message_timestamp END) AS first_agent,
          COUNT(DISTINCT message_id) AS uniq,
          COUNT(*) FILTER (WHERE direction = 'OUTGOING' AND prev_direction = 'OUTGOING') AS follow_ups
-  FROM lagged
+  FROM {p}lagged
   WHERE user_id IS NOT NULL
   GROUP BY activity_date, user_id, org_id, chat_id, agent_phone_number
-)
-SELECT a.activity_date, a.user_id, a.contact_id, a.agent_phone_number, a.org_id,
-       CASE WHEN a.starter = 'OUTGOING' THEN 'employee' ELSE 'contact' END AS conversation_starter_of_day,
-       a.sent AS agent_message_count,
-       a.received AS contact_message_count,
-       a.sent AS messages_sent,
-       a.received AS messages_received,
-       a.sent + a.received AS total_messages,
-       a.uniq AS unique_messages,
-       a.follow_ups AS number_of_follow_ups,
-       (SELECT AVG(CASE WHEN re.ws > 0 THEN re.ws END) FROM replies re
-         WHERE re.user_id = a.user_id AND re.chat_id = a.contact_id
-           AND re.activity_date = a.activity_date) AS avg_agent_response_time_seconds,
-       CASE WHEN a.first_agent > a.first_contact THEN
-         (SELECT """ + _q2_first_ws() + """ FROM week w
-           WHERE w.user_id = a.user_id AND w.org_id = a.org_id)
-       END AS time_to_first_response_seconds
-FROM agg a
-""",
-)
+),
+{p}out AS (
+  SELECT a.activity_date, a.user_id, a.contact_id, a.agent_phone_number, a.org_id,
+         CASE WHEN a.starter = 'OUTGOING' THEN 'employee' ELSE 'contact' END AS conversation_starter_of_day,
+         a.sent AS agent_message_count,
+         a.received AS contact_message_count,
+         a.sent AS messages_sent,
+         a.received AS messages_received,
+         a.sent + a.received AS total_messages,
+         a.uniq AS unique_messages,
+         a.follow_ups AS number_of_follow_ups,
+         (SELECT AVG(CASE WHEN re.ws > 0 THEN re.ws END) FROM {p}replies re
+           WHERE re.user_id = a.user_id AND re.chat_id = a.contact_id
+             AND re.activity_date = a.activity_date) AS avg_agent_response_time_seconds,
+         CASE WHEN a.first_agent > a.first_contact THEN
+           (SELECT {_q2_first_ws()} FROM week w
+             WHERE w.user_id = a.user_id AND w.org_id = a.org_id)
+         END AS time_to_first_response_seconds
+  FROM {p}agg a
+)"""
+
+
+Q2 = _with(MESSAGE_EVENTS, WORKING_HOURS, WEEK_PIVOT, q2_ctes("me", "q2_")) + "\nSELECT * FROM q2_out\n"
 
 # --------------------------------------------------------------------------
 # Relational configuration: mapping, config rows, priority resolution
@@ -435,6 +439,164 @@ valued AS (
   FROM placed
 )""", RESPONSE_TAIL)
 
+# --------------------------------------------------------------------------
+# Upserts (Q11, Q12): previous snapshot = the rows a run before the cutoff
+# produced; the merge applies the full run on top of it.
+# --------------------------------------------------------------------------
+CUTOFF = "TIMESTAMP '2024-01-20 00:00:00'"
+RUN_TS_PREV = "TIMESTAMP '2024-01-20 00:00:00'"
+RUN_TS = "TIMESTAMP '2024-01-31 00:00:00'"
+
+ME_PREV = f"""
+me_prev AS (SELECT * FROM me WHERE message_timestamp < {CUTOFF})"""
+
+
+def merge_sql(target: str, source: str, keys, columns) -> str:
+    """A ``merged`` CTE: MERGE of ``source`` into ``target``.  ``keys`` are
+    (target key, source expr, null-safe); ``columns`` are (name, update
+    expression or None to keep, insert expression)."""
+    on = " AND ".join(
+        (f"t.{tk} IS NOT DISTINCT FROM {sk}" if ns else f"t.{tk} = {sk}") for tk, sk, ns in keys
+    )
+    sel = ",\n    ".join(
+        f"CASE WHEN t.t_present AND s.s_present THEN {upd or 't.' + name} "
+        f"WHEN t.t_present IS NULL THEN {ins} ELSE t.{name} END AS {name}"
+        for name, upd, ins in columns
+    )
+    return f"""
+merged AS (
+  SELECT
+    {sel}
+  FROM (SELECT *, TRUE AS t_present FROM {target}) t
+  FULL OUTER JOIN (SELECT *, TRUE AS s_present FROM {source}) s ON {on}
+)"""
+
+
+_ANALYTICS = ["messages_sent", "messages_received", "total_messages", "unique_messages", "number_of_follow_ups"]
+
+Q11 = _with(
+    MESSAGE_EVENTS, WORKING_HOURS, WEEK_PIVOT, ME_PREV,
+    q1_ctes("me_prev", "p_"), q1_ctes("me", "c_"),
+    merge_sql(
+        "p_out", "c_out",
+        [("uid", "s.uid", True), ("org_id", "s.org_id", True), ("chat_id", "s.chat_id", True),
+         ("phone_number", "s.phone_number", True)],
+        [("uid", None, "s.uid"), ("org_id", "s.org_id", "s.org_id"), ("chat_id", None, "s.chat_id"),
+         ("phone_number", None, "s.phone_number")]
+        + [(c, f"s.{c}", f"s.{c}") for c in _ANALYTICS]
+        + [(c, f"s.{c}", f"s.{c}") for c in ["average_response_time", "conversation_starter", "last_message_from",
+                                             "updated_at"]]
+        + [("created_at", None, "s.created_at")],
+    ),
+) + "\nSELECT * FROM merged\n"
+
+Q12 = _with(
+    MESSAGE_EVENTS, WORKING_HOURS, WEEK_PIVOT, ME_PREV,
+    q2_ctes("me_prev", "p_"), q2_ctes("me", "c_"),
+    f"""
+prev_target AS (
+  SELECT activity_date, user_id, agent_phone_number AS user_number, contact_id,
+         TRY_CAST(org_id AS BIGINT) AS org_id, conversation_starter_of_day,
+         agent_message_count, contact_message_count, avg_agent_response_time_seconds,
+         time_to_first_response_seconds, {RUN_TS_PREV} AS created_at, {RUN_TS_PREV} AS updated_at,
+         messages_sent, messages_received, total_messages, unique_messages, number_of_follow_ups
+  FROM p_out
+)""",
+    merge_sql(
+        "prev_target", "c_out",
+        [("activity_date", "s.activity_date", True), ("user_id", "s.user_id", True),
+         ("org_id", "TRY_CAST(s.org_id AS BIGINT)", True), ("contact_id", "s.contact_id", True),
+         ("user_number", "s.agent_phone_number", True)],
+        [("activity_date", None, "s.activity_date"), ("user_id", None, "s.user_id"),
+         ("user_number", None, "s.agent_phone_number"), ("contact_id", None, "s.contact_id"),
+         ("org_id", "TRY_CAST(s.org_id AS BIGINT)", "TRY_CAST(s.org_id AS BIGINT)")]
+        + [(c, f"s.{c}", f"s.{c}") for c in ["conversation_starter_of_day", "agent_message_count",
+                                             "contact_message_count", "avg_agent_response_time_seconds",
+                                             "time_to_first_response_seconds"]]
+        + [("created_at", None, RUN_TS), ("updated_at", RUN_TS, RUN_TS)]
+        + [(c, f"s.{c}", f"s.{c}") for c in _ANALYTICS],
+    ),
+) + "\nSELECT * FROM merged\n"
+
+
+# --------------------------------------------------------------------------
+# Legacy per-day summaries (Q7 - Q9)
+# --------------------------------------------------------------------------
+def legacy_daily(window: str = "") -> str:
+    where = f"WHERE {window}" if window else ""
+    return f"""
+ld AS (SELECT me.*, CAST(message_timestamp AS DATE) AS date FROM me {where})"""
+
+
+LAST_DAY = "CAST(ingestion_timestamp AS DATE) BETWEEN DATE '2024-01-29' AND DATE '2024-01-30'"
+
+_Q7_SELECT = """
+SELECT user_id, org_id, date, sender_number,
+       COUNT(*) FILTER (WHERE direction = 'OUTGOING') AS total_sent,
+       COUNT(*) FILTER (WHERE direction = 'INCOMING') AS total_received,
+       COUNT(DISTINCT message_id) AS unique_messages
+FROM ld GROUP BY user_id, org_id, date, sender_number
+"""
+
+Q7 = _with(MESSAGE_EVENTS, legacy_daily()) + _Q7_SELECT
+Q7_LAST_DAY = _with(MESSAGE_EVENTS, legacy_daily(LAST_DAY)) + _Q7_SELECT
+
+Q8 = _with(MESSAGE_EVENTS, legacy_daily()) + """
+SELECT user_id, org_id, date, sender_number,
+       COUNT(*) FILTER (WHERE direction = 'OUTGOING') AS messages_sent,
+       COUNT(*) FILTER (WHERE direction = 'INCOMING') AS messages_received,
+       COUNT(DISTINCT message_id) AS unique_messages,
+       COUNT(*) AS total_messages,
+       CAST(0 AS BIGINT) AS number_of_follow_ups,
+       'INCOMING' AS conversation_starter,
+       'OUTGOING' AS last_message_from,
+       MIN(message_timestamp) AS earliest_message,
+       MAX(message_timestamp) AS latest_message,
+       0.0 AS average_response_time
+FROM ld GROUP BY user_id, org_id, date, sender_number
+"""
+
+_CLOCK_US = "((CAST(split_part({x}, ':', 1) AS BIGINT) * 3600 + CAST(split_part({x}, ':', 2) AS BIGINT) * 60" \
+            " + COALESCE(TRY_CAST(split_part({x}, ':', 3) AS BIGINT), 0)) * 1000000)"
+
+Q9 = _with(
+    MESSAGE_EVENTS, MAPPING, CONFIG,
+    """
+requests AS (SELECT DISTINCT user_id, org_id FROM me WHERE user_id IS NOT NULL)""",
+    resolve_sql("requests", "user_id", "user_id", "org_id"),
+    legacy_daily(),
+    """
+hours AS (
+  SELECT user_id, org_id, lower(week_day) AS wd,
+         """ + _CLOCK_US.format(x="start_time") + """ AS s,
+         """ + _CLOCK_US.format(x="end_time") + """ AS e
+  FROM resolved
+),
+flagged AS (
+  SELECT ld.*,
+         direction = 'OUTGOING' AND EXISTS (
+           SELECT 1 FROM hours h
+           WHERE h.user_id = ld.user_id AND h.org_id = ld.org_id
+             AND h.wd = lower(dayname(ld.message_timestamp))
+             AND epoch_us(ld.message_timestamp) % 86400000000 BETWEEN h.s AND h.e) AS counted
+  FROM ld
+)
+SELECT user_id, org_id, date, sender_number,
+       COUNT(*) FILTER (WHERE direction = 'OUTGOING') AS messages_sent,
+       COUNT(*) FILTER (WHERE direction = 'INCOMING') AS messages_received,
+       COUNT(DISTINCT message_id) AS unique_messages,
+       COUNT(*) AS total_messages,
+       COUNT(*) FILTER (WHERE direction = 'OUTGOING') AS number_of_follow_ups,
+       FIRST(direction ORDER BY message_timestamp, event_id) AS conversation_starter,
+       FIRST(direction ORDER BY message_timestamp DESC, event_id DESC) AS last_message_from,
+       MIN(message_timestamp) AS earliest_message,
+       MAX(message_timestamp) AS latest_message,
+       CASE WHEN user_id IS NOT NULL AND org_id IS NOT NULL AND sender_number IS NOT NULL
+            THEN COALESCE(AVG(CASE WHEN counted THEN 300 END), 0.0) ELSE 0.0 END AS average_response_time
+FROM flagged GROUP BY user_id, org_id, date, sender_number
+""",
+)
+
 ORACLES: dict[str, str] = {
     "conversation_summary": Q1,
     "daily_performance": Q2,
@@ -444,4 +606,10 @@ ORACLES: dict[str, str] = {
     "user_working_hours_flat": Q5_FLAT,
     "working_hours_for_users": Q6,
     "weekday_pivot": Q13,
+    "conversation_summary_upsert": Q11,
+    "daily_performance_upsert": Q12,
+    "legacy_counts": Q7,
+    "legacy_counts_last_day": Q7_LAST_DAY,
+    "legacy_simple_summary": Q8,
+    "legacy_enhanced_summary": Q9,
 }

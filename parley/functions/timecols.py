@@ -107,3 +107,19 @@ def leading_int(x: Column | str) -> Column:
     when there are none (NaN matches nothing, and neither does NULL)."""
     digits = F.regexp_extract(_c(x).cast("string"), r"^\s*([+-]?[0-9]+)", 1)
     return digits.try_cast("long")
+
+
+def utc_timestamp_literal(value) -> Column:
+    """A TIMESTAMP literal for a UTC wall-clock value ('YYYY-MM-DD[ HH:MM:SS]'
+    or a datetime; naive values are read as UTC), independent of the session
+    time zone."""
+    import datetime as dt
+
+    if isinstance(value, str):
+        value = dt.datetime.fromisoformat(value)
+    if isinstance(value, dt.date) and not isinstance(value, dt.datetime):
+        value = dt.datetime(value.year, value.month, value.day)
+    if value.tzinfo is None:
+        value = value.replace(tzinfo=dt.timezone.utc)
+    micros = int(round(value.timestamp() * 1_000_000))
+    return F.timestamp_micros(F.lit(micros))
