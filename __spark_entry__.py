@@ -12,12 +12,13 @@ import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle import ORACLES  # noqa: E402
 from parley.functions.timecols import utc_timestamp_literal  # noqa: E402
-from parley.plans import config, conversation, daily, legacy, merges, response  # noqa: E402
+from parley.plans import config, conversation, daily, legacy, merges, reads, report, response  # noqa: E402
 from parley.sources import fixtures  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -122,6 +123,28 @@ def q_legacy_enhanced_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return legacy.legacy_enhanced_summary(me, hours, days=None)
 
 
+def _response_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return config.response_hours_map(_mapping(spark, sf_dir), _config(spark, sf_dir))
+
+
+def q_user_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = report.user_report(_message_events(spark, sf_dir), _response_hours(spark, sf_dir), days=None)
+    return out.withColumn("phone_numbers", F.concat_ws(",", "phone_numbers"))
+
+
+def q_message_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    msgs = report._user_messages(_message_events(spark, sf_dir))
+    return report.message_distribution(msgs)
+
+
+def q_ordered_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reads.ordered_messages(_message_events(spark, sf_dir), days=None)
+
+
+def q_next_working_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reads.next_working_periods(_message_events(spark, sf_dir), _response_hours(spark, sf_dir))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the lifetime conversation summary on sf0.001."""
     return q_conversation_summary(spark, SMOKE_DIR)
@@ -143,6 +166,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "legacy_counts_last_day": q_legacy_counts_last_day,
         "legacy_simple_summary": q_legacy_simple_summary,
         "legacy_enhanced_summary": q_legacy_enhanced_summary,
+        "user_report": q_user_report,
+        "message_distribution": q_message_distribution,
+        "ordered_messages": q_ordered_messages,
+        "next_working_periods": q_next_working_periods,
     }
 
 

@@ -597,6 +597,142 @@ FROM flagged GROUP BY user_id, org_id, date, sender_number
 """,
 )
 
+# --------------------------------------------------------------------------
+# Q10 per-user report, Q14 ordered read, Q15 next working period / day
+# --------------------------------------------------------------------------
+Q3_VALUED = """
+placed AS (
+  SELECT p.*, (cp.user_id IS NOT NULL) AS configured,
+         epoch_ms(CAST(p.date AS TIMESTAMP)) + s.start_ms AS ws,
+         epoch_ms(CAST(p.date AS TIMESTAMP)) + s.end_ms
+           + CASE WHEN s.end_ms <= s.start_ms THEN 86400000 ELSE 0 END AS we,
+         s.start_ms IS NOT NULL AS has_slot
+  FROM pairs p
+  LEFT JOIN cfg_present cp ON cp.user_id = p.user_id AND cp.org_id = p.org_id
+  LEFT JOIN slots s ON s.user_id = p.user_id AND s.org_id = p.org_id AND s.weekday = dayofweek(p.in_ts)
+),
+valued AS (
+  SELECT *,
+         CASE WHEN NOT configured THEN raw_ms
+              WHEN NOT has_slot THEN NULL
+              WHEN in_ms >= ws AND out_ms <= we THEN raw_ms
+              WHEN in_ms < ws AND out_ms >= ws AND out_ms <= we THEN 0
+              ELSE NULL END AS v
+  FROM placed
+)"""
+
+RECORDS = """
+grp AS (
+  SELECT user_id, org_id, chat_id, date,
+         SUM(v) AS s, COUNT(*) AS n,
+         FIRST(sender_number ORDER BY out_ts, event_id) AS phone_number
+  FROM valued WHERE v IS NOT NULL
+  GROUP BY user_id, org_id, chat_id, date
+),
+grp_avg AS (SELECT *, (2 * s + 1000 * n) // (2000 * n) AS avg_rt FROM grp),
+records AS (
+  SELECT TRY_CAST(user_id AS BIGINT) AS user_id, TRY_CAST(org_id AS BIGINT) AS org_id, phone_number, date,
+         arg_max(avg_rt, chat_id) AS avg_response_time
+  FROM grp_avg GROUP BY user_id, org_id, phone_number, date
+)"""
+
+Q10 = _with(
+    MESSAGE_EVENTS, MAPPING, CONFIG, resolve_sql("first_map", "user_id", "team_id", "org_id"), FLAT, SLOTS, PAIRS,
+    Q3_VALUED, RECORDS, """
+um AS (SELECT me.*, CAST(message_timestamp AS DATE) AS date FROM me WHERE user_id IS NOT NULL),
+stats AS (
+  SELECT user_id,
+         COUNT(*) AS message_count,
+         COUNT(*) FILTER (WHERE direction = 'INCOMING') AS incoming_messages,
+         COUNT(*) FILTER (WHERE direction = 'OUTGOING') AS outgoing_messages,
+         COUNT(DISTINCT chat_id) AS unique_chats,
+         COUNT(DISTINCT sender_number) + MAX(CASE WHEN sender_number IS NULL THEN 1 ELSE 0 END)
+           AS unique_phone_numbers,
+         COUNT(DISTINCT (org_id, chat_id, date)) AS conversation_groups
+  FROM um GROUP BY user_id
+),
+counters AS (
+  SELECT user_id, COUNT(*) AS response_pairs,
+         COUNT(*) FILTER (WHERE configured AND v IS NOT NULL) AS hours_adjusted_pairs
+  FROM valued WHERE user_id IS NOT NULL GROUP BY user_id
+),
+summary AS (
+  SELECT user_id,
+         (2 * SUM(avg_response_time) + COUNT(*)) // (2 * COUNT(*)) AS avg_response_time,
+         MIN(avg_response_time) AS min_response_time,
+         MAX(avg_response_time) AS max_response_time,
+         COUNT(*) AS total_records,
+         string_agg(DISTINCT phone_number, ',' ORDER BY phone_number) AS phone_numbers,
+         CAST(MIN(date) AS VARCHAR) || ' to ' || CAST(MAX(date) AS VARCHAR) AS date_range
+  FROM records GROUP BY user_id
+)
+SELECT st.user_id, st.message_count, st.incoming_messages, st.outgoing_messages, st.unique_chats,
+       st.unique_phone_numbers, st.conversation_groups,
+       COALESCE(c.response_pairs, 0) AS response_pairs,
+       COALESCE(c.hours_adjusted_pairs, 0) AS hours_adjusted_pairs,
+       COALESCE(sm.total_records, 0) AS total_records,
+       COALESCE(sm.avg_response_time, 0) AS avg_response_time,
+       COALESCE(sm.min_response_time, 0) AS min_response_time,
+       COALESCE(sm.max_response_time, 0) AS max_response_time,
+       COALESCE(sm.phone_numbers, '') AS phone_numbers,
+       COALESCE(sm.date_range, 'No data') AS date_range
+FROM stats st
+LEFT JOIN counters c ON c.user_id = st.user_id
+LEFT JOIN summary sm ON sm.user_id = TRY_CAST(st.user_id AS BIGINT)
+""")
+
+Q10_DIST = _with(MESSAGE_EVENTS, """
+um AS (SELECT me.*, CAST(message_timestamp AS DATE) AS date FROM me WHERE user_id IS NOT NULL)""") + """
+SELECT user_id, 'date' AS kind, CAST(date AS VARCHAR) AS key, COUNT(*) AS messages FROM um GROUP BY user_id, date
+UNION ALL
+SELECT user_id, 'direction', direction, COUNT(*) FROM um GROUP BY user_id, direction
+"""
+
+Q14 = _with(MESSAGE_EVENTS) + "\nSELECT * FROM me\n"
+
+Q15 = _with(MESSAGE_EVENTS, MAPPING, CONFIG, resolve_sql("first_map", "user_id", "team_id", "org_id"), FLAT, SLOTS, """
+msg AS (
+  SELECT event_id, user_id, org_id, message_timestamp,
+         epoch_ms(message_timestamp) AS t,
+         dayofweek(message_timestamp) AS d,
+         epoch_ms(CAST(CAST(message_timestamp AS DATE) AS TIMESTAMP)) AS day0
+  FROM me
+),
+today AS (
+  SELECT m.event_id, m.day0 + s.start_ms AS ps,
+         m.day0 + s.end_ms + CASE WHEN s.end_ms <= s.start_ms THEN 86400000 ELSE 0 END AS pe,
+         m.d AS pd
+  FROM msg m JOIN slots s ON s.user_id = m.user_id AND s.org_id = m.org_id AND s.weekday = m.d
+),
+ahead AS (
+  SELECT m.event_id, MIN(i.i) AS i
+  FROM msg m
+  CROSS JOIN (SELECT range AS i FROM range(1, 8)) i
+  JOIN slots s ON s.user_id = m.user_id AND s.org_id = m.org_id AND s.weekday = (m.d + i.i) % 7
+  GROUP BY m.event_id
+),
+nextday AS (
+  SELECT m.event_id,
+         m.day0 + a.i * 86400000 + s.start_ms AS ns,
+         m.day0 + a.i * 86400000 + s.end_ms + CASE WHEN s.end_ms <= s.start_ms THEN 86400000 ELSE 0 END AS ne,
+         (m.d + a.i) % 7 AS nd
+  FROM msg m JOIN ahead a ON a.event_id = m.event_id
+  JOIN slots s ON s.user_id = m.user_id AND s.org_id = m.org_id AND s.weekday = (m.d + a.i) % 7
+),
+names AS (SELECT ['sunday', 'monday', 'tuesday', 'wednesday', 'thursday', 'friday', 'saturday'] AS n)
+SELECT m.event_id, m.user_id, m.org_id, m.message_timestamp,
+       epoch_ms(CASE WHEN td.event_id IS NOT NULL AND m.t < td.pe THEN td.ps ELSE nx.ns END) AS period_start,
+       epoch_ms(CASE WHEN td.event_id IS NOT NULL AND m.t < td.pe THEN td.pe ELSE nx.ne END) AS period_end,
+       (SELECT n FROM names)[(CASE WHEN td.event_id IS NOT NULL AND m.t < td.pe THEN td.pd ELSE nx.nd END) + 1]
+         AS period_day,
+       epoch_ms(nx.ns) AS next_day_start,
+       epoch_ms(nx.ne) AS next_day_end,
+       (SELECT n FROM names)[nx.nd + 1] AS next_day
+FROM msg m
+LEFT JOIN today td ON td.event_id = m.event_id
+LEFT JOIN nextday nx ON nx.event_id = m.event_id
+""")
+
 ORACLES: dict[str, str] = {
     "conversation_summary": Q1,
     "daily_performance": Q2,
@@ -612,4 +748,8 @@ ORACLES: dict[str, str] = {
     "legacy_counts_last_day": Q7_LAST_DAY,
     "legacy_simple_summary": Q8,
     "legacy_enhanced_summary": Q9,
+    "user_report": Q10,
+    "message_distribution": Q10_DIST,
+    "ordered_messages": Q14,
+    "next_working_periods": Q15,
 }
