@@ -16,7 +16,7 @@ Weekly slot maps used by the message-level rules have the shape
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .timecols import (
@@ -116,23 +116,56 @@ def slot_length_ms(slot: Column) -> Column:
     return F.when(length < 0, length + MS_PER_DAY).otherwise(length)
 
 
-def _full_days_between(hours: Column, first_day: Column, n: Column) -> Column:
-    """Sum of slot lengths for weekdays first_day+1 .. first_day+n (mod 7),
-    n in 0..6; weekdays without a slot add nothing."""
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(6)),
-        F.lit(0).cast("long"),
-        lambda acc, i: acc
-        + F.when(
-            i <= n,
-            F.coalesce(slot_length_ms(hours[F.pmod(first_day + i, F.lit(7))]), F.lit(0).cast("long")),
-        ).otherwise(F.lit(0).cast("long")),
-    )
-
+def with_calendar(df: DataFrame, hours: str = "hours") -> DataFrame:
+    """Add the per-calendar lookup arrays used by the message-level rules,
+    derived once from the weekly slot map ``hours`` (so per-message work is
+    two array reads instead of a walk over weekdays):
 
-def adjusted_response_ms(incoming: Column, outgoing: Column, hours: Column) -> Column:
-    """Working-hours adjusted reply time in milliseconds, NULL when the pair is
-    filtered out.  ``hours`` is a weekly slot map (see module doc).
+    * ``walk_prefix`` ARRAY<BIGINT>[15]: prefix sums of slot lengths over two
+      weeks, entry j = sum of lengths of weekdays 0 .. j-1 (mod 7); weekdays
+      without a slot add 0.
+    * ``next_offset`` ARRAY<INT>[7]: for weekday d, the number of days (1..7)
+      to the next weekday that has a slot; NULL when the map has none.
+    """
+    h = F.col(hours)
+    zero = F.lit(0).cast("long")
+    lens = [f"_len{k}" for k in range(7)]
+    has = [f"_has{k}" for k in range(7)]
+    d = df.select(
+        "*",
+        *[F.coalesce(slot_length_ms(h[F.lit(k)]), zero).alias(lens[k]) for k in range(7)],
+        *[h[F.lit(k)].isNotNull().alias(has[k]) for k in range(7)],
+    )
+    prefix = []
+    acc = zero
+    for j in range(15):
+        prefix.append(acc)
+        acc = acc + F.col(lens[j % 7])
+    offsets = [
+        F.coalesce(*[F.when(F.col(has[(day + i) % 7]), F.lit(i)) for i in range(1, 8)]) for day in range(7)
+    ]
+    return d.select(
+        "*", F.array(*prefix).alias("walk_prefix"), F.array(*offsets).alias("next_offset")
+    ).drop(*lens, *has)
+
+
+def _days_between(walk_prefix: Column, d_in: Column, n: Column) -> Column:
+    """Sum of slot lengths of the weekdays strictly between d_in and
+    d_in + n (n >= 1): prefix[d_in + n] - prefix[d_in + 1]."""
+    return F.get(walk_prefix, d_in + n) - F.get(walk_prefix, d_in + 1)
+
+
+def with_adjusted_response_ms(
+    df: DataFrame,
+    incoming: str,
+    outgoing: str,
+    hours: str = "hours",
+    name: str = "adjusted_ms",
+    walk_prefix: str = "walk_prefix",
+) -> DataFrame:
+    """Add ``name``: the working-hours adjusted reply time in milliseconds, NULL
+    when the pair is filtered out.  ``hours`` names a weekly slot map column
+    (see module doc) and ``walk_prefix`` its prefix array (``with_calendar``).
 
     Cases, evaluated in order (ws/we = the incoming weekday's slot placed on
     the incoming date, os/oe = the outgoing weekday's slot on the outgoing
@@ -154,40 +187,69 @@ def adjusted_response_ms(incoming: Column, outgoing: Column, hours: Column) -> C
     walk = full days strictly between + (out - os) when the weekdays differ,
     0 on the same weekday (so a message before opening answered inside the
     slot on the same day counts 0).  Walk and case 5 are floored at 0.
+
+    Intermediate values are separate projections, so each is computed once
+    and every generated method stays small.
     """
-    in_ms = epoch_ms(incoming)
-    out_ms = epoch_ms(outgoing)
-    in_day = in_ms - F.pmod(in_ms, F.lit(MS_PER_DAY))
-    out_day = out_ms - F.pmod(out_ms, F.lit(MS_PER_DAY))
-    d_in = F.pmod((in_day / MS_PER_DAY).cast("long") + 4, F.lit(7)).cast("int")
-    d_out = F.pmod((out_day / MS_PER_DAY).cast("long") + 4, F.lit(7)).cast("int")
-    s_in = hours[d_in]
-    s_out = hours[d_out]
-    ws, we = _placed(in_day, s_in)
-    os_, oe = _placed(out_day, s_out)
-    raw = out_ms - in_ms
-    n = F.pmod(d_out - d_in, F.lit(7))
-    has_in = s_in.isNotNull()
-    has_out = s_out.isNotNull()
+    h = F.col(hours)
+    tmp = ["_in_ms", "_out_ms", "_in_day", "_out_day", "_d_in", "_d_out", "_s_in", "_s_out", "_n",
+           "_ws", "_we", "_os", "_oe", "_between"]
+    d = df.select("*", epoch_ms(incoming).alias("_in_ms"), epoch_ms(outgoing).alias("_out_ms"))
+    d = d.select(
+        "*",
+        (F.col("_in_ms") - F.pmod("_in_ms", F.lit(MS_PER_DAY))).alias("_in_day"),
+        (F.col("_out_ms") - F.pmod("_out_ms", F.lit(MS_PER_DAY))).alias("_out_day"),
+    )
+    d = d.select(
+        "*",
+        _weekday_of_day_ms(F.col("_in_day")).alias("_d_in"),
+        _weekday_of_day_ms(F.col("_out_day")).alias("_d_out"),
+    )
+    d = d.select(
+        "*",
+        h[F.col("_d_in")].alias("_s_in"),
+        h[F.col("_d_out")].alias("_s_out"),
+        F.pmod(F.col("_d_out") - F.col("_d_in"), F.lit(7)).alias("_n"),
+    )
+    ws, we = _placed(F.col("_in_day"), F.col("_s_in"))
+    os_, oe = _placed(F.col("_out_day"), F.col("_s_out"))
+    d = d.select(
+        "*",
+        ws.alias("_ws"), we.alias("_we"), os_.alias("_os"), oe.alias("_oe"),
+        F.when(F.col("_n") >= 1, _days_between(F.col(walk_prefix), F.col("_d_in"), F.col("_n")))
+        .otherwise(F.lit(0).cast("long"))
+        .alias("_between"),
+    )
+    in_ms, out_ms = F.col("_in_ms"), F.col("_out_ms")
+    ws, we, os_, oe, n = F.col("_ws"), F.col("_we"), F.col("_os"), F.col("_oe"), F.col("_n")
+    has_in = F.col("_s_in").isNotNull()
+    has_out = F.col("_s_out").isNotNull()
     out_inside = (out_ms >= os_) & (out_ms <= oe)
     in_inside = (in_ms >= ws) & (in_ms <= we)
-    between = _full_days_between(hours, d_in, n - 1)
-    walk = F.when(n == 0, F.lit(0).cast("long")).otherwise(between + (out_ms - os_))
+    other_day = F.col("_d_in") != F.col("_d_out")
     zero = F.lit(0).cast("long")
     null = F.lit(None).cast("long")
-    return (
+    walk = F.when(n == 0, zero).otherwise(F.col("_between") + (out_ms - os_))
+    value = (
         F.when(~has_in & ~has_out, null)
         .when(~has_in & out_inside, F.greatest(zero, walk))
         .when(~has_in, null)
-        .when((in_ms >= ws) & (out_ms <= we), raw)
-        .when(in_inside & (d_in != d_out) & has_out & out_inside, F.greatest(zero, (we - in_ms) + between + (out_ms - os_)))
-        .when(in_inside & (d_in != d_out), null)
+        .when((in_ms >= ws) & (out_ms <= we), out_ms - in_ms)
+        .when(in_inside & other_day & has_out & out_inside,
+              F.greatest(zero, (we - in_ms) + F.col("_between") + (out_ms - os_)))
+        .when(in_inside & other_day, null)
         .when(has_out & ~out_inside, null)
         .when(~in_inside & has_out & out_inside, F.greatest(zero, walk))
         .when(~in_inside, null)
         .when(out_ms > we, we - in_ms)
         .otherwise(null)
     )
+    return d.select("*", value.alias(name)).drop(*tmp)
+
+
+def _weekday_of_day_ms(day_ms: Column) -> Column:
+    """Weekday (0 = Sunday) of a UTC midnight given in epoch milliseconds."""
+    return F.pmod((day_ms / MS_PER_DAY).cast("long") + 4, F.lit(7)).cast("int")
 
 
 # --------------------------------------------------------------------------
@@ -202,38 +264,38 @@ def _period(day_start_ms: Column, slot: Column, weekday: Column) -> Column:
     )
 
 
-def _first_slot_after(t_day: Column, d: Column, hours: Column) -> Column:
-    """First weekday slot in days +1 .. +7 after the date ``t_day`` (ms)."""
-    candidates = F.filter(
-        F.transform(
-            F.sequence(F.lit(1), F.lit(7)),
-            lambda i: F.struct(i.alias("i"), hours[F.pmod(d + i, F.lit(7))].alias("slot")),
-        ),
-        lambda c: c["slot"].isNotNull(),
-    )
-    first = F.get(candidates, 0)
-    return F.when(
-        first.isNotNull(),
-        _period(t_day + first["i"].cast("long") * MS_PER_DAY, first["slot"], F.pmod(d + first["i"], F.lit(7))),
+def with_next_working_periods(
+    df: DataFrame,
+    ts: str,
+    hours: str = "hours",
+    period: str = "next_period",
+    day: str = "next_day",
+    next_offset: str = "next_offset",
+) -> DataFrame:
+    """Add two STRUCT<start, end, day> columns from the weekly slot map
+    ``hours``:
+
+    * ``day``: the first slot on the following 7 days (the same weekday a
+      week later counts), NULL when the map has none;
+    * ``period``: today's slot when ``ts`` is before its end, else ``day``.
+    """
+    h = F.col(hours)
+    d = df.select("*", epoch_ms(ts).alias("_t"))
+    d = d.select("*", (F.col("_t") - F.pmod("_t", F.lit(MS_PER_DAY))).alias("_t_day"))
+    d = d.select("*", _weekday_of_day_ms(F.col("_t_day")).alias("_d"))
+    d = d.select("*", F.get(F.col(next_offset), F.col("_d")).alias("_off"), h[F.col("_d")].alias("_today"))
+    nd = F.pmod(F.col("_d") + F.col("_off"), F.lit(7))
+    d = d.select("*", nd.alias("_nd"), h[nd].alias("_next_slot"))
+    next_day = F.when(
+        F.col("_off").isNotNull(),
+        _period(F.col("_t_day") + F.col("_off").cast("long") * MS_PER_DAY, F.col("_next_slot"), F.col("_nd")),
     )
-
-
-def next_working_day(ts: Column, hours: Column) -> Column:
-    """STRUCT<start, end, day> of the first slot on the following 7 days
-    (the same weekday a week later counts), NULL when there is none."""
-    t = epoch_ms(ts)
-    t_day = t - F.pmod(t, F.lit(MS_PER_DAY))
-    d = F.pmod((t_day / MS_PER_DAY).cast("long") + 4, F.lit(7)).cast("int")
-    return _first_slot_after(t_day, d, hours)
-
-
-def next_working_period(ts: Column, hours: Column) -> Column:
-    """Today's slot when ``ts`` is before its end, else ``next_working_day``."""
-    t = epoch_ms(ts)
-    t_day = t - F.pmod(t, F.lit(MS_PER_DAY))
-    d = F.pmod((t_day / MS_PER_DAY).cast("long") + 4, F.lit(7)).cast("int")
-    today = hours[d]
-    _, today_end = _placed(t_day, today)
-    return F.when(today.isNotNull() & (t < today_end), _period(t_day, today, d)).otherwise(
-        _first_slot_after(t_day, d, hours)
+    _, today_end = _placed(F.col("_t_day"), F.col("_today"))
+    d = d.select("*", next_day.alias(day), today_end.alias("_today_end"))
+    current = F.when(
+        F.col("_today").isNotNull() & (F.col("_t") < F.col("_today_end")),
+        _period(F.col("_t_day"), F.col("_today"), F.col("_d")),
+    ).otherwise(F.col(day))
+    return d.select("*", current.alias(period)).drop(
+        "_t", "_t_day", "_d", "_off", "_today", "_nd", "_next_slot", "_today_end"
     )

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timecols import WEEKDAY_NAMES, clock_us
+from ..functions.worktime import with_calendar
 from ..sources.readers import default_week_column
 from .joins import broadcast_if_small
 
@@ -151,7 +152,8 @@ def flatten_working_hours(resolved: DataFrame, split_sets: bool = True) -> DataF
 
 
 def weekly_slot_map(flat_config: DataFrame) -> DataFrame:
-    """(user_id, org_id, hours MAP<INT weekday0, STRUCT<start_ms, end_ms>>).
+    """(user_id, org_id, hours MAP<INT weekday0, STRUCT<start_ms, end_ms>>,
+    walk_prefix, next_offset) -- see ``functions.worktime.with_calendar``.
 
     Times keep hours and minutes only.  When a weekday has several rows the
     one with the lowest (start, end) wins.  A (user, org) with configuration
@@ -168,11 +170,12 @@ def weekly_slot_map(flat_config: DataFrame) -> DataFrame:
         ).alias("slot"),
     )
     per_day = rows.groupBy("user_id", "org_id", "weekday").agg(F.min("slot").alias("slot"))
-    return per_day.groupBy("user_id", "org_id").agg(
+    maps = per_day.groupBy("user_id", "org_id").agg(
         F.map_from_entries(
             F.collect_list(F.when(F.col("weekday") >= 0, F.struct("weekday", "slot")))
         ).alias("hours")
     )
+    return with_calendar(maps, "hours")
 
 
 def slot_map_from_rows(rows: list[tuple[str, str, str]]) -> Column:

@@ -4,11 +4,14 @@ A relation is hinted for broadcast only after a bounded probe proves it has at
 most ``max_rows`` rows; anything larger is returned unchanged, so the join
 falls back to a shuffle join (and AQE may still convert it at run time from
 measured shuffle sizes).  The probe is ``limit(max_rows + 1).count()``, whose
-cost is bounded by the limit, not by the relation.
+cost is bounded by the limit, not by the relation.  The probed relation is
+persisted first, so the work done by the probe is reused by the join instead
+of being recomputed (lost cache blocks are rebuilt from lineage).
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +26,8 @@ def max_broadcast_rows(df: DataFrame) -> int:
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     bound = max_rows if max_rows is not None else max_broadcast_rows(df)
-    if df.limit(bound + 1).count() <= bound:
-        return F.broadcast(df)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if cached.limit(bound + 1).count() <= bound:
+        return F.broadcast(cached)
+    cached.unpersist()
     return df

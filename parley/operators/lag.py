@@ -65,7 +65,15 @@ def lag_in_order(
         F.row_number().over(w).cast("long").alias(_RN),
     )
 
-    tails = d.groupBy(_PK, _B).agg(F.max_by(F.struct(*columns), F.col(_RN)).alias(_TAIL))
+    # Tails (last row of each key-bucket) come from a partial aggregation of
+    # the input rows, so only one row per (key, bucket) per map task is
+    # shuffled for them; the full rows are shuffled once, for the window.
+    tails = (
+        df.select(F.struct(*partition_by).alias(_PK), floor_div(epoch_us(time_col), bucket_us).alias(_B), *order_by,
+                  *[c for c in columns if c not in order_by])
+        .groupBy(_PK, _B)
+        .agg(F.max_by(F.struct(*columns), F.struct(*order)).alias(_TAIL))
+    )
     stitch = tails.select(
         _PK,
         _B,

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.worktime import next_working_day, next_working_period
+from ..functions.worktime import with_next_working_periods
 from ..operators.joins import broadcast_if_small
 from ..sources.readers import read_messages
 
@@ -25,21 +25,20 @@ def next_working_periods(events: DataFrame, hours_map: DataFrame) -> DataFrame:
     (today's slot if the message is before its end), and the next working
     day's slot, from the (user, org) weekly slot map.  Messages whose
     (user, org) has no configuration get NULLs."""
-    hours = broadcast_if_small(hours_map.select("user_id", "org_id", "hours"))
+    hours = broadcast_if_small(hours_map.select("user_id", "org_id", "hours", "next_offset"))
     df = events.select("event_id", "user_id", "org_id", "message_timestamp").join(
         hours, ["user_id", "org_id"], "left"
     )
-    period = next_working_period(F.col("message_timestamp"), F.col("hours"))
-    day = next_working_day(F.col("message_timestamp"), F.col("hours"))
+    df = with_next_working_periods(df, "message_timestamp", "hours", "_period", "_day")
     return df.select(
         "event_id",
         "user_id",
         "org_id",
         "message_timestamp",
-        period["start"].alias("period_start"),
-        period["end"].alias("period_end"),
-        period["day"].alias("period_day"),
-        day["start"].alias("next_day_start"),
-        day["end"].alias("next_day_end"),
-        day["day"].alias("next_day"),
+        F.col("_period.start").alias("period_start"),
+        F.col("_period.end").alias("period_end"),
+        F.col("_period.day").alias("period_day"),
+        F.col("_day.start").alias("next_day_start"),
+        F.col("_day.end").alias("next_day_end"),
+        F.col("_day.day").alias("next_day"),
     )

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_ms, leading_int, utc_date
-from ..functions.worktime import adjusted_response_ms
+from ..functions.worktime import with_adjusted_response_ms
 from ..operators.joins import broadcast_if_small
 from ..operators.lag import HOUR_US, lag_in_order
 
@@ -58,12 +58,15 @@ def _floor_div(num: Column, den: Column) -> Column:
 def group_averages(pairs: DataFrame, value_col: str = "response_ms") -> DataFrame:
     """Average kept reply time per (user, org, chat, date), in whole seconds
     rounded half up, and the first kept reply's sender number."""
-    kept = pairs.where(F.col(value_col).isNotNull())
-    g = kept.groupBy(*GROUP).agg(
+    # No row filter on the value: a filter would be pushed below the staged
+    # projections and inline the whole rule into one predicate.  sum/count
+    # skip NULLs and min_by skips rows whose ordering key is NULL.
+    kept = F.col(value_col).isNotNull()
+    g = pairs.groupBy(*GROUP).agg(
         F.sum(value_col).alias("_sum_ms"),
         F.count(value_col).alias("_n"),
-        F.min_by("sender_number", "order_key").alias("phone_number"),
-    )
+        F.min_by("sender_number", F.when(kept, F.col("order_key"))).alias("phone_number"),
+    ).where(F.col("_n") > 0)
     # round(sum / n / 1000) half up == floor((2*sum + 1000*n) / (2000*n))
     avg = _floor_div(2 * F.col("_sum_ms") + 1000 * F.col("_n"), 2000 * F.col("_n"))
     return g.select(*GROUP, "phone_number", avg.alias("avg_response_time"), "_n")
@@ -94,12 +97,11 @@ def adjusted_pairs(messages: DataFrame, hours_map: DataFrame, bucket_us: int | N
     slot map when the user has configuration (NULL = filtered out), raw
     otherwise.  ``has_hours`` tells which."""
     pairs = response_pairs(messages, bucket_us)
-    hours = broadcast_if_small(hours_map.select("user_id", "org_id", "hours"))
+    hours = broadcast_if_small(hours_map.select("user_id", "org_id", "hours", "walk_prefix"))
     p = pairs.join(hours, ["user_id", "org_id"], "left")
+    p = with_adjusted_response_ms(p, "incoming_ts", "outgoing_ts", "hours", "_adjusted_ms")
     has_hours = F.col("hours").isNotNull()
-    value = F.when(has_hours, adjusted_response_ms(F.col("incoming_ts"), F.col("outgoing_ts"), F.col("hours"))).otherwise(
-        F.col("raw_ms")
-    )
+    value = F.when(has_hours, F.col("_adjusted_ms")).otherwise(F.col("raw_ms"))
     return p.select(*[c for c in pairs.columns], has_hours.alias("has_hours"), value.alias("response_ms"))
 
 

@@ -104,19 +104,14 @@ def user_mapping(events: DataFrame) -> DataFrame:
     """user_id -> team/org mapping; users with user_id % 17 = 0 get a second
     row in the next org.  ``row_order`` records the read order (0 first)."""
     users = events.select("user_id").distinct()
-    first = users.select(
+    order = F.when(F.pmod(F.col("user_id"), F.lit(17)) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = users.select("user_id", F.explode(order).alias("row_order"))
+    return rows.select(
         "user_id",
         F.pmod(F.col("user_id"), F.lit(5)).alias("team_id"),
-        F.pmod(F.col("user_id"), F.lit(3)).alias("org_id"),
-        F.lit(0).alias("row_order"),
+        (F.pmod(F.col("user_id"), F.lit(3)) + F.col("row_order")).alias("org_id"),
+        "row_order",
     )
-    second = users.where(F.pmod(F.col("user_id"), F.lit(17)) == 0).select(
-        "user_id",
-        F.pmod(F.col("user_id"), F.lit(5)).alias("team_id"),
-        (F.pmod(F.col("user_id"), F.lit(3)) + 1).alias("org_id"),
-        F.lit(1).alias("row_order"),
-    )
-    return first.unionByName(second)
 
 
 # The relational configuration derived for the fixtures.
