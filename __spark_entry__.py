@@ -149,6 +149,22 @@ def q_next_working_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reads.next_working_periods(_message_events(spark, sf_dir), _response_hours(spark, sf_dir))
 
 
+def _turn_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.conversation_events(fixtures.load_table(spark, sf_dir, "conversations"))
+
+
+def q_conversation_turns_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation.conversation_summary_flat(_turn_events(spark, sf_dir), _working_hours(spark, sf_dir))
+
+
+def q_conversation_turns_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily.daily_performance_flat(_turn_events(spark, sf_dir), _working_hours(spark, sf_dir))
+
+
+def q_conversation_turns_response_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return response.raw_response_times(_turn_events(spark, sf_dir))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the lifetime conversation summary on sf0.001."""
     return q_conversation_summary(spark, SMOKE_DIR)
@@ -174,6 +190,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "message_distribution": q_message_distribution,
         "ordered_messages": q_ordered_messages,
         "next_working_periods": q_next_working_periods,
+        "conversation_turns_summary": q_conversation_turns_summary,
+        "conversation_turns_daily": q_conversation_turns_daily,
+        "conversation_turns_response_times": q_conversation_turns_response_times,
     }
 
 

@@ -733,6 +733,30 @@ LEFT JOIN today td ON td.event_id = m.event_id
 LEFT JOIN nextday nx ON nx.event_id = m.event_id
 """)
 
+# --------------------------------------------------------------------------
+# The conversations table as a second message source
+# --------------------------------------------------------------------------
+CONV_EVENTS = """
+ce AS (
+  SELECT CAST(conv_id * 100000 + turn AS VARCHAR) AS event_id,
+         't' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS message_id,
+         CAST(conv_id AS VARCHAR) AS chat_id,
+         CAST(conv_id % 2 AS VARCHAR) AS org_id,
+         CAST(conv_id % 13 AS VARCHAR) AS user_id,
+         TIMESTAMP '2024-01-01 09:00:00' + to_microseconds(conv_id * 3600000000 + turn * 180000000)
+           AS message_timestamp,
+         CASE role WHEN 'user' THEN 'INCOMING' WHEN 'assistant' THEN 'OUTGOING' ELSE 'SYSTEM' END AS direction,
+         CASE WHEN role = 'assistant' THEN '+2' || CAST(conv_id % 4 AS VARCHAR)
+              ELSE '+8' || CAST(conv_id AS VARCHAR) END AS sender_number,
+         '+2' || CAST(conv_id % 4 AS VARCHAR) AS agent_phone_number
+  FROM conversations
+)"""
+
+Q1_TURNS = _with(WORKING_HOURS, WEEK_PIVOT, CONV_EVENTS, q1_ctes("ce", "t1_")) + "\nSELECT * FROM t1_out\n"
+Q2_TURNS = _with(WORKING_HOURS, WEEK_PIVOT, CONV_EVENTS, q2_ctes("ce", "t2_")) + "\nSELECT * FROM t2_out\n"
+Q4_TURNS = _with(CONV_EVENTS, PAIRS.replace("FROM me WHERE", "FROM ce WHERE"), """
+valued AS (SELECT *, raw_ms AS v FROM pairs)""", RESPONSE_TAIL)
+
 ORACLES: dict[str, str] = {
     "conversation_summary": Q1,
     "daily_performance": Q2,
@@ -752,4 +776,7 @@ ORACLES: dict[str, str] = {
     "message_distribution": Q10_DIST,
     "ordered_messages": Q14,
     "next_working_periods": Q15,
+    "conversation_turns_summary": Q1_TURNS,
+    "conversation_turns_daily": Q2_TURNS,
+    "conversation_turns_response_times": Q4_TURNS,
 }

@@ -194,7 +194,7 @@ def conversation_events(conversations: DataFrame) -> DataFrame:
     return conversations.select(
         _str(F.col("conv_id") * 100_000 + F.col("turn")).alias("event_id"),
         F.concat(F.lit("t"), _str(F.col("conv_id")), F.lit("-"), _str(F.col("turn"))).alias("message_id"),
-        F.concat(F.lit("v"), _str(F.col("conv_id"))).alias("chat_id"),
+        _str(F.col("conv_id")).alias("chat_id"),
         _str(F.pmod(F.col("conv_id"), F.lit(2))).alias("org_id"),
         _str(F.pmod(F.col("conv_id"), F.lit(13))).alias("user_id"),
         ts.alias("message_timestamp"),

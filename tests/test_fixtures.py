@@ -54,3 +54,19 @@ def test_mapping_and_config(spark, events):
     assert set(kinds) == {"self", "team", "org"}
     assert config.where("week_day = 'monday,tuesday'").count() >= 1
     assert config.where("week_day = 'Friday'").count() >= 1
+
+
+def test_conversation_turns(spark):
+    """FIXTURES.md §3: at sf0.01, 100 conversations, 233 user->assistant
+    pairs, no follow-ups, 24 system turns, (conv_id, turn) unique."""
+    from parley.plans.response import response_pairs
+
+    turns = fixtures.conversation_events(fixtures.load_table(spark, SF_MEDIUM, "conversations"))
+    assert turns.select("chat_id").distinct().count() == 100
+    assert turns.where("direction = 'SYSTEM'").count() == 24
+    assert turns.select("event_id").distinct().count() == turns.count()
+    w = Window.partitionBy("chat_id").orderBy("message_timestamp", "event_id")
+    lagged = turns.withColumn("pd", F.lag("direction").over(w))
+    assert lagged.where("direction = 'OUTGOING' AND pd = 'INCOMING'").count() == 233
+    assert lagged.where("direction = 'OUTGOING' AND pd = 'OUTGOING'").count() == 0
+    assert response_pairs(turns).count() <= 233
