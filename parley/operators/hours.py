@@ -115,10 +115,12 @@ def resolve_working_hours(
     base_cols = requests.columns
     req = req.select(*base_cols, source.alias("source"), source_id.alias("_source_id"))
 
-    cfg = config.select(
+    # Many requests share one team or org key; a broadcast of the (bounded)
+    # configuration keeps such hot keys out of a shuffle join.
+    cfg = broadcast_if_small(config.select(
         F.col("type").alias("_type"), F.col("type_id").alias("_type_id"),
         "week_day", "start_time", "end_time", "timezone_offset",
-    )
+    ))
     configured = req.where(F.col("source") != "default").join(
         cfg, (F.col("source") == F.col("_type")) & (F.col("_source_id") == F.col("_type_id")), "inner"
     ).select(*base_cols, "source", "week_day", "start_time", "end_time", "timezone_offset")
