@@ -3,7 +3,8 @@
 ``upsert`` returns the new snapshot of the target as a DataFrame: one full
 outer join on the merge keys, then per column "updated / inserted / kept".
 There is no delete clause.  As in MERGE, two source rows for one target key is
-an error; the check is a grouped count over the source keys.
+an error: the merge job fails with DUPLICATE_SOURCE_ROWS (the count per key is
+computed inside the same job); ``assert_unique_keys`` is the eager variant.
 
 Keys compare null-safely by default (``null_safe=False`` gives plain
 equality: a NULL key then never matches, so its source row is inserted again
@@ -19,14 +20,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
 
+DUPLICATE_SOURCE_ROWS = "DUPLICATE_SOURCE_ROWS"
+
+
 class DuplicateSourceKeyError(ValueError):
-    """More than one source row matches the same target key."""
+    """More than one source row matches the same target key (eager check)."""
 
 
 def S(name: str) -> Column:
@@ -73,10 +77,20 @@ def upsert(
         safe = set(pairs) if null_safe else set()
     else:
         safe = set(null_safe)
+    s = source.withColumn("__s_present", F.lit(True))
     if check_unique:
-        assert_unique_keys(source, list(pairs.values()), [sk for tk, sk in pairs.items() if tk not in safe])
+        # MERGE fails when two source rows share a key.  The check runs inside
+        # the merge job (a count per source key, then raise_error on the
+        # output), so the source is not computed a second time.  Rows with a
+        # NULL plain-equality key can never match and are not counted.
+        plain = [sk for tk, sk in pairs.items() if tk not in safe]
+        per_key = F.count(F.lit(1)).over(Window.partitionBy(*pairs.values()))
+        matchable = F.lit(True)
+        for k in plain:
+            matchable = matchable & F.col(k).isNotNull()
+        s = s.withColumn("__s_dups", F.when(matchable, per_key).otherwise(F.lit(1)))
     t = target.withColumn("__t_present", F.lit(True)).alias("__t")
-    s = source.withColumn("__s_present", F.lit(True)).alias("__s")
+    s = s.alias("__s")
     conds = [
         (T(tk).eqNullSafe(S(sk)) if tk in safe else (T(tk) == S(sk))) for tk, sk in pairs.items()
     ]
@@ -94,6 +108,13 @@ def upsert(
         out.append(
             F.when(matched, upd).when(source_only, ins).otherwise(T(name)).cast(field.dataType).alias(name)
         )
+    if check_unique:
+        # A predicate, unlike an unused column, is never pruned.
+        guard = F.when(
+            F.col("__s.__s_dups") > 1,
+            F.raise_error(F.lit(f"{DUPLICATE_SOURCE_ROWS}: MERGE keys {list(pairs)} match several source rows")),
+        ).otherwise(F.lit(True))
+        joined = joined.where(F.coalesce(guard, F.lit(True)))
     return joined.select(*out)
 
 
