@@ -48,7 +48,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     used as is.  Only when it is unset (local tests) do we create a scratch
     folder of our own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="parley-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
