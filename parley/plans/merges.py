@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timecols import utc_timestamp_literal
-from ..operators.upsert import S, T, upsert
+from ..operators.upsert import S, upsert
 from ..sources import schemas
 
 ANALYTICS_FIELDS = ["messages_sent", "messages_received", "total_messages", "unique_messages", "number_of_follow_ups"]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timecols import leading_int
 from ..sources.readers import project_messages
-from .response import GROUP, INCOMING, OUTGOING, adjusted_pairs, collapse_by_phone, group_averages
+from .response import INCOMING, OUTGOING, adjusted_pairs, collapse_by_phone, group_averages
 
 
 def _user_messages(messages: DataFrame, user_id=None, run_date=None, days: int | None = None) -> DataFrame:
@@ -126,7 +126,6 @@ def user_report(
 
 
 __all__ = [
-    "GROUP",
     "distribution_maps",
     "message_distribution",
     "message_statistics",

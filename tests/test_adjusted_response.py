@@ -5,7 +5,6 @@ Friday 22-06 (overnight), Sunday 09-09 (equal ends: a 24 h window, length 0
 in the walk).  2024-01-01 is a Monday."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import slot_map, ts
 from parley.functions.worktime import with_adjusted_response_ms, with_calendar

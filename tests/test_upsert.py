@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from parley.operators.upsert import DuplicateSourceKeyError, S, T, assert_unique_keys, upsert
+from parley.operators.upsert import DuplicateSourceKeyError, S, assert_unique_keys, upsert
 from parley.plans import merges
 
 SCHEMA = "k string, p string, v long, created string, updated string"
