@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timecols import leading_int
 from ..sources.readers import project_messages
-from .response import INCOMING, OUTGOING, adjusted_pairs, collapse_by_phone, group_averages
+from .response import INCOMING, OUTGOING, adjusted_pairs, group_stats
 
 
 def _user_messages(messages: DataFrame, user_id=None, run_date=None, days: int | None = None) -> DataFrame:
@@ -65,15 +65,25 @@ def distribution_maps(distribution: DataFrame) -> DataFrame:
 def response_summary(records: DataFrame) -> DataFrame:
     """Per user over its response records: rounded mean, min, max, count,
     sorted distinct phone numbers and the 'first to last' date range."""
-    n = F.count(F.lit(1))
-    total = F.sum("avg_response_time")
-    return records.groupBy("user_id").agg(
-        ((2 * total + n - F.pmod(2 * total + n, 2 * n)) / (2 * n)).cast("long").alias("avg_response_time"),
-        F.min("avg_response_time").alias("min_response_time"),
-        F.max("avg_response_time").alias("max_response_time"),
+    return _summary(records.withColumn("_record", F.lit(True)))
+
+
+def _summary(rows: DataFrame, *extra) -> DataFrame:
+    """Summary over the rows flagged ``_record`` (others only feed ``extra``)."""
+    rec = F.col("_record")
+    n = F.count_if(rec)
+    total = F.sum(F.when(rec, F.col("avg_response_time")))
+    first, last = F.min(F.when(rec, F.col("date"))), F.max(F.when(rec, F.col("date")))
+    return rows.groupBy("user_id").agg(
+        F.when(n > 0, ((2 * total + n - F.pmod(2 * total + n, 2 * n)) / (2 * n)).cast("long")).alias(
+            "avg_response_time"
+        ),
+        F.min(F.when(rec, F.col("avg_response_time"))).alias("min_response_time"),
+        F.max(F.when(rec, F.col("avg_response_time"))).alias("max_response_time"),
         n.alias("total_records"),
-        F.array_sort(F.collect_set("phone_number")).alias("phone_numbers"),
-        F.concat(F.min("date").cast("string"), F.lit(" to "), F.max("date").cast("string")).alias("date_range"),
+        F.array_sort(F.collect_set(F.when(rec, F.col("phone_number")))).alias("phone_numbers"),
+        F.when(n > 0, F.concat(first.cast("string"), F.lit(" to "), last.cast("string"))).alias("date_range"),
+        *extra,
     )
 
 
@@ -86,24 +96,40 @@ def user_report(
 ) -> DataFrame:
     """One report row per user with messages in the window (all users when
     ``user_id`` is None).  Users without any kept reply get zeros and
-    'No data', as the original summary did."""
+    'No data', as the original summary did.
+
+    The reply pairs flow through one linear chain (group aggregate -> phone
+    collapse -> per-user aggregate), so the pairing LAG runs once; the
+    statistics are one aggregation over the messages."""
     msgs = _user_messages(messages, user_id, run_date, days)
-    stats = message_statistics(msgs)
-    groups_seen = msgs.groupBy("user_id").agg(
-        F.count_distinct("org_id", "chat_id", "date").alias("conversation_groups")
+    stats = msgs.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("message_count"),
+        F.count_if(F.col("direction") == INCOMING).alias("incoming_messages"),
+        F.count_if(F.col("direction") == OUTGOING).alias("outgoing_messages"),
+        F.count_distinct("chat_id").alias("unique_chats"),
+        (F.count_distinct("sender_number") + F.max(F.col("sender_number").isNull().cast("long"))).alias(
+            "unique_phone_numbers"
+        ),
+        F.count_distinct("org_id", "chat_id", "date").alias("conversation_groups"),
     )
-    pairs = adjusted_pairs(msgs, hours_map)
-    counters = pairs.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("response_pairs"),
-        F.count_if(F.col("has_hours") & F.col("response_ms").isNotNull()).alias("hours_adjusted_pairs"),
+    groups = group_stats(adjusted_pairs(msgs, hours_map))
+    kept = F.col("_n") > 0
+    collapsed = groups.groupBy("user_id", "org_id", "phone_number", "date").agg(
+        F.max_by("avg_response_time", F.when(kept, F.col("chat_id"))).alias("avg_response_time"),
+        F.count_if(kept).alias("_kept_groups"),
+        F.sum("_pairs").alias("_pairs"),
+        F.sum("_adjusted").alias("_adjusted"),
+    )
+    per_user = _summary(
+        collapsed.select(
+            leading_int("user_id").alias("user_id"), "phone_number", "date", "avg_response_time",
+            (F.col("_kept_groups") > 0).alias("_record"), "_pairs", "_adjusted",
+        ),
+        F.sum("_pairs").alias("response_pairs"),
+        F.sum("_adjusted").alias("hours_adjusted_pairs"),
     )
-    records = collapse_by_phone(group_averages(pairs))
-    summary = response_summary(records)
-    report = (
-        stats.join(groups_seen, "user_id", "left")
-        .join(counters, "user_id", "left")
-        .withColumn("_uid", leading_int("user_id"))
-        .join(summary.withColumnRenamed("user_id", "_uid"), "_uid", "left")
+    report = stats.withColumn("_uid", leading_int("user_id")).join(
+        per_user.withColumnRenamed("user_id", "_uid"), "_uid", "left"
     )
     zero = F.lit(0).cast("long")
     return report.select(

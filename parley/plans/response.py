@@ -55,21 +55,34 @@ def _floor_div(num: Column, den: Column) -> Column:
     return ((num - F.pmod(num, den)) / den).cast("long")
 
 
-def group_averages(pairs: DataFrame, value_col: str = "response_ms") -> DataFrame:
-    """Average kept reply time per (user, org, chat, date), in whole seconds
-    rounded half up, and the first kept reply's sender number."""
+def group_stats(pairs: DataFrame, value_col: str = "response_ms") -> DataFrame:
+    """Per (user, org, chat, date): ``_n`` kept replies, their sum, the
+    rounded average ``avg_response_time`` (NULL when none is kept), the first
+    kept reply's sender number, and the counters ``_pairs`` (all replies) and
+    ``_adjusted`` (kept after a working-hours adjustment)."""
     # No row filter on the value: a filter would be pushed below the staged
     # projections and inline the whole rule into one predicate.  sum/count
     # skip NULLs and min_by skips rows whose ordering key is NULL.
     kept = F.col(value_col).isNotNull()
+    adjusted = F.col("has_hours") & kept if "has_hours" in pairs.columns else F.lit(False)
     g = pairs.groupBy(*GROUP).agg(
         F.sum(value_col).alias("_sum_ms"),
         F.count(value_col).alias("_n"),
         F.min_by("sender_number", F.when(kept, F.col("order_key"))).alias("phone_number"),
-    ).where(F.col("_n") > 0)
+        F.count(F.lit(1)).alias("_pairs"),
+        F.count_if(adjusted).alias("_adjusted"),
+    )
     # round(sum / n / 1000) half up == floor((2*sum + 1000*n) / (2000*n))
-    avg = _floor_div(2 * F.col("_sum_ms") + 1000 * F.col("_n"), 2000 * F.col("_n"))
-    return g.select(*GROUP, "phone_number", avg.alias("avg_response_time"), "_n")
+    avg = F.when(F.col("_n") > 0, _floor_div(2 * F.col("_sum_ms") + 1000 * F.col("_n"), 2000 * F.col("_n")))
+    return g.select("*", avg.alias("avg_response_time"))
+
+
+def group_averages(pairs: DataFrame, value_col: str = "response_ms") -> DataFrame:
+    """Average kept reply time per (user, org, chat, date), in whole seconds
+    rounded half up, and the first kept reply's sender number."""
+    return group_stats(pairs, value_col).where(F.col("_n") > 0).select(
+        *GROUP, "phone_number", "avg_response_time", "_n"
+    )
 
 
 def collapse_by_phone(groups: DataFrame) -> DataFrame:
