@@ -4,9 +4,9 @@ The original refreshed its summaries by re-running a MERGE over recent
 ingestion days or over all history.  Here each micro-batch of new message
 events:
 
-1. is appended to the event history, partitioned by the batch's epoch id
-   with dynamic partition overwrite -- a retried epoch replaces its own
-   partition instead of duplicating rows;
+1. is appended to the event history, partitioned by chat bucket and the
+   batch's epoch id with dynamic partition overwrite -- a retried epoch
+   replaces its own partitions instead of duplicating rows;
 2. selects the chats it touches (``left_semi`` join of the full history on
    the touched keys), because a new message can change the LAG pairs of its
    whole chat;
@@ -23,7 +23,7 @@ from __future__ import annotations
 import os
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -34,14 +34,26 @@ from ..session import ensure_checkpoint_dir
 from ..sources import schemas
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The table at ``path``, or an empty one on the first run."""
+CHAT_BUCKETS = 256
+
+
+def chat_bucket(chat_id: Column | str = "chat_id", buckets: int = CHAT_BUCKETS) -> Column:
+    """Stable hash bucket of a chat (the partition column of the history and
+    of the lifetime summary table)."""
+    col = F.col(chat_id) if isinstance(chat_id, str) else chat_id
+    return F.pmod(F.xxhash64(col), F.lit(buckets)).cast("int")
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema, extra: list[str] = ()) -> DataFrame:
+    """The table at ``path`` (schema columns plus ``extra`` partition
+    columns), or an empty one on the first run."""
     try:
         df = spark.read.parquet(path)
         df.schema  # noqa: B018 -- resolves the files now
-        return df.select([F.col(f.name).cast(f.dataType) for f in schema.fields])
+        return df.select([F.col(f.name).cast(f.dataType) for f in schema.fields] + [F.col(c) for c in extra])
     except AnalysisException:
-        return spark.createDataFrame([], schema)
+        empty = spark.createDataFrame([], schema)
+        return empty.select("*", *[F.lit(None).cast("int").alias(c) for c in extra])
 
 
 def refresh_batch(
@@ -53,23 +65,39 @@ def refresh_batch(
     daily_path: str,
     working_hours: DataFrame,
     run_ts: str,
+    buckets: int = CHAT_BUCKETS,
 ) -> None:
-    """``foreachBatch`` body (see module doc)."""
+    """``foreachBatch`` body (see module doc).
+
+    History and lifetime summary are partitioned by ``chat_bucket``; a batch
+    reads and rewrites only the buckets of the chats it touches (partition
+    pruning + dynamic partition overwrite).  The list of touched bucket ids
+    is bounded by ``buckets``."""
     spark = batch.sparkSession
+    batch = batch.withColumn("chat_bucket", chat_bucket("chat_id", buckets))
     (
         batch.withColumn("epoch", F.lit(epoch_id).cast("long"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("epoch")
+        .partitionBy("chat_bucket", "epoch")
         .parquet(history_path)
     )
-    history = spark.read.parquet(history_path).drop("epoch")
+    touched = [r[0] for r in batch.select("chat_bucket").distinct().collect()]
+    history = (
+        spark.read.parquet(history_path)
+        .where(F.col("chat_bucket").isin(touched))
+        .select(*[f.name for f in schemas.MESSAGE_EVENTS.fields])
+    )
 
     chats = batch.select("chat_id").distinct()
     affected = history.join(chats, "chat_id", "left_semi")
     current = conversation.conversation_summary(affected, working_hours)
-    target = _read_or_empty(spark, summary_path, schemas.CONVERSATION_SUMMARY)
-    write_snapshot(merges.merge_conversation_summary(target, current), summary_path)
+    target = _read_or_empty(spark, summary_path, schemas.CONVERSATION_SUMMARY, ["chat_bucket"])
+    target = target.where(F.col("chat_bucket").isin(touched)).drop("chat_bucket")
+    merged = merges.merge_conversation_summary(target, current).withColumn(
+        "chat_bucket", chat_bucket("chat_id", buckets)
+    )
+    write_snapshot(merged, summary_path, partition_by="chat_bucket", replace_partitions_only=True)
 
     # Daily rows can change only on or after the earliest new message of each
     # (user, chat): earlier rows' LAG never looks forward.
@@ -85,10 +113,10 @@ def refresh_batch(
     )
     dates = daily_rows.select("activity_date").distinct()
     daily_target = _read_or_empty(spark, daily_path, schemas.DAILY_PERFORMANCE_SUMMARY)
-    touched = daily_target.join(dates, "activity_date", "left_semi")
-    merged = merges.merge_daily_performance(touched, daily_rows, run_ts)
+    touched_days = daily_target.join(dates, "activity_date", "left_semi")
+    merged_daily = merges.merge_daily_performance(touched_days, daily_rows, run_ts)
     # Only the touched activity_date partitions are rewritten.
-    write_snapshot(merged, daily_path, partition_by="activity_date", replace_partitions_only=True)
+    write_snapshot(merged_daily, daily_path, partition_by="activity_date", replace_partitions_only=True)
 
 
 def start_refresh(
