@@ -38,3 +38,32 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() >= 0
     assert "average_response_time" in df.columns
+
+
+NO_BROADCAST = {
+    "parley.broadcast.maxRows": "0",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
+@pytest.mark.parametrize("name", ["conversation_summary", "daily_performance", "adjusted_response_times",
+                                  "legacy_enhanced_summary", "user_report"])
+def test_shuffle_join_fallback_matches_oracle(spark, con, name):
+    """When no relation is allowed to be broadcast (as when a dimension
+    outgrows the bound), the shuffle-join plans give the same results."""
+    old = {k: spark.conf.get(k, None) for k in NO_BROADCAST}
+    try:
+        for k, v in NO_BROADCAST.items():
+            spark.conf.set(k, v)
+        df = entry.queries()[name](spark, SF_SMALL)
+        rows = df.collect()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    cur = con.execute(entry.oracle_sql()[name])
+    ocols = [d[0] for d in cur.description]
+    assert digest(df.columns, rows)[0] == digest(ocols, cur.fetchall())[0]
