@@ -20,7 +20,8 @@ from ..sources.readers import project_messages
 from .response import INCOMING, OUTGOING, adjusted_pairs, group_stats
 
 
-def _user_messages(messages: DataFrame, user_id=None, run_date=None, days: int | None = None) -> DataFrame:
+def user_messages(messages: DataFrame, user_id=None, run_date=None, days: int | None = None) -> DataFrame:
+    """The response-time projection of attributed messages (S4, F5)."""
     df = project_messages(messages, user_id, run_date, days)
     return df.where(F.col("user_id").isNotNull())
 
@@ -101,7 +102,7 @@ def user_report(
     The reply pairs flow through one linear chain (group aggregate -> phone
     collapse -> per-user aggregate), so the pairing LAG runs once; the
     statistics are one aggregation over the messages."""
-    msgs = _user_messages(messages, user_id, run_date, days)
+    msgs = user_messages(messages, user_id, run_date, days)
     stats = msgs.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("message_count"),
         F.count_if(F.col("direction") == INCOMING).alias("incoming_messages"),
@@ -153,6 +154,7 @@ def user_report(
 
 __all__ = [
     "distribution_maps",
+    "user_messages",
     "message_distribution",
     "message_statistics",
     "response_summary",
