@@ -149,6 +149,20 @@ def q_legacy_enhanced_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return legacy.legacy_enhanced_summary(i.message_events, hours, days=None)
 
 
+def q_legacy_counts_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = Inputs(spark, sf_dir)
+    previous = merges.legacy_counts_rows(legacy.legacy_counts(i.before_cutoff(), days=None), RUN_TS_PREV)
+    current = legacy.legacy_counts(i.message_events, days=None)
+    return merges.flatten_analytics(merges.merge_legacy_counts(previous, current, RUN_TS))
+
+
+def q_legacy_summary_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = Inputs(spark, sf_dir)
+    previous = merges.legacy_summary_rows(legacy.legacy_simple_summary(i.before_cutoff(), days=None), RUN_TS_PREV)
+    current = legacy.legacy_simple_summary(i.message_events, days=None)
+    return merges.flatten_analytics(merges.merge_legacy_summary(previous, current, RUN_TS))
+
+
 def q_user_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = Inputs(spark, sf_dir)
     out = report.user_report(i.message_events, i.response_hours, days=None)
@@ -206,6 +220,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "legacy_counts_last_day": q_legacy_counts_last_day,
         "legacy_simple_summary": q_legacy_simple_summary,
         "legacy_enhanced_summary": q_legacy_enhanced_summary,
+        "legacy_counts_upsert": q_legacy_counts_upsert,
+        "legacy_summary_upsert": q_legacy_summary_upsert,
         "user_report": q_user_report,
         "message_distribution": q_message_distribution,
         "ordered_messages": q_ordered_messages,

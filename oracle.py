@@ -757,6 +757,69 @@ Q2_TURNS = _with(WORKING_HOURS, WEEK_PIVOT, CONV_EVENTS, q2_ctes("ce", "t2_")) +
 Q4_TURNS = _with(CONV_EVENTS, PAIRS.replace("FROM me WHERE", "FROM ce WHERE"), """
 valued AS (SELECT *, raw_ms AS v FROM pairs)""", RESPONSE_TAIL)
 
+# --------------------------------------------------------------------------
+# Legacy upserts (M3, M4): previous snapshot from the run before the cutoff
+# --------------------------------------------------------------------------
+def legacy_counts_sql(src: str) -> str:
+    return f"""
+  SELECT user_id, org_id, CAST(message_timestamp AS DATE) AS date, sender_number,
+         COUNT(*) FILTER (WHERE direction = 'OUTGOING') AS total_sent,
+         COUNT(*) FILTER (WHERE direction = 'INCOMING') AS total_received,
+         COUNT(DISTINCT message_id) AS unique_messages
+  FROM {src} GROUP BY user_id, org_id, CAST(message_timestamp AS DATE), sender_number"""
+
+
+def legacy_simple_sql(src: str) -> str:
+    return f"""
+  SELECT user_id, org_id, CAST(message_timestamp AS DATE) AS date, sender_number,
+         COUNT(*) FILTER (WHERE direction = 'OUTGOING') AS messages_sent,
+         COUNT(*) FILTER (WHERE direction = 'INCOMING') AS messages_received,
+         COUNT(*) AS total_messages,
+         COUNT(DISTINCT message_id) AS unique_messages,
+         CAST(0 AS BIGINT) AS number_of_follow_ups,
+         'INCOMING' AS conversation_starter, 'OUTGOING' AS last_message_from,
+         MIN(message_timestamp) AS earliest_message,
+         0.0 AS average_response_time
+  FROM {src} GROUP BY user_id, org_id, CAST(message_timestamp AS DATE), sender_number"""
+
+
+_LEGACY_KEYS = [("uid", "s.user_id", False), ("org_id", "s.org_id", False), ("date", "s.date", False),
+                ("phone_number", "s.sender_number", True)]
+
+Q_M3 = _with(MESSAGE_EVENTS, ME_PREV, f"""
+prev_src AS ({legacy_counts_sql("me_prev")}),
+cur AS ({legacy_counts_sql("me")}),
+prev_target AS (
+  SELECT user_id AS uid, org_id, date, sender_number AS phone_number,
+         total_sent, total_received, unique_messages,
+         {RUN_TS_PREV} AS updated_at, {RUN_TS_PREV} AS created_at
+  FROM prev_src
+)""", merge_sql(
+    "prev_target", "cur", _LEGACY_KEYS,
+    [("uid", None, "s.user_id"), ("org_id", None, "s.org_id"), ("date", None, "s.date"),
+     ("phone_number", None, "s.sender_number")]
+    + [(c, f"s.{c}", f"s.{c}") for c in ["total_sent", "total_received", "unique_messages"]]
+    + [("updated_at", RUN_TS, RUN_TS), ("created_at", None, RUN_TS)],
+)) + "\nSELECT * FROM merged\n"
+
+Q_M4 = _with(MESSAGE_EVENTS, ME_PREV, f"""
+prev_src AS ({legacy_simple_sql("me_prev")}),
+cur AS ({legacy_simple_sql("me")}),
+prev_target AS (
+  SELECT user_id AS uid, org_id, date, sender_number AS phone_number,
+         messages_sent, messages_received, total_messages, unique_messages, number_of_follow_ups,
+         average_response_time, conversation_starter, last_message_from,
+         {RUN_TS_PREV} AS updated_at, earliest_message AS created_at
+  FROM prev_src
+)""", merge_sql(
+    "prev_target", "cur", _LEGACY_KEYS,
+    [("uid", None, "s.user_id"), ("org_id", None, "s.org_id"), ("date", None, "s.date"),
+     ("phone_number", None, "s.sender_number")]
+    + [(c, f"s.{c}", f"s.{c}") for c in _ANALYTICS]
+    + [(c, f"s.{c}", f"s.{c}") for c in ["average_response_time", "conversation_starter", "last_message_from"]]
+    + [("updated_at", RUN_TS, RUN_TS), ("created_at", None, "s.earliest_message")],
+)) + "\nSELECT * FROM merged\n"
+
 ORACLES: dict[str, str] = {
     "conversation_summary": Q1,
     "daily_performance": Q2,
@@ -772,6 +835,8 @@ ORACLES: dict[str, str] = {
     "legacy_counts_last_day": Q7_LAST_DAY,
     "legacy_simple_summary": Q8,
     "legacy_enhanced_summary": Q9,
+    "legacy_counts_upsert": Q_M3,
+    "legacy_summary_upsert": Q_M4,
     "user_report": Q10,
     "message_distribution": Q10_DIST,
     "ordered_messages": Q14,

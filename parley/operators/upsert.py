@@ -22,6 +22,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from ..session import cut_lineage
 
@@ -33,6 +34,19 @@ class DuplicateSourceKeyError(ValueError):
     """More than one source row matches the same target key (eager check)."""
 
 
+def _relaxed(dtype: ST.DataType) -> ST.DataType:
+    """``dtype`` with every nested field nullable (a full outer join makes
+    any column nullable; Spark will not cast a nullable field to a
+    non-nullable one)."""
+    if isinstance(dtype, ST.StructType):
+        return ST.StructType([ST.StructField(f.name, _relaxed(f.dataType), True) for f in dtype.fields])
+    if isinstance(dtype, ST.ArrayType):
+        return ST.ArrayType(_relaxed(dtype.elementType), True)
+    if isinstance(dtype, ST.MapType):
+        return ST.MapType(dtype.keyType, _relaxed(dtype.valueType), True)
+    return dtype
+
+
 def S(name: str) -> Column:
     """A source column inside update/insert expressions."""
     return F.col(f"__s.{name}")
@@ -106,7 +120,7 @@ def upsert(
         upd = update.get(name, T(name))
         ins = insert.get(name, F.lit(None))
         out.append(
-            F.when(matched, upd).when(source_only, ins).otherwise(T(name)).cast(field.dataType).alias(name)
+            F.when(matched, upd).when(source_only, ins).otherwise(T(name)).cast(_relaxed(field.dataType)).alias(name)
         )
     if check_unique:
         # A predicate, unlike an unused column, is never pruned.

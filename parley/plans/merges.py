@@ -136,6 +136,28 @@ def merge_legacy_summary(target: DataFrame, summary: DataFrame, run_ts, null_saf
     return upsert(target, summary, _LEGACY_KEYS, update, insert, null_safe)
 
 
+def legacy_counts_rows(counts: DataFrame, run_ts) -> DataFrame:
+    """Legacy counts in the legacy table's shape (as a first run inserts them)."""
+    now = utc_timestamp_literal(run_ts)
+    return counts.select(
+        F.col("user_id").alias("uid"), "org_id", "date", F.col("sender_number").alias("phone_number"),
+        F.struct("total_sent", "total_received", "unique_messages").alias("analytics"),
+        now.alias("updated_at"), now.alias("created_at"),
+    )
+
+
+def legacy_summary_rows(summary: DataFrame, run_ts) -> DataFrame:
+    """Legacy simple/enhanced summaries in the table's shape (first run)."""
+    now = utc_timestamp_literal(run_ts)
+    return summary.select(
+        F.col("user_id").alias("uid"), "org_id", "date", F.col("sender_number").alias("phone_number"),
+        F.struct(*ANALYTICS_FIELDS).alias("analytics"),
+        F.col("average_response_time").cast("double").alias("average_response_time"),
+        "conversation_starter", "last_message_from",
+        now.alias("updated_at"), F.col("earliest_message").alias("created_at"),
+    )
+
+
 def flatten_analytics(df: DataFrame) -> DataFrame:
     """Replace the nested ``analytics`` record by its fields (for comparisons)."""
     fields = df.schema["analytics"].dataType.fieldNames()
