@@ -28,6 +28,8 @@ from ..session import cut_lineage
 
 
 DUPLICATE_SOURCE_ROWS = "DUPLICATE_SOURCE_ROWS"
+# Number of join partitions rows with a NULL plain-equality key are spread over.
+NULL_KEY_SPREAD = 1024
 
 
 class DuplicateSourceKeyError(ValueError):
@@ -103,11 +105,30 @@ def upsert(
         for k in plain:
             matchable = matchable & F.col(k).isNotNull()
         s = s.withColumn("__s_dups", F.when(matchable, per_key).otherwise(F.lit(1)))
-    t = target.withColumn("__t_present", F.lit(True)).alias("__t")
-    s = s.alias("__s")
+    t = target.withColumn("__t_present", F.lit(True))
     conds = [
         (T(tk).eqNullSafe(S(sk)) if tk in safe else (T(tk) == S(sk))) for tk, sk in pairs.items()
     ]
+    plain_t = [tk for tk in pairs if tk not in safe]
+    if plain_t:
+        # Rows with a NULL plain-equality key never match, yet a join would
+        # hash all of them to one partition (a skewed task that AQE cannot
+        # split in a full outer join).  A salt spreads them by a
+        # deterministic row hash -- positive on the target side, negative on
+        # the source side, 0 for matchable rows -- without changing matches.
+        def salt(df: DataFrame, keys: list[str], sign: int) -> Column:
+            unmatchable = F.lit(False)
+            for k in keys:
+                unmatchable = unmatchable | F.col(k).isNull()
+            hashable = [c for c, dt in df.dtypes if not dt.startswith("map")]
+            spread = F.pmod(F.xxhash64(*hashable), F.lit(NULL_KEY_SPREAD)) + 1
+            return F.when(unmatchable, spread * sign).otherwise(F.lit(0).cast("long"))
+
+        t = t.withColumn("__salt", salt(target, plain_t, 1))
+        s = s.withColumn("__salt", salt(source, [pairs[k] for k in plain_t], -1))
+        conds.append(T("__salt") == S("__salt"))
+    t = t.alias("__t")
+    s = s.alias("__s")
     cond = conds[0]
     for c in conds[1:]:
         cond = cond & c
