@@ -1,8 +1,9 @@
 """Lifetime conversation summary (Q1) and its upsert (Q11).
 
 Plan: drop unattributed messages, LAG direction/timestamp per chat (across
-users and days), look up each row's weekday slot for its (user, org), and
-aggregate once per (chat, user, org, agent phone).  The reply average is
+users and days), rate each reply against the weekday slot of its (user, org)
+(a broadcast lookup when the calendars are small enough), and aggregate once
+per (chat, user, org, agent phone).  The reply average is
 keyed by (chat, user, org) only, so it is summed from the per-phone partial
 sums with a window over the aggregated rows instead of a second join.
 """
@@ -21,11 +22,6 @@ from ..operators.lag import HOUR_US, lag_in_order
 INCOMING, OUTGOING = "INCOMING", "OUTGOING"
 ORDER = ["message_timestamp", "event_id"]
 
-FLAT_COLUMNS = [
-    "chat_id", "uid", "org_id", "phone_number",
-    "messages_sent", "messages_received", "total_messages", "unique_messages", "number_of_follow_ups",
-    "average_response_time", "conversation_starter", "last_message_from", "created_at", "updated_at",
-]
 
 
 def party(is_outgoing) -> F.Column:
@@ -33,19 +29,17 @@ def party(is_outgoing) -> F.Column:
     return F.when(is_outgoing, "employee").otherwise("contact")
 
 
-def with_reply_seconds(events: DataFrame, working_hours: DataFrame, prev_ts: str = "prev_message_timestamp") -> DataFrame:
+def with_reply_seconds(
+    events: DataFrame, working_hours: DataFrame, is_reply: F.Column, prev_ts: str = "prev_message_timestamp"
+) -> DataFrame:
     """Join each row's (user, org) weekly hours and add ``working_seconds`` of
-    the (previous message -> this message) pair, using the weekday slot of
-    the previous message.  Also adds ``has_hours``."""
+    the (previous message -> this message) pair for reply rows (NULL on other
+    rows), using the weekday slot of the previous message."""
     hours = broadcast_if_small(weekly_hours_map(working_hours))
     df = events.join(hours, ["user_id", "org_id"], "left")
     slot = F.col("slots")[weekday1(prev_ts)]
-    return df.select(
-        "*",
-        working_seconds(F.col(prev_ts), F.col("message_timestamp"), slot["start_us"], slot["end_us"]).alias(
-            "working_seconds"
-        ),
-    )
+    ws = working_seconds(F.col(prev_ts), F.col("message_timestamp"), slot["start_us"], slot["end_us"])
+    return df.select("*", F.when(is_reply, ws).alias("working_seconds"))
 
 
 def conversation_summary_flat(
@@ -56,12 +50,11 @@ def conversation_summary_flat(
         "direction", "message_timestamp",
     )
     ev = lag_in_order(ev, ["chat_id"], ORDER, ["direction", "message_timestamp"], bucket_us=bucket_us)
-    ev = with_reply_seconds(ev, working_hours)
-
     is_in = F.col("direction") == INCOMING
     is_out = F.col("direction") == OUTGOING
     is_reply = is_out & (F.col("prev_direction") == INCOMING)
-    counted = F.when(is_reply & (F.col("working_seconds") > 0), F.col("working_seconds"))
+    ev = with_reply_seconds(ev, working_hours, is_reply)
+    counted = F.when(F.col("working_seconds") > 0, F.col("working_seconds"))
     agg = ev.groupBy("chat_id", "user_id", "org_id", "agent_phone_number").agg(
         F.min("message_timestamp").alias("created_at"),
         F.max("message_timestamp").alias("updated_at"),

@@ -20,12 +20,6 @@ from ..operators.joins import broadcast_if_small
 from ..operators.lag import HOUR_US, lag_in_order
 from .conversation import INCOMING, ORDER, OUTGOING, party, with_reply_seconds
 
-FLAT_COLUMNS = [
-    "activity_date", "user_id", "contact_id", "agent_phone_number", "org_id",
-    "conversation_starter_of_day", "agent_message_count", "contact_message_count",
-    "messages_sent", "messages_received", "total_messages", "unique_messages", "number_of_follow_ups",
-    "avg_agent_response_time_seconds", "time_to_first_response_seconds",
-]
 
 
 def daily_performance_flat(
@@ -37,12 +31,11 @@ def daily_performance_flat(
     )
     ev = lag_in_order(ev, ["user_id", "chat_id"], ORDER, ["direction", "message_timestamp"], bucket_us=bucket_us)
     ev = ev.where(F.col("user_id").isNotNull())
-    ev = with_reply_seconds(ev, working_hours).withColumn("activity_date", utc_date("message_timestamp"))
-
     is_in = F.col("direction") == INCOMING
     is_out = F.col("direction") == OUTGOING
     is_reply = is_out & (F.col("prev_direction") == INCOMING) & F.col("prev_message_timestamp").isNotNull()
-    counted = F.when(is_reply & (F.col("working_seconds") > 0), F.col("working_seconds"))
+    ev = with_reply_seconds(ev, working_hours, is_reply).withColumn("activity_date", utc_date("message_timestamp"))
+    counted = F.when(F.col("working_seconds") > 0, F.col("working_seconds"))
     agg = ev.groupBy("activity_date", "user_id", "org_id", "chat_id", "agent_phone_number").agg(
         F.min_by(is_out.cast("int"), "order_key").alias("_first_out"),
         F.count_if(is_in).alias("contact_message_count"),
