@@ -2,11 +2,18 @@
 
 A plain ``lag().over(Window.partitionBy(key))`` sends every row of a key to
 one task; one very large chat would then be one task.  ``lag_in_order``
-splits each key's history into time buckets (default one hour), runs the
-window per (key, bucket), and gives the first row of every bucket the last
-row of the key's previous non-empty bucket.  The stitch table has one row per
-(key, bucket), so even a key holding a third of all rows contributes only
-one row per active hour to it.  The result is exactly the un-split LAG.
+first counts rows per key (a map-side partial count).  Keys with more than
+``hot_key_rows`` rows are *hot*: their history is split into time buckets
+(default one hour), the window runs per (key, bucket), and the first row of
+every bucket takes the last row of the key's previous non-empty bucket.  All
+other keys run as one window partition each, exactly like the plain window,
+so the stitching costs nothing when no key is hot.  The result is always
+exactly the un-split LAG.
+
+The list of hot keys is bounded by ``rows / hot_key_rows`` and is broadcast
+behind a size check; the tails of hot buckets come from a map-side partial
+aggregate, so only one row per (hot key, bucket) per task is shuffled for
+them.
 
 It also emits ``order_key``: a BIGINT that grows along the window order inside
 each key (bucket in the high bits, row number in the low 32).  Aggregations can
@@ -22,10 +29,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_us, floor_div
+from .joins import broadcast_if_small
 
 HOUR_US = 3_600_000_000
+# Keys with more rows than this are split into time buckets (session conf
+# ``parley.lag.hotKeyRows`` overrides it).
+HOT_KEY_ROWS = 1_000_000
+HOT_KEY_CONF = "parley.lag.hotKeyRows"
 
-_PK, _B, _RN, _TAIL, _PREV_TAIL = "_lag_pk", "_lag_b", "_lag_rn", "_lag_tail", "_lag_prev_tail"
+_PK, _B, _RN, _TAIL, _PREV_TAIL, _HOT = "_lag_pk", "_lag_b", "_lag_rn", "_lag_tail", "_lag_prev_tail", "_lag_hot"
 
 
 def lag_in_order(
@@ -36,6 +48,7 @@ def lag_in_order(
     *,
     time_col: str | None = None,
     bucket_us: int | None = HOUR_US,
+    hot_key_rows: int | None = None,
     prefix: str = "prev_",
     key_col: str = "order_key",
 ) -> DataFrame:
@@ -53,24 +66,32 @@ def lag_in_order(
         return df.select("*", *lags, F.row_number().over(w).cast("long").alias(key_col))
 
     time_col = time_col or order_by[0]
-    d = df.select(
-        "*",
-        F.struct(*partition_by).alias(_PK),  # struct keys compare NULL fields as equal
-        floor_div(epoch_us(time_col), bucket_us).alias(_B),
+    if hot_key_rows is None:
+        hot_key_rows = int(df.sparkSession.conf.get(HOT_KEY_CONF, None) or HOT_KEY_ROWS)
+    pk = F.struct(*partition_by).alias(_PK)  # struct keys compare NULL fields as equal
+    hot = (
+        df.groupBy(pk)
+        .agg(F.count(F.lit(1)).alias("_lag_n"))
+        .where(F.col("_lag_n") > hot_key_rows)
+        .select(_PK, F.lit(True).alias(_HOT))
+    )
+    bucket = F.when(F.col(_HOT), floor_div(epoch_us(time_col), bucket_us)).otherwise(F.lit(-1).cast("long"))
+    d = (
+        df.select("*", pk)
+        .join(broadcast_if_small(hot), _PK, "left")
+        .select(*df.columns, _PK, bucket.alias(_B))
     )
     w = Window.partitionBy(_PK, _B).orderBy(*order)
-    d = d.select(
+    windowed = d.select(
         "*",
         *[F.lag(c).over(w).alias(prefix + c) for c in columns],
         F.row_number().over(w).cast("long").alias(_RN),
     )
 
-    # Tails (last row of each key-bucket) come from a partial aggregation of
-    # the input rows, so only one row per (key, bucket) per map task is
-    # shuffled for them; the full rows are shuffled once, for the window.
+    # Last row of every hot (key, bucket); map-side partial aggregation keeps
+    # the shuffle to one row per (key, bucket) per task.
     tails = (
-        df.select(F.struct(*partition_by).alias(_PK), floor_div(epoch_us(time_col), bucket_us).alias(_B), *order_by,
-                  *[c for c in columns if c not in order_by])
+        d.where(F.col(_B) >= 0)
         .groupBy(_PK, _B)
         .agg(F.max_by(F.struct(*columns), F.struct(*order)).alias(_TAIL))
     )
@@ -79,14 +100,12 @@ def lag_in_order(
         _B,
         F.lag(_TAIL).over(Window.partitionBy(_PK).orderBy(_B)).alias(_PREV_TAIL),
     )
-    d = d.join(stitch, [_PK, _B], "left")
+    joined = windowed.join(stitch, [_PK, _B], "left")
 
     first = F.col(_RN) == 1
     fixed = [
-        F.when(first, F.col(_PREV_TAIL)[c]).otherwise(F.col(prefix + c)).alias(prefix + c)
+        F.when(first & F.col(_PREV_TAIL).isNotNull(), F.col(_PREV_TAIL)[c]).otherwise(F.col(prefix + c)).alias(prefix + c)
         for c in columns
     ]
     key = (F.col(_B) * F.lit(1 << 32) + F.col(_RN)).alias(key_col)
-    keep = [c for c in df.columns]
-    return d.select(*keep, *fixed, key)
-
+    return joined.select(*df.columns, *fixed, key)

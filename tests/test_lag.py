@@ -29,9 +29,15 @@ def events(spark):
     return spark.createDataFrame(rows, "event_id string, k string, s string, t timestamp, direction string")
 
 
-@pytest.mark.parametrize("bucket_us", [None, 7 * MINUTE_US, 3600 * 10**6, 10 * 24 * 3600 * 10**6])
-def test_matches_plain_window(events, bucket_us):
-    got = lag_in_order(events, ["k", "s"], ["t", "event_id"], ["direction", "t"], bucket_us=bucket_us)
+@pytest.mark.parametrize(
+    "bucket_us,hot_key_rows",
+    [(None, 0), (7 * MINUTE_US, 0), (7 * MINUTE_US, 200), (3600 * 10**6, 0), (10 * 24 * 3600 * 10**6, 0),
+     (3600 * 10**6, 10**9)],
+)
+def test_matches_plain_window(events, bucket_us, hot_key_rows):
+    """hot_key_rows=0 splits every key, 200 only the hot one, 10**9 none."""
+    got = lag_in_order(events, ["k", "s"], ["t", "event_id"], ["direction", "t"], bucket_us=bucket_us,
+                       hot_key_rows=hot_key_rows)
     w = Window.partitionBy("k", "s").orderBy("t", "event_id")
     want = events.select("*", F.lag("direction").over(w).alias("want_dir"), F.lag("t").over(w).alias("want_t"))
     joined = got.join(want.select("event_id", "want_dir", "want_t"), "event_id")
@@ -43,7 +49,7 @@ def test_matches_plain_window(events, bucket_us):
 
 
 def test_order_key_follows_the_order(events):
-    got = lag_in_order(events, ["k", "s"], ["t", "event_id"], ["direction"], bucket_us=7 * MINUTE_US)
+    got = lag_in_order(events, ["k", "s"], ["t", "event_id"], ["direction"], bucket_us=7 * MINUTE_US, hot_key_rows=200)
     w = Window.partitionBy("k", "s").orderBy("t", "event_id")
     chk = got.select("k", "s", "order_key", F.lag("order_key").over(w).alias("prev_key"))
     assert chk.where(F.col("prev_key") >= F.col("order_key")).count() == 0
