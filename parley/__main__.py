@@ -1,6 +1,9 @@
 """Command line for the merge jobs (what each original MERGE statement did).
 
-    spark-submit --conf spark.checkpoint.dir=<shared dir> -m parley <job> [options]
+    python -m parley <job> [options]
+
+(cluster settings such as master and ``spark.checkpoint.dir`` come from
+spark-defaults.conf or ``PYSPARK_SUBMIT_ARGS``, as for any PySpark program).
 
 Jobs:
   conversation-summary  --events P --hours P --target P [--parity-keys]
