@@ -379,7 +379,7 @@ grp AS (
   FROM valued WHERE v IS NOT NULL
   GROUP BY user_id, org_id, chat_id, date
 ),
-grp_avg AS (SELECT *, (2 * s + 1000 * n) // (2000 * n) AS avg_rt FROM grp),
+grp_avg AS (SELECT *, CAST((2 * s + 1000 * n) // (2000 * n) AS BIGINT) AS avg_rt FROM grp),
 out AS (
   SELECT TRY_CAST(user_id AS BIGINT) AS user_id, TRY_CAST(org_id AS BIGINT) AS org_id, phone_number, date,
          arg_max(avg_rt, chat_id) AS avg_response_time
@@ -552,7 +552,7 @@ SELECT user_id, org_id, date, sender_number,
        'OUTGOING' AS last_message_from,
        MIN(message_timestamp) AS earliest_message,
        MAX(message_timestamp) AS latest_message,
-       0.0 AS average_response_time
+       CAST(0 AS DOUBLE) AS average_response_time
 FROM ld GROUP BY user_id, org_id, date, sender_number
 """
 
@@ -629,7 +629,7 @@ grp AS (
   FROM valued WHERE v IS NOT NULL
   GROUP BY user_id, org_id, chat_id, date
 ),
-grp_avg AS (SELECT *, (2 * s + 1000 * n) // (2000 * n) AS avg_rt FROM grp),
+grp_avg AS (SELECT *, CAST((2 * s + 1000 * n) // (2000 * n) AS BIGINT) AS avg_rt FROM grp),
 records AS (
   SELECT TRY_CAST(user_id AS BIGINT) AS user_id, TRY_CAST(org_id AS BIGINT) AS org_id, phone_number, date,
          arg_max(avg_rt, chat_id) AS avg_response_time
@@ -658,7 +658,7 @@ counters AS (
 ),
 summary AS (
   SELECT user_id,
-         (2 * SUM(avg_response_time) + COUNT(*)) // (2 * COUNT(*)) AS avg_response_time,
+         CAST((2 * SUM(avg_response_time) + COUNT(*)) // (2 * COUNT(*)) AS BIGINT) AS avg_response_time,
          MIN(avg_response_time) AS min_response_time,
          MAX(avg_response_time) AS max_response_time,
          COUNT(*) AS total_records,
@@ -779,7 +779,7 @@ def legacy_simple_sql(src: str) -> str:
          CAST(0 AS BIGINT) AS number_of_follow_ups,
          'INCOMING' AS conversation_starter, 'OUTGOING' AS last_message_from,
          MIN(message_timestamp) AS earliest_message,
-         0.0 AS average_response_time
+         CAST(0 AS DOUBLE) AS average_response_time
   FROM {src} GROUP BY user_id, org_id, CAST(message_timestamp AS DATE), sender_number"""
 
 

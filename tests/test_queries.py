@@ -34,6 +34,18 @@ def test_query_matches_oracle(spark, con, name):
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]
 
 
+_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+         "timestamp": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_types_match_oracle(spark, con, name):
+    schema = {f.name: f.dataType.simpleString() for f in entry.queries()[name](spark, SF_SMALL).schema.fields}
+    rel = con.sql(entry.oracle_sql()[name])
+    oracle = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: _DUCK.get(t, t) for c, t in schema.items()} == oracle
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() >= 0
