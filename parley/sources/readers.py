@@ -50,6 +50,8 @@ def ingestion_window(events: DataFrame, run_date: str | dt.date | None, days: in
     otherwise Parquet min/max statistics prune row groups."""
     if days is None:
         return events
+    if run_date is None:
+        raise ValueError("an ingestion window needs run_date (the reference's CURRENT_DATE, passed explicitly)")
     run = run_date if isinstance(run_date, dt.date) else dt.date.fromisoformat(str(run_date))
     lo = (run - dt.date(1970, 1, 1)).days - days
     hi = (run - dt.date(1970, 1, 1)).days

@@ -34,3 +34,11 @@ def test_default_week_literal(spark):
     rows = spark.range(1).select(F.explode(readers.default_week_column()).alias("d")).select("d.*").collect()
     assert [r.week_day for r in rows] == [d for d, _, _ in readers.DEFAULT_WEEK]
     assert {(r.start_time, r.end_time, r.timezone_offset) for r in rows} == {("09:00:00", "18:00:00", 0)}
+
+
+def test_window_needs_a_run_date(spark):
+    import pytest
+
+    me = fixtures.message_events(fixtures.load_table(spark, SF_SMALL, "events"))
+    with pytest.raises(ValueError, match="run_date"):
+        readers.ingestion_window(me, None, 2)
