@@ -2,10 +2,12 @@
 
 A plain ``lag().over(Window.partitionBy(key))`` sends every row of a key to
 one task; one very large chat would then be one task.  ``lag_in_order``
-first counts rows per key (a map-side partial count).  Keys with more than
-``hot_key_rows`` rows are *hot*: their history is split into time buckets
-(default one hour), the window runs per (key, bucket), and the first row of
-every bucket takes the last row of the key's previous non-empty bucket.  All
+first counts rows per key (a map-side partial count, with the key's time
+span).  Keys with more than ``hot_key_rows`` rows are *hot*: their history is
+split into time buckets sized so that a bucket holds about ``hot_key_rows``
+rows on average (at most ``bucket_us`` wide, at least 1 s), the window runs
+per (key, bucket), and the first row of every bucket takes the last row of
+the key's previous non-empty bucket.  All
 other keys run as one window partition each, exactly like the plain window,
 so the stitching costs nothing when no key is hot.  The result is always
 exactly the un-split LAG.
@@ -28,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timecols import epoch_us, floor_div
+from ..functions.timecols import epoch_us
 from .joins import broadcast_if_small
 
 HOUR_US = 3_600_000_000
@@ -38,6 +40,11 @@ HOT_KEY_ROWS = 1_000_000
 HOT_KEY_CONF = "parley.lag.hotKeyRows"
 
 _PK, _B, _RN, _TAIL, _PREV_TAIL, _HOT = "_lag_pk", "_lag_b", "_lag_rn", "_lag_tail", "_lag_prev_tail", "_lag_hot"
+_START, _WIDTH = "_lag_start", "_lag_width"
+# Narrowest bucket: rows within one second of one key stay together (this
+# also keeps order_key = bucket << 32 | row number inside a BIGINT for spans
+# up to 68 years).
+MIN_BUCKET_US = 1_000_000
 
 
 def lag_in_order(
@@ -56,8 +63,9 @@ def lag_in_order(
     partition in ``order_by`` order) for each of ``columns``, plus ``key_col``.
 
     ``order_by`` must be a total order led by the timestamp ``time_col``
-    (default: ``order_by[0]``).  ``bucket_us=None`` runs one plain window per
-    partition, for inputs whose groups are known to be small.
+    (default: ``order_by[0]``).  ``bucket_us`` is the widest bucket of a hot
+    key; ``bucket_us=None`` runs one plain window per partition, for inputs
+    whose groups are known to be small.
     """
     order = [F.col(c) for c in order_by]
     if bucket_us is None:
@@ -69,13 +77,25 @@ def lag_in_order(
     if hot_key_rows is None:
         hot_key_rows = int(df.sparkSession.conf.get(HOT_KEY_CONF, None) or HOT_KEY_ROWS)
     pk = F.struct(*partition_by).alias(_PK)  # struct keys compare NULL fields as equal
+    t_us = epoch_us(time_col)
+    # Bucket width per hot key: its time span * hot_key_rows / rows, so a
+    # bucket holds about hot_key_rows rows on average however large the key
+    # is; clamped to [MIN_BUCKET_US, bucket_us].
+    n, lo, hi = F.col("_lag_n"), F.col("_lag_lo"), F.col("_lag_hi")
+    width = F.least(
+        F.lit(bucket_us).cast("long"),
+        F.greatest(F.lit(MIN_BUCKET_US).cast("long"), ((hi - lo + 1) * F.lit(hot_key_rows) / n).cast("long")),
+    )
     hot = (
         df.groupBy(pk)
-        .agg(F.count(F.lit(1)).alias("_lag_n"))
-        .where(F.col("_lag_n") > hot_key_rows)
-        .select(_PK, F.lit(True).alias(_HOT))
+        .agg(F.count(F.lit(1)).alias("_lag_n"), F.min(t_us).alias("_lag_lo"), F.max(t_us).alias("_lag_hi"))
+        .where(n > hot_key_rows)
+        .select(_PK, F.lit(True).alias(_HOT), lo.alias(_START), width.alias(_WIDTH))
     )
-    bucket = F.when(F.col(_HOT), floor_div(epoch_us(time_col), bucket_us)).otherwise(F.lit(-1).cast("long"))
+    offset = t_us - F.col(_START)
+    bucket = F.when(
+        F.col(_HOT), ((offset - F.pmod(offset, F.col(_WIDTH))) / F.col(_WIDTH)).cast("long")
+    ).otherwise(F.lit(-1).cast("long"))
     d = (
         df.select("*", pk)
         .join(broadcast_if_small(hot), _PK, "left")

@@ -32,7 +32,7 @@ def events(spark):
 @pytest.mark.parametrize(
     "bucket_us,hot_key_rows",
     [(None, 0), (7 * MINUTE_US, 0), (7 * MINUTE_US, 200), (3600 * 10**6, 0), (10 * 24 * 3600 * 10**6, 0),
-     (3600 * 10**6, 10**9)],
+     (3600 * 10**6, 10**9), (3600 * 10**6, 20)],
 )
 def test_matches_plain_window(events, bucket_us, hot_key_rows):
     """hot_key_rows=0 splits every key, 200 only the hot one, 10**9 none."""
