@@ -27,7 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_us
@@ -47,6 +47,16 @@ _START, _WIDTH = "_lag_start", "_lag_width"
 MIN_BUCKET_US = 1_000_000
 
 
+def bucket_width(n: Column, lo_us: Column, hi_us: Column, hot_key_rows: int, bucket_us: int) -> Column:
+    """Bucket width (us) for a hot key with ``n`` rows between ``lo_us`` and
+    ``hi_us``: its span * hot_key_rows / n, so a bucket holds about
+    ``hot_key_rows`` rows on average however large the key is; clamped to
+    [MIN_BUCKET_US, bucket_us].  Computed in DOUBLE: span * rows overflows
+    BIGINT for long histories."""
+    raw = ((hi_us - lo_us + 1).cast("double") * F.lit(float(hot_key_rows)) / n).cast("long")
+    return F.least(F.lit(bucket_us).cast("long"), F.greatest(F.lit(MIN_BUCKET_US).cast("long"), raw))
+
+
 def lag_in_order(
     df: DataFrame,
     partition_by: Sequence[str],
@@ -78,14 +88,8 @@ def lag_in_order(
         hot_key_rows = int(df.sparkSession.conf.get(HOT_KEY_CONF, None) or HOT_KEY_ROWS)
     pk = F.struct(*partition_by).alias(_PK)  # struct keys compare NULL fields as equal
     t_us = epoch_us(time_col)
-    # Bucket width per hot key: its time span * hot_key_rows / rows, so a
-    # bucket holds about hot_key_rows rows on average however large the key
-    # is; clamped to [MIN_BUCKET_US, bucket_us].
     n, lo, hi = F.col("_lag_n"), F.col("_lag_lo"), F.col("_lag_hi")
-    width = F.least(
-        F.lit(bucket_us).cast("long"),
-        F.greatest(F.lit(MIN_BUCKET_US).cast("long"), ((hi - lo + 1) * F.lit(hot_key_rows) / n).cast("long")),
-    )
+    width = bucket_width(n, lo, hi, hot_key_rows, bucket_us)
     hot = (
         df.groupBy(pk)
         .agg(F.count(F.lit(1)).alias("_lag_n"), F.min(t_us).alias("_lag_lo"), F.max(t_us).alias("_lag_hi"))

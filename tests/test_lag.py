@@ -53,3 +53,29 @@ def test_order_key_follows_the_order(events):
     w = Window.partitionBy("k", "s").orderBy("t", "event_id")
     chk = got.select("k", "s", "order_key", F.lag("order_key").over(w).alias("prev_key"))
     assert chk.where(F.col("prev_key") >= F.col("order_key")).count() == 0
+
+
+def test_long_history_hot_key(spark):
+    """A hot key spanning years: bucket widths and order keys stay in range
+    (ANSI arithmetic would fail on overflow) and the LAG is exact."""
+    base = dt.datetime(2015, 1, 1, tzinfo=dt.timezone.utc).timestamp()
+    rows = [(str(i), "hot", dt.datetime.fromtimestamp(base + i * 86_400 * 3.7, tz=dt.timezone.utc),
+             "INCOMING" if i % 2 else "OUTGOING") for i in range(3000)]
+    df = spark.createDataFrame(rows, "event_id string, k string, t timestamp, direction string")
+    got = lag_in_order(df, ["k"], ["t", "event_id"], ["direction"], hot_key_rows=100)
+    w = Window.partitionBy("k").orderBy("t", "event_id")
+    want = df.select("event_id", F.lag("direction").over(w).alias("want"))
+    bad = got.join(want, "event_id").where(~F.col("prev_direction").eqNullSafe(F.col("want")))
+    assert bad.count() == 0
+
+
+def test_bucket_width_for_huge_keys(spark):
+    from parley.operators.lag import HOUR_US, MIN_BUCKET_US, bucket_width
+
+    ten_years_us = 10 * 365 * 86_400 * 10**6
+    df = spark.createDataFrame([(3_000_000, 0, ten_years_us), (10**12, 0, ten_years_us), (2_000_000, 0, 10**6)],
+                               "n long, lo long, hi long")
+    got = [r[0] for r in df.select(bucket_width(F.col("n"), F.col("lo"), F.col("hi"), 1_000_000, HOUR_US)).collect()]
+    assert got[0] == HOUR_US              # ~1.2 years per bucket -> capped at an hour
+    assert got[1] == 315_360_000          # 10**12 rows over 10 years: 315 s per million rows
+    assert got[2] == MIN_BUCKET_US        # everything within one second -> floor
