@@ -106,3 +106,19 @@ def test_report_for_user_without_replies(spark):
     r = report.user_report(df, hours, days=None).first()
     assert (r.message_count, r.incoming_messages, r.total_records, r.avg_response_time, r.date_range) == (1, 1, 0, 0, "No data")
     assert r.phone_numbers == []
+
+
+def test_per_chat_records_collapse_to_q3(spark):
+    """T14: the per-chat records, collapsed by (user, org, phone, date) with
+    the last chat winning, are exactly the registered response times."""
+    import __spark_entry__ as entry
+
+    i = entry.Inputs(spark, SF_MEDIUM)
+    by_chat = response.adjusted_response_times_by_chat(i.message_events, i.response_hours)
+    collapsed = by_chat.groupBy("user_id", "org_id", "phone_number", "date").agg(
+        F.max_by("avg_response_time", "chat_id").alias("avg_response_time")
+    )
+    want = response.adjusted_response_times(i.message_events, i.response_hours)
+    cols = sorted(want.columns)
+    assert by_chat.count() >= want.count()
+    assert digest(cols, collapsed.select(cols).collect())[0] == digest(cols, want.select(cols).collect())[0]
