@@ -84,3 +84,9 @@ def test_distribution_maps(spark):
     row = report.distribution_maps(report.message_distribution(msgs)).first()
     assert row.date_distribution == {"2024-01-01": 2, "2024-01-02": 1}
     assert row.direction_distribution == {"INCOMING": 1, "OUTGOING": 1, "SYSTEM": 1}
+
+
+def test_first_mapping_without_read_order(spark):
+    mapping = spark.createDataFrame([(7, 3, 2), (7, 1, 5), (8, 0, 0)], "user_id long, team_id long, org_id long")
+    got = {r.user_id: (r.team_id, r.org_id) for r in H.first_mapping_per_user(mapping).collect()}
+    assert got == {7: (3, 2), 8: (0, 0)}
