@@ -21,6 +21,13 @@ def user_working_hours(mapping: DataFrame, config: DataFrame, dedup: bool = True
     return all_users_working_hours(mapping, config, dedup=dedup)
 
 
+def configured_user_count(mapping: DataFrame, config: DataFrame) -> DataFrame:
+    """Q5's count: one row with the number of users whose configuration was
+    resolved (one per mapped user after the first-row dedup)."""
+    users = user_working_hours(mapping, config).select("user_id").distinct()
+    return users.agg(F.count(F.lit(1)).alias("count"))
+
+
 def user_working_hours_flat(mapping: DataFrame, config: DataFrame, split_sets: bool = True) -> DataFrame:
     """The flattened (user_id, org_id, week_day, start_time, end_time) rows."""
     return flatten_working_hours(all_users_working_hours(mapping, config), split_sets=split_sets)

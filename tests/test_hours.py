@@ -90,3 +90,7 @@ def test_first_mapping_without_read_order(spark):
     mapping = spark.createDataFrame([(7, 3, 2), (7, 1, 5), (8, 0, 0)], "user_id long, team_id long, org_id long")
     got = {r.user_id: (r.team_id, r.org_id) for r in H.first_mapping_per_user(mapping).collect()}
     assert got == {7: (3, 2), 8: (0, 0)}
+
+
+def test_configured_user_count(spark):
+    assert config.configured_user_count(_mapping(spark), _config(spark)).first()["count"] == 4
