@@ -8,6 +8,7 @@ these helpers are only conveniences for tests, benches and scripts.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,16 +45,24 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared (distributed) folder and is
-    used as is.  Only when it is unset (local tests) do we create a scratch
-    folder of our own.
+    On a cluster this setting names a shared (distributed) folder and is used
+    as is.  It is handed to Spark once per application (Spark appends a
+    subfolder of its own to it).  Only a local master may go without: it gets
+    a scratch folder; elsewhere a machine-local folder would lose data with
+    its machine, so the missing setting is an error.
     """
-    configured = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         configured = tempfile.mkdtemp(prefix="parley-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    return spark.sparkContext.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
