@@ -70,29 +70,36 @@ def repeat_words(ws: Column, window: int = WINDOW) -> Column:
 def with_word_statistics(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, text, n_words, word_chars, n_symbols, n_lines, n_dup_lines,
     n_repeat_words) of the whole texts; NULL text counts as empty."""
-    split = df.select(
-        F.col(id_col),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        words(F.col(text_col)).alias("ws"),
-    )
-    lines = F.filter(F.split("text", "\n", -1), lambda line: line.rlike(WORD))
-    return split.select(
+    # The words are bound once: an optimiser that moves a later filter below
+    # this projection repeats the expression, but never per word.
+    def of_words(ws: Column) -> Column:
+        return F.struct(
+            F.size(ws).cast("bigint").alias("n_words"),
+            F.length(F.concat_ws("", ws)).cast("bigint").alias("word_chars"),
+            repeat_words(ws).alias("n_repeat_words"),
+        )
+
+    def of_lines(lines: Column) -> Column:
+        n = F.size(lines)
+        return F.struct(n.cast("bigint").alias("n"), (n - F.size(F.array_distinct(lines))).cast("bigint").alias("dup"))
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(WORD))
+    return df.select(
         F.col(id_col),
-        "text",
-        F.size("ws").cast("bigint").alias("n_words"),
-        F.length(F.concat_ws("", "ws")).cast("bigint").alias("word_chars"),
-        F.length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"),
-        let(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("d"))).alias("ln"),
-        repeat_words(F.col("ws")).alias("n_repeat_words"),
+        text.alias("text"),
+        let(words(F.col(text_col)), of_words).alias("w"),
+        F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"),
+        let(lines, of_lines).alias("ln"),
     ).select(
         id_col,
         "text",
-        "n_words",
-        "word_chars",
+        "w.n_words",
+        "w.word_chars",
         "n_symbols",
-        F.col("ln.n").cast("bigint").alias("n_lines"),
-        F.col("ln.d").cast("bigint").alias("n_dup_lines"),
-        "n_repeat_words",
+        F.col("ln.n").alias("n_lines"),
+        F.col("ln.dup").alias("n_dup_lines"),
+        "w.n_repeat_words",
     )
 
 
@@ -178,7 +185,10 @@ def keep_documents(
     rules = ordered_default_rules(docs, id_col, text_col, sample_rows)
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(text_col).alias("text"))
     rows = with_word_statistics(packed, "doc", "text")
-    return rows.where(~base_failed()).where(rejecting_rule(rules).isNull()).select("doc.*")
+    kept = ~base_failed() & rejecting_rule(rules).isNull()
+    # A generator, not a filter: filters are moved below the projections and
+    # would compute the statistics again.
+    return rows.select(F.inline(F.when(kept, F.array("doc"))))
 
 
 def quality_rules(
