@@ -249,20 +249,23 @@ def shared_columns(docs: DataFrame, id_col: str, text_col: str, frequent: np.nda
         classes, sizes, column, count = unpack_rows(table.column("data").to_pylist())
         order = np.lexsort((column, count, classes))
         classes, sizes, column = classes[order], sizes[order].astype(np.int64), column[order].astype(np.int64)
+        count = count[order].astype(np.float64)
         fresh = np.concatenate([[True], (classes[1:] != classes[:-1]) | (column[1:] != column[:-1])])[: len(classes)]
-        classes, sizes, column = classes[fresh], sizes[fresh], column[fresh]
+        classes, sizes, column, count = classes[fresh], sizes[fresh], column[fresh], count[fresh]
         starts = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]])[: len(classes)])
         held = np.diff(np.concatenate([starts, [len(classes)]]))
+        # Rows whose columns many others have lie in the middle of their group.
+        centre = (np.add.reduceat(count, starts) if len(starts) else count) / np.maximum(sizes[starts], 1)
         able = 5 * held >= 4 * sizes[starts]
         keep = np.repeat(able, held)
         offsets = np.concatenate([[0], np.cumsum(held[able])])
         shared = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(column[keep], pa.int64()))
         return pa.table({"class": pa.array(classes[starts][able], pa.int64()),
-                         "n": pa.array(sizes[starts][able], pa.int64()), "shared": shared.cast(pa.list_(pa.int64()))})
+                         "n": pa.array(sizes[starts][able], pa.int64()), "centre": pa.array(centre[able], pa.float64()), "shared": shared.cast(pa.list_(pa.int64()))})
 
     blobs = rows.mapInArrow(entries, "block int, data binary")
     products = blobs.groupBy("block").applyInArrow(multiply, "part int, data binary")
-    return products.groupBy("part").applyInArrow(collect_rows, "class long, n long, shared array<long>")
+    return products.groupBy("part").applyInArrow(collect_rows, "class long, n long, centre double, shared array<long>")
 
 
 def needed(a: Column, b: Column) -> Column:
@@ -289,6 +292,7 @@ def star_pairs(prefix: DataFrame, orders: list[Column]) -> DataFrame:
     Pairs inside one component are left out.
     """
     cols = F.struct("class", "n", "left", "root")
+    rows_only = ["hub", "before", "salt"]
 
     def linked(rows: DataFrame, order: Column, *keys: str) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy(order, "class")
@@ -306,7 +310,7 @@ def star_pairs(prefix: DataFrame, orders: list[Column]) -> DataFrame:
     out = None
     for order in orders:
         inner = linked(part, order, "column", "salt")
-        firsts = linked(inner.where("before IS NULL").drop("hub", "before"), order, "column")
+        firsts = linked(inner.where("before IS NULL").drop(*rows_only), order, "column")
         both = pairs(inner).unionByName(pairs(firsts))
         out = both if out is None else out.unionByName(both)
     return out.distinct()
@@ -415,18 +419,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     able = written(shared_columns(docs, id_col, text_col, frequent, max(bits, 5)), "rows")
     need = F.ceil(F.col("n") * 4 / 5).cast("int")
     first = F.slice("shared", F.lit(1), F.size("shared") - need + 1)
-    prefix = able.select("class", "n", F.size("shared").alias("m"), F.posexplode(first).alias("at", "column")).select(
-        "class", "n", "column", (F.col("m") - F.col("at")).alias("left")
+    prefix = able.select("class", "n", "centre", F.size("shared").alias("m"), F.posexplode(first).alias("at", "column")).select(
+        "class", "n", "centre", "column", (F.col("m") - F.col("at")).alias("left")
     )
     prefix = written(prefix, "prefix")
-    # Stars first: by size, then in two rounds of seeded orders.  What is left
-    # between components is counted in full.
+    # Stars first: around the rows in the middle of their groups, by size and
+    # in seeded orders.  What is left between components is counted in full.
     shuffled = [F.xxhash64("class", F.lit(i)) for i in range(4)]
     unlinked = able.select("class", F.col("class").alias("root"))
-    links = written(linked_pairs(star_pairs(with_roots(prefix, unlinked), [F.col("n"), *shuffled[:2]]), able), "star-links")
+    links = written(linked_pairs(star_pairs(with_roots(prefix, unlinked), [-F.col("centre"), F.col("n"), shuffled[0]]), able), "star-links")
     roots = written(connected_roots(links), "star-roots")
     marked = written(with_roots(prefix, roots), "open-columns")
-    again = written(linked_pairs(star_pairs(marked, shuffled[2:]), able), "more-star-links")
+    again = written(linked_pairs(star_pairs(marked, [-F.col("centre"), *shuffled[2:]]), able), "more-star-links")
     roots, links = merged_roots(roots, links, again)
     marked = written(with_roots(marked.drop("root"), roots), "open-columns")
     rest = written(linked_pairs(remaining_pairs(marked), able), "rest-links")

@@ -1,9 +1,11 @@
 """Token ids of whole texts, word by word.
 
-For tokenizers whose pre-tokenizer drops white space, the ids of a text are
-the ids of its white-space-separated words in a row.  Arrow splits and
-dictionary-encodes the words of a slice of rows, only words not seen before go
-through the tokenizer, and one gather puts the ids together.
+For tokenizers whose pre-tokenizer drops white space and keeps runs of letters
+apart from punctuation, the ids of a text are the ids of its words in a row,
+and those of a word of letters with punctuation behind it are the ids of both
+parts.  Arrow splits and dictionary-encodes the words of a slice of rows, only
+parts not seen before go through the tokenizer, and one gather puts the ids
+together.
 """
 
 from __future__ import annotations
@@ -17,6 +19,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 8_000_000
+# Letters (lower-cased in A-Z by the tokenizer anyway), then ASCII punctuation
+# other than the apostrophe, which starts contractions.
+PARTS = r"^\p{L}+[!#$%&()*+,./:;=?@_|~-]*$"
+TAIL = r"[!#$%&()*+,./:;=?@_|~-]+$"
+JOINED = 64  # new words that go through the tokenizer as one text
 CACHED_WORDS = 400_000
 
 
@@ -34,6 +41,10 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder().items()
+        plain = [(i, t.content) for i, t in added if t.special and not (t.lstrip or t.rstrip or t.normalized or t.single_word)]
+        # A special token splits a text before anything else happens to it.
+        self.mark = min(plain, default=None)
         self.forget()
 
     def forget(self) -> None:
@@ -43,20 +54,46 @@ class WordEncoder:
         self.pool = np.zeros(1 << 14, np.uint32)
         self.used = 0
 
-    def add(self, words: list[str], ids: list[list[int]]) -> None:
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        total, n = int(lengths.sum()), len(self.numbers)
+    def learn(self, words: list[str]) -> None:
+        """Run new words through the tokenizer, many at once between marks."""
+        if not words:
+            return
+        if self.mark is None:
+            for e, w in zip(self.tokenizer.encode_batch_fast(words, add_special_tokens=False), words, strict=True):
+                self.add([w], np.array(e.ids, np.uint32), np.array([len(e.ids)], np.int64))
+            return
+        number, text = self.mark
+        odd = [w for w in words if text in w]
+        for w in odd:
+            ids = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32)
+            self.add([w], ids, np.array([len(ids)], np.int64))
+        if odd:
+            words = [w for w in words if text not in w]
+        chunks = [text.join([*words[i : i + JOINED], ""]) for i in range(0, len(words), JOINED)]
+        coded = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in coded] or [np.zeros(0, np.uint32)])
+        ends = np.flatnonzero(ids == number)
+        self.add(words, ids[ids != number], np.diff(ends, prepend=-1) - 1)
+
+    def add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        total, n = len(ids), len(self.numbers)
         while len(self.pool) < self.used + total:
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         while len(self.starts) < n + len(words):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-        self.pool[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
+        self.pool[self.used : self.used + total] = ids
         self.lengths[n : n + len(words)] = lengths
         self.starts[n : n + len(words)] = self.used + np.cumsum(lengths) - lengths
         self.numbers.update(zip(words, range(n, n + len(words)), strict=True))
         self.used += total
 
+    def number_of(self, words: pa.Array) -> np.ndarray:
+        """The words' numbers, new ones learnt."""
+        listed = words.to_pylist()
+        self.learn([w for w in listed if w not in self.numbers])
+        return np.fromiter(map(self.numbers.__getitem__, listed), np.int64, len(listed))
+
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, offsets per text); ``end_id`` closes
         each text, NULL is the empty text."""
@@ -64,16 +101,21 @@ class WordEncoder:
             self.forget()
         split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = split.flatten().dictionary_encode()
-        vocabulary = coded.dictionary.to_pylist()
+        vocabulary = coded.dictionary
+        # Each word in two parts; a word of another form is whole, with nothing behind it.
+        in_parts = pc.match_substring_regex(vocabulary, PARTS)
+        body = pc.if_else(in_parts, pc.ascii_lower(pc.replace_substring_regex(vocabulary, TAIL, "")), vocabulary)
+        tail = pc.if_else(in_parts, pc.replace_substring_regex(vocabulary, r"^\p{L}+", ""), "")
+        parts = np.empty((len(vocabulary), 2), np.int64)
+        for i, column in enumerate((body, tail)):
+            unique = column.dictionary_encode()
+            parts[:, i] = self.number_of(unique.dictionary)[unique.indices.to_numpy()]
         end_word = f" {end_id}"  # no word holds a space
-        new = [w for w in vocabulary if w not in self.numbers]
-        self.add(new, [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)] if new else [])
         if end_word not in self.numbers:
-            self.add([end_word], [[end_id]])
-        number = np.fromiter(map(self.numbers.__getitem__, vocabulary), np.int64, len(vocabulary))
+            self.add([end_word], np.array([end_id], np.uint32), np.array([1], np.int64))
         offsets = split.offsets.to_numpy().astype(np.int64)
-        offsets = offsets - offsets[0]
-        which = number[coded.indices.to_numpy()] if len(vocabulary) else np.zeros(0, np.int64)
+        offsets = 2 * (offsets - offsets[0])
+        which = parts[coded.indices.to_numpy()].reshape(-1)
         which = np.insert(which, offsets[1:], self.numbers[end_word])
         lengths = self.lengths[which]
         ends = np.cumsum(lengths)
