@@ -16,9 +16,9 @@ the product:
   the two sizes ask for (positional bound).
 
 Overlaps of the remaining pairs are counted in full.  Only components are
-asked for, so a column with many rows first links its rows in stars; after
-that, pairs inside one component need no count any more, and all remaining
-pairs of different components are counted.  No column, bucket or list has a
+asked for, so a column with many rows first links its rows in stars, then
+deals them a few partners each; pairs inside one component need no count any
+more, and in the end all remaining pairs of different components are counted.  No column, bucket or list has a
 cap, and no link between different texts is lost.
 
 Columns held by very many documents are found by mergeable heavy-hitter
@@ -51,6 +51,9 @@ HEAVY_COUNTERS = 4096
 # A column counts as frequent from this share of the documents and this many.
 FREQUENT_SHARE, FREQUENT_ROWS = 0.002, 1000
 BLOCK_ENTRIES = 2_000_000
+# Partners dealt to a row of a column in the first round after the stars; eight
+# times as many in each round after it.
+FIRST_PARTNERS = 8
 FREQUENT = 65_535  # stands for the number of rows of a frequent column
 
 
@@ -316,26 +319,35 @@ def star_pairs(prefix: DataFrame, orders: list[Column]) -> DataFrame:
     return out.distinct()
 
 
-def remaining_pairs(marked: DataFrame) -> DataFrame:
-    """All pairs of a common column that lie in different components so far
-    and whose sizes and positions allow the overlap.
+def open_pairs(marked: DataFrame, partners: int | None = None, seed: int = 0) -> DataFrame:
+    """Pairs of a common column that lie in different components so far and
+    whose sizes and positions allow the overlap: all of them, or those of
+    about ``partners`` rows that each row of a column is dealt with.
 
     Rows meet by (column, class of size), partners' sizes lying within 4/5.
     """
-    marked = marked.withColumn(
-        "sized", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int")
-    )
-    small = marked.select("column", "sized", *[F.col(c).alias(f"x_{c}") for c in ("class", "n", "left", "root")])
+    marked = marked.withColumn("sized", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int"))
+    marked = marked.withColumn("deal", F.lit(0).cast("bigint"))
+    if partners:
+        # Parts by powers of two, so that a pair met in one column is met in
+        # the others as well.
+        many = marked.groupBy("column").agg(F.count(F.lit(1)).alias("many"))
+        parts = F.pow(2.0, F.greatest(F.lit(0.0), F.ceil(F.log2(F.col("many") / F.lit(partners))).cast("double")))
+        marked = marked.join(many, "column").withColumn(
+            "deal", F.pmod(F.xxhash64("class", F.lit(seed)), parts.cast("bigint"))
+        )
+    carried = ("class", "n", "left", "root")
+    small = marked.select("column", "sized", "deal", *[F.col(c).alias(f"x_{c}") for c in carried])
     # Logarithms round: the class below is met as well.
     large = marked.withColumn("sized", F.explode(F.array(F.col("sized") - 2, F.col("sized") - 1, F.col("sized")))).select(
-        "column", "sized", *[F.col(c).alias(f"y_{c}") for c in ("class", "n", "left", "root")]
+        "column", "sized", "deal", *[F.col(c).alias(f"y_{c}") for c in carried]
     )
     able = (
         (F.col("x_root") != F.col("y_root"))
         & ((F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_class") < F.col("y_class"))))
         & (9 * F.least("x_left", "y_left") >= needed(F.col("x_n"), F.col("y_n")))
     )
-    joined = small.join(large, ["column", "sized"]).where(able)
+    joined = small.join(large, ["column", "sized", "deal"]).where(able)
     return joined.select(
         F.least("x_class", "y_class").alias("a"), F.greatest("x_class", "y_class").alias("b")
     ).distinct()
@@ -387,12 +399,18 @@ def connected_roots(links: DataFrame) -> DataFrame:
     )
 
 
-def merged_roots(roots: DataFrame, links: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Roots and links with some more links."""
-    if not more.limit(1).count():
-        return roots, links
-    links = links.unionByName(more)
-    return written(connected_roots(links), "roots"), links
+def merged_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Roots after some more links: the components are merged, not the rows."""
+    ends = links
+    for end in ("a", "b"):
+        ends = ends.join(roots, ends[end] == roots["class"], "left").withColumn(end, F.coalesce("root", end)).select("a", "b")
+    ends = ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b")
+    merged = written(connected_roots(ends), "merged").select(F.col("class").alias("old"), F.col("root").alias("new"))
+    moved = roots.join(merged, F.col("root") == F.col("old"), "left").select("class", F.coalesce("new", "root").alias("root"))
+    fresh = merged.join(roots, F.col("old") == F.col("class"), "left_anti").select(
+        F.col("old").alias("class"), F.col("new").alias("root")
+    )
+    return written(moved.unionByName(fresh), "roots")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -423,18 +441,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         "class", "n", "centre", "column", (F.col("m") - F.col("at")).alias("left")
     )
     prefix = written(prefix, "prefix")
-    # Stars first: around the rows in the middle of their groups, by size and
-    # in seeded orders.  What is left between components is counted in full.
-    shuffled = [F.xxhash64("class", F.lit(i)) for i in range(4)]
+    # Stars first, around the rows in the middle of their groups and by size;
+    # then rows with a few and with more partners dealt to them; at last all
+    # pairs that are left between components.
     unlinked = able.select("class", F.col("class").alias("root"))
-    links = written(linked_pairs(star_pairs(with_roots(prefix, unlinked), [-F.col("centre"), F.col("n"), shuffled[0]]), able), "star-links")
-    roots = written(connected_roots(links), "star-roots")
+    stars = star_pairs(with_roots(prefix, unlinked), [-F.col("centre"), F.col("n")])
+    roots = written(connected_roots(written(linked_pairs(stars, able), "star-links")), "star-roots")
     marked = written(with_roots(prefix, roots), "open-columns")
-    again = written(linked_pairs(star_pairs(marked, [-F.col("centre"), *shuffled[2:]]), able), "more-star-links")
-    roots, links = merged_roots(roots, links, again)
-    marked = written(with_roots(marked.drop("root"), roots), "open-columns")
-    rest = written(linked_pairs(remaining_pairs(marked), able), "rest-links")
-    roots, _ = merged_roots(roots, links, rest)
+    partners: int | None = FIRST_PARTNERS
+    while partners:
+        # No dealing where it is not much less than meeting all rows.
+        many = marked.groupBy("column").agg(F.count(F.lit(1)).alias("many")).agg(F.max("many")).first()[0] or 0
+        partners = partners if 4 * partners < many else None
+        found = written(linked_pairs(open_pairs(marked, partners, partners or 0), able), "open-links")
+        if found.limit(1).count():
+            roots = merged_roots(roots, found)
+            if partners:
+                marked = written(with_roots(marked.drop("root"), roots), "open-columns")
+        partners = partners and 8 * partners
 
     grouped = rows.where("n > 0").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     least = grouped.groupBy("root").agg(F.min("id").alias("component_id"))
