@@ -30,6 +30,8 @@ BUCKETS = 8192
 # Trigrams of one text are not independent: beyond this many they add nothing.
 EFFECTIVE_TRIGRAMS = 40.0
 SMOOTHING = 8.0
+# Pages that a declaration or suffix of the language itself is worth beforehand.
+AGREES = 2.0
 
 
 def trigram_counts(text: str) -> np.ndarray:
@@ -163,7 +165,8 @@ def _evidence_table(rows: DataFrame, column: str, languages: list[str]) -> Colum
         c = counts.get(v, [0.0] * n)
         none = counts.get("", [0.0] * n)
         logs = [
-            math.log((c[i] + 0.5) / (totals[i] - none[i] + 0.5 * (n + 1))) for i in range(n)
+            math.log((c[i] + 0.5 + AGREES * (languages[i] == v)) / (totals[i] - none[i] + 0.5 * (n + 1) + AGREES))
+            for i in range(n)
         ]
         out = F.when(kept == v, F.array(*[F.lit(x) for x in logs])).otherwise(out)
     return out
