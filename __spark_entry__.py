@@ -20,7 +20,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from oracle import ORACLES  # noqa: E402
 from parley.functions.timecols import utc_timestamp_literal  # noqa: E402
 from parley.plans import config, conversation, daily, legacy, merges, reads, report, response  # noqa: E402
-from parley.session import cut_lineage  # noqa: E402
 from parley.sources import fixtures  # noqa: E402
 
 # The training-data operators are an optional part: without their files the
@@ -40,29 +39,13 @@ RUN_TS_PREV = "2024-01-20 00:00:00"
 RUN_TS = "2024-01-31 00:00:00"
 
 
-# Derived dimension tables, per (application, sf_dir, name).
-_DIMENSIONS: dict[tuple[str, str, str], DataFrame] = {}
-
-
 class Inputs:
-    """The inputs of one query, each table read once.
-
-    The working-hours, mapping, configuration and per-user calendar relations
-    are small dimension tables (at most one row per user and weekday).  They
-    are derived once per application and checkpointed into the shared
-    ``spark.checkpoint.dir``: that cuts their lineage (query plans stay small
-    and cheap to analyse) and the files survive executor loss, as a
-    production job reads such tables once from their store."""
+    """The inputs of one query, each table read once.  Building them starts
+    no job and keeps nothing for the next query."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
-    def _dimension(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        if key not in _DIMENSIONS:
-            _DIMENSIONS[key] = cut_lineage(build())
-        return _DIMENSIONS[key]
-
     @cached_property
     def events(self) -> DataFrame:
         return fixtures.load_table(self.spark, self.sf_dir, "events")
@@ -73,19 +56,19 @@ class Inputs:
 
     @cached_property
     def working_hours(self) -> DataFrame:
-        return self._dimension("working_hours", lambda: fixtures.working_hours(self.events))
+        return fixtures.working_hours(self.events)
 
     @cached_property
     def mapping(self) -> DataFrame:
-        return self._dimension("mapping", lambda: fixtures.user_mapping(self.events))
+        return fixtures.user_mapping(self.events)
 
     @cached_property
     def config(self) -> DataFrame:
-        return self._dimension("config", lambda: fixtures.working_hours_config(self.mapping))
+        return fixtures.working_hours_config(self.mapping)
 
     @cached_property
     def response_hours(self) -> DataFrame:
-        return self._dimension("response_hours", lambda: config.response_hours_map(self.mapping, self.config))
+        return config.response_hours_map(self.mapping, self.config)
 
     @cached_property
     def turn_events(self) -> DataFrame:

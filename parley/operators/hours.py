@@ -171,10 +171,12 @@ def weekly_slot_map(flat_config: DataFrame) -> DataFrame:
             (clock_us(F.col("end_time"), with_seconds=False) / 1000).cast("long").alias("end_ms"),
         ).alias("slot"),
     )
-    per_day = rows.groupBy("user_id", "org_id", "weekday").agg(F.min("slot").alias("slot"))
+    # A slot with an unreadable clock text is no slot.
+    readable = F.col("slot.start_ms").isNotNull() & F.col("slot.end_ms").isNotNull()
+    per_day = rows.groupBy("user_id", "org_id", "weekday").agg(F.min(F.when(readable, F.col("slot"))).alias("slot"))
     maps = per_day.groupBy("user_id", "org_id").agg(
         F.map_from_entries(
-            F.collect_list(F.when(F.col("weekday") >= 0, F.struct("weekday", "slot")))
+            F.collect_list(F.when((F.col("weekday") >= 0) & F.col("slot").isNotNull(), F.struct("weekday", "slot")))
         ).alias("hours")
     )
     return with_calendar(maps, "hours")

@@ -1,33 +1,31 @@
 """Size-checked broadcast.
 
-A relation is hinted for broadcast only after a bounded probe proves it has at
-most ``max_rows`` rows; anything larger is returned unchanged, so the join
-falls back to a shuffle join (and AQE may still convert it at run time from
-measured shuffle sizes).  The probe is ``limit(max_rows + 1).count()``, whose
-cost is bounded by the limit, not by the relation.  The probed relation is
-persisted first, so the work done by the probe is reused by the join instead
-of being recomputed (lost cache blocks are rebuilt from lineage).
+A relation is hinted for broadcast only when the optimiser's size estimate
+proves it small; anything else is returned unchanged, so the join is a shuffle
+join that adaptive execution may still convert from measured sizes.  The
+estimate comes from the logical plan's statistics: no job runs and nothing is
+cached, so a later read of changed files sees the change.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_ROWS = 1_000_000
-CONF_KEY = "parley.broadcast.maxRows"
+DEFAULT_MAX_BYTES = 64 << 20
+CONF_KEY = "parley.broadcast.maxBytes"
 
 
-def max_broadcast_rows(df: DataFrame) -> int:
+def max_broadcast_bytes(df: DataFrame) -> int:
     value = df.sparkSession.conf.get(CONF_KEY, None)
-    return int(value) if value else DEFAULT_MAX_ROWS
+    return int(value) if value else DEFAULT_MAX_BYTES
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    bound = max_rows if max_rows is not None else max_broadcast_rows(df)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if cached.limit(bound + 1).count() <= bound:
-        return F.broadcast(cached)
-    cached.unpersist()
-    return df
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimiser's size estimate of ``df``."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    bound = max_bytes if max_bytes is not None else max_broadcast_bytes(df)
+    return F.broadcast(df) if estimated_bytes(df) <= bound else df

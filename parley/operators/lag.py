@@ -1,21 +1,18 @@
 """Skew-safe ordered LAG.
 
 A plain ``lag().over(Window.partitionBy(key))`` sends every row of a key to
-one task; one very large chat would then be one task.  ``lag_in_order``
-first counts rows per key (a map-side partial count, with the key's time
-span).  Keys with more than ``hot_key_rows`` rows are *hot*: their history is
-split into time buckets sized so that a bucket holds about ``hot_key_rows``
-rows on average (at most ``bucket_us`` wide, at least 1 s), the window runs
-per (key, bucket), and the first row of every bucket takes the last row of
-the key's previous non-empty bucket.  All
-other keys run as one window partition each, exactly like the plain window,
-so the stitching costs nothing when no key is hot.  The result is always
-exactly the un-split LAG.
-
-The list of hot keys is bounded by ``rows / hot_key_rows`` and is broadcast
-behind a size check; the tails of hot buckets come from a map-side partial
-aggregate, so only one row per (hot key, bucket) per task is shuffled for
-them.
+one task; one very large chat would then be one task.  ``lag_in_order`` counts
+rows per key in a branch of the same plan (a map-side partial count over the
+key columns alone).  Keys with more than ``hot_key_rows`` rows are *hot*:
+their history is cut at quantiles of their timestamps (a mergeable sketch over
+the hot keys' times), so buckets hold about equally many rows however the rows
+bunch up, down to single microseconds.  The window runs per (key, bucket), and
+the first row of every bucket takes the last row of the key's previous
+bucket, which comes from the same windowed rows.  All other keys run as one
+window partition each, exactly like the plain window.  The result is always
+exactly the un-split LAG, and building the plan starts no job.
+
+There are at most ``rows / hot_key_rows`` hot keys, so their list is broadcast.
 
 It also emits ``order_key``: a BIGINT that grows along the window order inside
 each key (bucket in the high bits, row number in the low 32).  Aggregations can
@@ -27,11 +24,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_us
-from .joins import broadcast_if_small
 
 HOUR_US = 3_600_000_000
 # Keys with more rows than this are split into time buckets (session conf
@@ -39,22 +35,10 @@ HOUR_US = 3_600_000_000
 HOT_KEY_ROWS = 1_000_000
 HOT_KEY_CONF = "parley.lag.hotKeyRows"
 
-_PK, _B, _RN, _TAIL, _PREV_TAIL, _HOT = "_lag_pk", "_lag_b", "_lag_rn", "_lag_tail", "_lag_prev_tail", "_lag_hot"
-_START, _WIDTH = "_lag_start", "_lag_width"
-# Narrowest bucket: rows within one second of one key stay together (this
-# also keeps order_key = bucket << 32 | row number inside a BIGINT for spans
-# up to 68 years).
-MIN_BUCKET_US = 1_000_000
-
-
-def bucket_width(n: Column, lo_us: Column, hi_us: Column, hot_key_rows: int, bucket_us: int) -> Column:
-    """Bucket width (us) for a hot key with ``n`` rows between ``lo_us`` and
-    ``hi_us``: its span * hot_key_rows / n, so a bucket holds about
-    ``hot_key_rows`` rows on average however large the key is; clamped to
-    [MIN_BUCKET_US, bucket_us].  Computed in DOUBLE: span * rows overflows
-    BIGINT for long histories."""
-    raw = ((hi_us - lo_us + 1).cast("double") * F.lit(float(hot_key_rows)) / n).cast("long")
-    return F.least(F.lit(bucket_us).cast("long"), F.greatest(F.lit(MIN_BUCKET_US).cast("long"), raw))
+_PK, _B, _RN, _LAST, _PREV_TAIL = "_lag_pk", "_lag_b", "_lag_rn", "_lag_last", "_lag_prev_tail"
+_N, _CUTS = "_lag_n", "_lag_cuts"
+# Quantiles of a hot key's timestamps; its buckets are runs of them.
+QUANTILES = 512
 
 
 def lag_in_order(
@@ -73,9 +57,9 @@ def lag_in_order(
     partition in ``order_by`` order) for each of ``columns``, plus ``key_col``.
 
     ``order_by`` must be a total order led by the timestamp ``time_col``
-    (default: ``order_by[0]``).  ``bucket_us`` is the widest bucket of a hot
-    key; ``bucket_us=None`` runs one plain window per partition, for inputs
-    whose groups are known to be small.
+    (default: ``order_by[0]``).  ``bucket_us=None`` runs one plain window per
+    partition, for inputs whose groups are known to be small; any other value
+    lets hot keys be split (rows of one microsecond stay together).
     """
     order = [F.col(c) for c in order_by]
     if bucket_us is None:
@@ -88,43 +72,39 @@ def lag_in_order(
         hot_key_rows = int(df.sparkSession.conf.get(HOT_KEY_CONF, None) or HOT_KEY_ROWS)
     pk = F.struct(*partition_by).alias(_PK)  # struct keys compare NULL fields as equal
     t_us = epoch_us(time_col)
-    n, lo, hi = F.col("_lag_n"), F.col("_lag_lo"), F.col("_lag_hi")
-    width = bucket_width(n, lo, hi, hot_key_rows, bucket_us)
-    hot = (
-        df.groupBy(pk)
-        .agg(F.count(F.lit(1)).alias("_lag_n"), F.min(t_us).alias("_lag_lo"), F.max(t_us).alias("_lag_hi"))
-        .where(n > hot_key_rows)
-        .select(_PK, F.lit(True).alias(_HOT), lo.alias(_START), width.alias(_WIDTH))
-    )
-    offset = t_us - F.col(_START)
-    bucket = F.when(
-        F.col(_HOT), ((offset - F.pmod(offset, F.col(_WIDTH))) / F.col(_WIDTH)).cast("long")
-    ).otherwise(F.lit(-1).cast("long"))
-    d = (
-        df.select("*", pk)
-        .join(broadcast_if_small(hot), _PK, "left")
-        .select(*df.columns, _PK, bucket.alias(_B))
+    # Both branches read the key columns (and the time) alone.
+    hot = df.groupBy(pk).agg(F.count(F.lit(1)).alias(_N)).where(F.col(_N) > hot_key_rows)
+    quantiles = [i / QUANTILES for i in range(1, QUANTILES)]
+    cuts = (
+        df.select(pk, t_us.alias("_lag_t"))
+        .join(F.broadcast(hot), _PK)
+        .groupBy(_PK)
+        .agg(F.max(_N).alias(_N), F.percentile_approx("_lag_t", quantiles, 20 * QUANTILES).alias(_CUTS))
     )
+    # Neighbouring quantile steps make up a bucket of about hot_key_rows rows.
+    steps = F.greatest(F.lit(1), F.floor(F.lit(QUANTILES * hot_key_rows) / F.col(_N)))
+    cuts = cuts.select(_PK, F.array_distinct(F.filter(_CUTS, lambda c, i: (i + 1) % steps == 0)).alias(_CUTS))
+    bucket = F.when(F.col(_CUTS).isNull(), F.lit(-1)).otherwise(F.size(F.filter(_CUTS, lambda c: c <= t_us)))
+    d = df.select("*", pk).join(F.broadcast(cuts), _PK, "left").select(*df.columns, _PK, bucket.cast("long").alias(_B))
     w = Window.partitionBy(_PK, _B).orderBy(*order)
     windowed = d.select(
         "*",
         *[F.lag(c).over(w).alias(prefix + c) for c in columns],
         F.row_number().over(w).cast("long").alias(_RN),
+        F.lead(F.lit(True)).over(w).isNull().alias(_LAST),
     )
 
-    # Last row of every hot (key, bucket); map-side partial aggregation keeps
-    # the shuffle to one row per (key, bucket) per task.
-    tails = (
-        d.where(F.col(_B) >= 0)
-        .groupBy(_PK, _B)
-        .agg(F.max_by(F.struct(*columns), F.struct(*order)).alias(_TAIL))
-    )
+    # Last row of every hot (key, bucket).  The condition is one expression
+    # over the window's result, so that it stays above the window and this
+    # branch reuses the exchange below it.
+    last = F.when(F.col(_LAST), F.col(_B) >= 0).otherwise(F.lit(False))
+    tails = windowed.where(last).select(_PK, _B, F.struct(*columns).alias("_lag_tail"))
     stitch = tails.select(
         _PK,
         _B,
-        F.lag(_TAIL).over(Window.partitionBy(_PK).orderBy(_B)).alias(_PREV_TAIL),
+        F.lag("_lag_tail").over(Window.partitionBy(_PK).orderBy(_B)).alias(_PREV_TAIL),
     )
-    joined = windowed.join(stitch, [_PK, _B], "left")
+    joined = windowed.join(F.broadcast(stitch.where(F.col(_PREV_TAIL).isNotNull())), [_PK, _B], "left")
 
     first = F.col(_RN) == 1
     fixed = [

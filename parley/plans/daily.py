@@ -1,7 +1,7 @@
 """Daily performance summary (Q2) and its upsert (Q12).
 
 LAG runs per (user, chat) across days and orgs; unattributed messages are
-dropped after it.  The reply average of a (user, chat, date) is not keyed by
+dropped.  The reply average of a (user, chat, date) is not keyed by
 org or agent phone, so each aggregated row carries partial sums that a window
 over (user, chat, date) combines -- no correlated subquery, no second pass
 over the events.  Time to first response needs the (user, org) hours after
@@ -29,8 +29,9 @@ def daily_performance_flat(
         "event_id", "message_id", "chat_id", "user_id", "org_id", "agent_phone_number",
         "direction", "message_timestamp",
     )
-    ev = lag_in_order(ev, ["user_id", "chat_id"], ORDER, ["direction", "message_timestamp"], bucket_us=bucket_us)
+    # user_id is a partition key of the LAG: dropping its NULLs first is the same.
     ev = ev.where(F.col("user_id").isNotNull())
+    ev = lag_in_order(ev, ["user_id", "chat_id"], ORDER, ["direction", "message_timestamp"], bucket_us=bucket_us)
     is_in = F.col("direction") == INCOMING
     is_out = F.col("direction") == OUTGOING
     is_reply = is_out & (F.col("prev_direction") == INCOMING) & F.col("prev_message_timestamp").isNotNull()

@@ -23,11 +23,13 @@ from . import conversation, daily, legacy, merges
 
 
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The table at ``path`` conformed to ``schema``, empty when absent."""
+    """The table at ``path`` conformed to ``schema``; empty only when the path
+    does not exist, an error when it cannot be read."""
     try:
         df = spark.read.parquet(path)
-        df.schema  # noqa: B018 -- resolves the files now
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
     return df.select([F.col(f.name).cast(f.dataType) for f in schema.fields])
 

@@ -29,7 +29,10 @@ def merge_conversation_summary(target: DataFrame, source: DataFrame, null_safe:
     update = {c: S(c) for c in ["org_id", "analytics", "average_response_time", "conversation_starter",
                                 "last_message_from", "updated_at"]}
     insert = {f.name: S(f.name) for f in schemas.CONVERSATION_SUMMARY.fields}
-    return upsert(target, source, ["uid", "org_id", "chat_id", "phone_number"], update, insert, null_safe)
+    # The source is an aggregate on the merge key: no duplicates to count.
+    return upsert(
+        target, source, ["uid", "org_id", "chat_id", "phone_number"], update, insert, null_safe, check_unique=False
+    )
 
 
 def daily_target_rows(source: DataFrame, run_ts) -> DataFrame:
@@ -56,7 +59,12 @@ def merge_daily_performance(target: DataFrame, source: DataFrame, run_ts, null_s
     """M2: keys (activity_date, user_id, org_id, contact_id, user_number =
     agent_phone_number).  The source org_id (text) is compared as BIGINT."""
     now = utc_timestamp_literal(run_ts)
-    src = source.withColumn("_org_num", F.col("org_id").try_cast("long"))
+    number = F.col("org_id").try_cast("long")
+    bad = F.col("org_id").isNotNull() & number.isNull()
+    src = source.withColumn(
+        "_org_num",
+        F.when(bad, F.raise_error(F.concat(F.lit("org_id is not a number: "), F.col("org_id"))).cast("long")).otherwise(number),
+    )
     keys = {
         "activity_date": "activity_date",
         "user_id": "user_id",
@@ -109,7 +117,7 @@ def merge_legacy_counts(target: DataFrame, counts: DataFrame, run_ts, null_safe=
         "uid": S("user_id"), "org_id": S("org_id"), "date": S("date"), "phone_number": S("sender_number"),
         "analytics": analytics, "updated_at": now, "created_at": now,
     }
-    return upsert(target, counts, _LEGACY_KEYS, update, insert, null_safe)
+    return upsert(target, counts, _LEGACY_KEYS, update, insert, null_safe, check_unique=False)
 
 
 def merge_legacy_summary(target: DataFrame, summary: DataFrame, run_ts, null_safe=("phone_number",)) -> DataFrame:
@@ -133,7 +141,7 @@ def merge_legacy_summary(target: DataFrame, summary: DataFrame, run_ts, null_saf
         "updated_at": now,
         "created_at": S("earliest_message"),
     }
-    return upsert(target, summary, _LEGACY_KEYS, update, insert, null_safe)
+    return upsert(target, summary, _LEGACY_KEYS, update, insert, null_safe, check_unique=False)
 
 
 def legacy_counts_rows(counts: DataFrame, run_ts) -> DataFrame:

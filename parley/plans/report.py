@@ -15,7 +15,6 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timecols import leading_int
 from ..sources.readers import project_messages
 from .response import INCOMING, OUTGOING, adjusted_pairs, group_stats
 
@@ -82,7 +81,13 @@ def _summary(rows: DataFrame, *extra) -> DataFrame:
         F.min(F.when(rec, F.col("avg_response_time"))).alias("min_response_time"),
         F.max(F.when(rec, F.col("avg_response_time"))).alias("max_response_time"),
         n.alias("total_records"),
-        F.array_sort(F.collect_set(F.when(rec, F.col("phone_number")))).alias("phone_numbers"),
+        # collect_set leaves NULL out; an absent number is a value of the list.
+        F.concat(
+            F.array_sort(F.collect_set(F.when(rec, F.col("phone_number")))),
+            F.when(F.count_if(rec & F.col("phone_number").isNull()) > 0, F.array(F.lit(None).cast("string"))).otherwise(
+                F.array().cast("array<string>")
+            ),
+        ).alias("phone_numbers"),
         F.when(n > 0, F.concat(first.cast("string"), F.lit(" to "), last.cast("string"))).alias("date_range"),
         *extra,
     )
@@ -123,24 +128,23 @@ def user_report(
     )
     per_user = _summary(
         collapsed.select(
-            leading_int("user_id").alias("user_id"), "phone_number", "date", "avg_response_time",
+            "user_id", "phone_number", "date", "avg_response_time",
             (F.col("_kept_groups") > 0).alias("_record"), "_pairs", "_adjusted",
         ),
         F.sum("_pairs").alias("response_pairs"),
         F.sum("_adjusted").alias("hours_adjusted_pairs"),
     )
-    report = stats.withColumn("_uid", leading_int("user_id")).join(
-        per_user.withColumnRenamed("user_id", "_uid"), "_uid", "left"
-    )
+    report = stats.join(per_user, "user_id", "left")
+    if user_id is not None:
+        # A user without messages in the window gets a report of zeros.
+        asked = messages.sparkSession.range(1).select(F.lit(str(user_id)).alias("user_id"))
+        report = asked.join(report, "user_id", "left")
     zero = F.lit(0).cast("long")
+    counts = ["message_count", "incoming_messages", "outgoing_messages", "unique_chats", "unique_phone_numbers",
+              "conversation_groups"]
     return report.select(
         "user_id",
-        "message_count",
-        "incoming_messages",
-        "outgoing_messages",
-        "unique_chats",
-        "unique_phone_numbers",
-        "conversation_groups",
+        *[F.coalesce(c, zero).alias(c) for c in counts],
         F.coalesce("response_pairs", zero).alias("response_pairs"),
         F.coalesce("hours_adjusted_pairs", zero).alias("hours_adjusted_pairs"),
         F.coalesce("total_records", zero).alias("total_records"),

@@ -20,7 +20,7 @@ after a failure gives the same tables.
 
 from __future__ import annotations
 
-import os
+import datetime as dt
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +30,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.timecols import utc_date
 from ..operators.upsert import write_snapshot
 from ..plans import conversation, daily, merges
-from ..session import ensure_checkpoint_dir
 from ..sources import schemas
 
 
@@ -46,14 +45,16 @@ def chat_bucket(chat_id: Column | str = "chat_id", buckets: int = CHAT_BUCKETS)
 
 def _read_or_empty(spark: SparkSession, path: str, schema, extra: list[str] = ()) -> DataFrame:
     """The table at ``path`` (schema columns plus ``extra`` partition
-    columns), or an empty one on the first run."""
+    columns), or an empty one when the path does not exist yet; a table that
+    cannot be read is an error."""
     try:
         df = spark.read.parquet(path)
-        df.schema  # noqa: B018 -- resolves the files now
-        return df.select([F.col(f.name).cast(f.dataType) for f in schema.fields] + [F.col(c) for c in extra])
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         empty = spark.createDataFrame([], schema)
         return empty.select("*", *[F.lit(None).cast("int").alias(c) for c in extra])
+    return df.select([F.col(f.name).cast(f.dataType) for f in schema.fields] + [F.col(c) for c in extra])
 
 
 def refresh_batch(
@@ -87,6 +88,8 @@ def refresh_batch(
         spark.read.parquet(history_path)
         .where(F.col("chat_bucket").isin(touched))
         .select(*[f.name for f in schemas.MESSAGE_EVENTS.fields])
+        # Files replayed in another epoch are the same events.
+        .dropDuplicates(["event_id"])
     )
 
     chats = batch.select("chat_id").distinct()
@@ -127,12 +130,15 @@ def start_refresh(
     history_path: str,
     summary_path: str,
     daily_path: str,
-    run_ts: str,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
+    run_ts: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Stream new Parquet event files from ``events_dir`` into the refresh."""
-    location = checkpoint_location or os.path.join(ensure_checkpoint_dir(spark), "parley-refresh")
+    """Stream new Parquet event files from ``events_dir`` into the refresh.
+
+    ``checkpoint_location`` must stay the same over restarts: it remembers the
+    files already taken.  ``run_ts`` fixes the rows' time stamps (for tests);
+    by default each epoch takes the time it runs at."""
     stream = spark.readStream.schema(schemas.MESSAGE_EVENTS).parquet(events_dir)
     writer = stream.writeStream.foreachBatch(
         lambda df, epoch: refresh_batch(
@@ -142,8 +148,8 @@ def start_refresh(
             summary_path=summary_path,
             daily_path=daily_path,
             working_hours=working_hours,
-            run_ts=run_ts,
+            run_ts=run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S"),
         )
-    ).option("checkpointLocation", location)
+    ).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

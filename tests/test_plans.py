@@ -34,4 +34,4 @@ def test_scan_reads_only_needed_columns(spark):
 
 def test_lag_window_is_bucketed(spark):
     plan = _plan(entry.queries()["conversation_summary"](spark, SF_SMALL))
-    assert "_lag_b" in plan and "_lag_pk" in plan and "_lag_hot" in plan
+    assert "_lag_b" in plan and "_lag_pk" in plan and "_lag_cuts" in plan

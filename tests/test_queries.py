@@ -53,7 +53,7 @@ def test_entry_smoke(spark):
 
 
 NO_BROADCAST = {
-    "parley.broadcast.maxRows": "0",
+    "parley.broadcast.maxBytes": "0",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
 }
