@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import uuid
 
@@ -77,3 +78,15 @@ def bounded_rows(keys: DataFrame, rows: DataFrame, id_col: str, limit: int, salt
         .limit(limit)
     )
     return rows.join(F.broadcast(ids), F.col(id_col) == F.col("__id"), "left_semi")
+
+
+def hand_back_memory() -> None:
+    """Return freed memory of this Python worker to the machine: workers stay
+    for later tasks, which need their share of the executor's memory."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass

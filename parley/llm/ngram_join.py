@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.llm.common import written
+from parley.llm.common import hand_back_memory, written
 from parley.llm.tokens import text_slices
 
 N_GRAM = 5
@@ -50,7 +50,8 @@ MULTIPLIERS = np.array(
 HEAVY_COUNTERS = 4096
 # A column counts as frequent from this share of the documents and this many.
 FREQUENT_SHARE, FREQUENT_ROWS = 0.002, 1000
-BLOCK_ENTRIES = 2_000_000
+BLOCK_ENTRIES = 1_200_000
+SLICE = 4_000_000  # bytes of text per step of a task
 # Partners dealt to a row of a column in the first round after the stars; eight
 # times as many in each round after it.
 FIRST_PARTNERS = 8
@@ -119,7 +120,7 @@ def row_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, id_type = np.zeros(0, np.uint64), np.zeros(0, np.int64), pa.int64()
         for whole in batches:
-            for batch in text_slices(whole):
+            for batch in text_slices(whole, size=SLICE):
                 id_type = batch.column(0).type
                 sets = n_gram_sets(batch.column(1))
                 classes = [class_of(s) if len(s) else None for s in sets]
@@ -131,6 +132,7 @@ def row_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 k, c = np.unique(np.concatenate([keys, *sets]), return_counts=True)
                 c[np.searchsorted(k, keys)] += counts - 1
                 keys, counts = thinned(k, c, HEAVY_COUNTERS)
+        hand_back_memory()
         if len(keys):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([1] * len(keys), pa.int32()), pa.nulls(len(keys), id_type),
@@ -196,7 +198,7 @@ def shared_columns(docs: DataFrame, id_col: str, text_col: str, frequent: np.nda
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in text_slices(whole):
+            for batch in text_slices(whole, size=SLICE):
                 distinct = {class_of(s): s for s in n_gram_sets(batch.column(1)) if len(s)}
                 if not distinct:
                     continue
@@ -221,6 +223,7 @@ def shared_columns(docs: DataFrame, id_col: str, text_col: str, frequent: np.nda
                 parts += grouped_blobs(part[order], row[often][order], classes, sizes, column[order].astype("<u8"),
                                        np.full(len(order), FREQUENT, "<u2"))
                 yield blob_batch(parts, "block")
+        hand_back_memory()
 
     def multiply(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
@@ -246,7 +249,10 @@ def shared_columns(docs: DataFrame, id_col: str, text_col: str, frequent: np.nda
         row = np.repeat(np.arange(len(starts)), np.diff(np.concatenate([starts, [len(classes)]])))
         part = (classes.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(classes), np.int64)
         parts = list(grouped_blobs(part, row, classes[starts], sizes[starts], column.astype(kind), count.astype("<u2")))
-        return pa.Table.from_batches([blob_batch(parts, "part")])
+        out = pa.Table.from_batches([blob_batch(parts, "part")])
+        del blobs, key, classes, sizes, low, high, order, column, count, row, part, several, held
+        hand_back_memory()
+        return out
 
     def collect_rows(table: pa.Table) -> pa.Table:
         classes, sizes, column, count = unpack_rows(table.column("data").to_pylist())
@@ -263,8 +269,11 @@ def shared_columns(docs: DataFrame, id_col: str, text_col: str, frequent: np.nda
         keep = np.repeat(able, held)
         offsets = np.concatenate([[0], np.cumsum(held[able])])
         shared = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(column[keep], pa.int64()))
-        return pa.table({"class": pa.array(classes[starts][able], pa.int64()),
+        out = pa.table({"class": pa.array(classes[starts][able], pa.int64()),
                          "n": pa.array(sizes[starts][able], pa.int64()), "centre": pa.array(centre[able], pa.float64()), "shared": shared.cast(pa.list_(pa.int64()))})
+        del classes, sizes, column, count, order, fresh, keep
+        hand_back_memory()
+        return out
 
     blobs = rows.mapInArrow(entries, "block int, data binary")
     products = blobs.groupBy("block").applyInArrow(multiply, "part int, data binary")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.llm.common import written
+from parley.llm.common import hand_back_memory, written
 from parley.llm.sharding import with_slots
 from parley.llm.tokens import default_tokenizer, text_slices, worker_encoder
 
@@ -204,6 +204,7 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, tok
                      pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                     names=fields.names,
                 )
+        hand_back_memory()
 
     return rows.mapInArrow(cut, fields)
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.llm.common import bounded_rows, written
+from parley.llm.common import bounded_rows, hand_back_memory, written
 from parley.llm.tokens import text_slices
 
 DIM = 256  # index vectors of words
@@ -35,6 +35,7 @@ SHAPE_DIM = 64
 NONZERO = 4
 BUCKETS = 4096  # hashed words with a context vector
 HIDDEN = 32
+SLICE = 4_000_000  # bytes of text per step of a task
 HOLD_OUT, CALIBRATION = 2, 3  # folds of crc32(id) mod 4
 
 
@@ -245,7 +246,7 @@ def train_quality_model(
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((BUCKETS, FOLDED))
         for whole in batches:
-            for batch in text_slices(whole, 0):
+            for batch in text_slices(whole, 0, SLICE):
                 total += context_sums(Words.of(batch.column(0)))
         yield pa.RecordBatch.from_arrays([pa.array([total.astype("<f4").tobytes()], pa.binary())], names=["sums"])
 
@@ -255,7 +256,7 @@ def train_quality_model(
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in text_slices(whole, 0):
+            for batch in text_slices(whole, 0, SLICE):
                 rows = [r.tobytes() for r in pooled_features(batch.column(0), context).astype("<f4")]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(rows, pa.binary()), *batch.columns[1:]], names=["x", "label", "calibrate", "key"]
@@ -287,10 +288,11 @@ def score_documents(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in text_slices(whole):
+            for batch in text_slices(whole, size=SLICE):
                 p = network.probabilities(pooled_features(batch.column(1), context))
                 columns = [batch.column(0), batch.column(2), pa.array(p), pa.array((p >= threshold).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, names=fields.names)
+        hand_back_memory()
 
     return rows.mapInArrow(score, fields)
 
@@ -317,8 +319,9 @@ def keep_documents(
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in text_slices(whole, text):
+            for batch in text_slices(whole, text, SLICE):
                 p = network.probabilities(pooled_features(batch.column(text), context))
                 yield batch.filter(pa.array(p >= threshold))
+        hand_back_memory()
 
     return docs.mapInArrow(keep, docs.schema)

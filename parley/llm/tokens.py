@@ -24,7 +24,7 @@ SLICE_BYTES = 8_000_000
 PARTS = r"^\p{L}+[!#$%&()*+,./:;=?@_|~-]*$"
 TAIL = r"[!#$%&()*+,./:;=?@_|~-]+$"
 JOINED = 64  # new words that go through the tokenizer as one text
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 
 
 def default_tokenizer() -> str:
@@ -132,14 +132,13 @@ def worker_encoder(path: str) -> WordEncoder:
     return kept[path]
 
 
-def text_slices(batch: pa.RecordBatch, text: int = 1) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of about ``SLICE_BYTES`` of text (one row at
-    least)."""
+def text_slices(batch: pa.RecordBatch, text: int = 1, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``size`` bytes of text (one row at least)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     total = np.cumsum(sizes)
     first = 0
     while first < batch.num_rows:
         done = total[first - 1] if first else 0
-        last = max(first + 1, int(np.searchsorted(total, done + SLICE_BYTES, side="right")))
+        last = max(first + 1, int(np.searchsorted(total, done + size, side="right")))
         yield batch.slice(first, last - first)
         first = last

@@ -426,3 +426,26 @@ def test_pipeline(spark, docs):
     stayed = {r["doc_id"] for r in kept.collect()}
     assert all(labels.get(i, 1) == 1 for i in stayed)
     assert isinstance(docs.schema, T.StructType)
+
+
+@pytest.mark.parametrize("name", ["op1_quality_rules", "op2_source_mixing", "op4_ngram_join"])
+def test_query_matches_oracle(spark, name):
+    import duckdb
+
+    import __spark_entry__ as entry
+    from scripts.compare import digest
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    df = entry.queries()[name](spark, SF)
+    cur = con.execute(entry.oracle_sql()[name])
+    columns = [d[0] for d in cur.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert digest(columns, cur.fetchall())[0] == digest(df.columns, df.collect())[0]
+
+
+def test_entry_registers_all_queries():
+    import __spark_entry__ as entry
+
+    names = set(entry.queries())
+    assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names} and "pipeline" in names
