@@ -18,12 +18,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
 # Letters (lower-cased in A-Z by the tokenizer anyway), then ASCII punctuation
 # other than the apostrophe, which starts contractions.
 PARTS = r"^\p{L}+[!#$%&()*+,./:;=?@_|~-]*$"
 TAIL = r"[!#$%&()*+,./:;=?@_|~-]+$"
 JOINED = 64  # new words that go through the tokenizer as one text
+LEARNT = 16_384  # new words that go through it in one call
 CACHED_WORDS = 250_000
 
 
@@ -91,7 +92,9 @@ class WordEncoder:
     def number_of(self, words: pa.Array) -> np.ndarray:
         """The words' numbers, new ones learnt."""
         listed = words.to_pylist()
-        self.learn([w for w in listed if w not in self.numbers])
+        new = [w for w in listed if w not in self.numbers]
+        for i in range(0, len(new), LEARNT):
+            self.learn(new[i : i + LEARNT])
         return np.fromiter(map(self.numbers.__getitem__, listed), np.int64, len(listed))
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +122,9 @@ class WordEncoder:
         which = np.insert(which, offsets[1:], self.numbers[end_word])
         lengths = self.lengths[which]
         ends = np.cumsum(lengths)
-        ids = self.pool[np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths - self.starts[which], lengths)]
+        at = np.repeat((self.starts[which] - (ends - lengths)).astype(np.int32), lengths)
+        at += np.arange(len(at), dtype=np.int32)
+        ids = self.pool[at]
         word_ends = np.concatenate([np.zeros(1, np.int64), ends])
         return ids, word_ends[offsets + np.arange(len(offsets))]
 
