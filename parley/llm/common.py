@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import sys
 import uuid
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +41,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Arrow batches of at most ``rows`` rows for jobs that run inside: whole
+    texts are long, and the default of 10,000 rows fills the memory of the
+    executor and of its Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row."""
     return F.element_at(F.transform(F.array(value), body), 1)

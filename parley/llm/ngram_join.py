@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.llm.common import hand_back_memory, written
+from parley.llm.common import hand_back_memory, small_batches, written
 from parley.llm.tokens import text_slices
 
 N_GRAM = 5
@@ -433,7 +433,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     all its ids are NULL; repeated rows and copies are one class; an empty
     table gives an empty result.
     """
-    counted = written(row_classes(docs, id_col, text_col), "classes")
+    with small_batches(docs.sparkSession):
+        counted = written(row_classes(docs, id_col, text_col), "classes")
     rows = counted.where("kind = 0").select("id", F.col("key").alias("class"), "n")
     total = rows.agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("entries")).first()
     often = max(FREQUENT_ROWS, FREQUENT_SHARE * total["docs"])
@@ -443,7 +444,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     frequent = np.sort(np.array([r["key"] for r in heavy.collect()], np.int64).view(np.uint64))
     bits = max(0, int(np.ceil(np.log2(max((total["entries"] or 0) / BLOCK_ENTRIES, 1)))))
 
-    able = written(shared_columns(docs, id_col, text_col, frequent, max(bits, 5)), "rows")
+    with small_batches(docs.sparkSession):
+        able = written(shared_columns(docs, id_col, text_col, frequent, max(bits, 5)), "rows")
     need = F.ceil(F.col("n") * 4 / 5).cast("int")
     first = F.slice("shared", F.lit(1), F.size("shared") - need + 1)
     prefix = able.select("class", "n", "centre", F.size("shared").alias("m"), F.posexplode(first).alias("at", "column")).select(

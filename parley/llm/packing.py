@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.llm.common import hand_back_memory, written
+from parley.llm.common import hand_back_memory, small_batches, written
 from parley.llm.sharding import with_slots
 from parley.llm.tokens import default_tokenizer, text_slices, worker_encoder
 
@@ -226,7 +226,8 @@ def pack_documents(
     all that the driver sees.
     """
     spark = docs.sparkSession
-    pieces = written(token_pieces(docs, id_col, text_col, capacity, tokenizer or default_tokenizer(), end_id), "pieces")
+    with small_batches(spark):
+        pieces = written(token_pieces(docs, id_col, text_col, capacity, tokenizer or default_tokenizer(), end_id), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     rows = plan_rows(complete_bins(histogram, capacity))
     # At most one run per exhausted length and 63 lengths per sequence.

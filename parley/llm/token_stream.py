@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.llm.common import shared_path, written
+from parley.llm.common import shared_path, small_batches, written
 from parley.llm.tokens import default_tokenizer, text_slices, worker_encoder
 
 BATCH_ROWS = 256
@@ -164,7 +164,8 @@ def write_token_files(
             names = ["part", "tokens_path", "docs_path", "n_docs", "n_tokens"]
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names=names)
 
-    manifest = written(ordered.mapInArrow(write, MANIFEST), "manifest")
+    with small_batches(docs.sparkSession):
+        manifest = written(ordered.mapInArrow(write, MANIFEST), "manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     based = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("bigint")))
     return written(based, "manifest")
