@@ -42,17 +42,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 1000):
-    """Arrow batches of at most ``rows`` rows for jobs that run inside: whole
-    texts are long, and the default of 10,000 rows fills the memory of the
-    executor and of its Python worker."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+def small_batches(spark: SparkSession, rows: int = 1000, size: int = 4_000_000):
+    """Arrow batches of at most ``rows`` rows and about ``size`` bytes (one row
+    at least) for jobs that run inside: whole texts are long, and the defaults
+    of 10,000 rows and 64 MB fill the memory of the executor and of its Python
+    worker."""
+    limits = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": rows,
+        "spark.sql.execution.arrow.maxBytesPerBatch": size,
+    }
+    before = {key: spark.conf.get(key, None) for key in limits}
+    for key, limit in limits.items():
+        # A limit that is not plain digits, such as "64m", is replaced.
+        now = before[key] or ""
+        spark.conf.set(key, str(min(limit, int(now)) if now.isdigit() and int(now) > 0 else limit))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def let(value: Column, body) -> Column:

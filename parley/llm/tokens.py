@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 # Letters (lower-cased in A-Z by the tokenizer anyway), then ASCII punctuation
 # other than the apostrophe, which starts contractions.
 PARTS = r"^\p{L}+[!#$%&()*+,./:;=?@_|~-]*$"
