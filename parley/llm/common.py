@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import sys
+import types
 import uuid
 from contextlib import contextmanager
 
@@ -113,3 +114,17 @@ def hand_back_memory() -> None:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):  # not glibc
         pass
+
+
+def worker_kept() -> dict:
+    """What tasks of this Python worker process keep for later ones."""
+    return sys.modules.setdefault("_parley_worker", types.ModuleType("_parley_worker")).__dict__.setdefault("kept", {})
+
+
+def drop_kept() -> None:
+    """At the start of a task that uses nothing kept: free what tasks of an
+    earlier operator left in this worker."""
+    kept = worker_kept()
+    if kept:
+        kept.clear()
+        hand_back_memory()

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.llm.common import hand_back_memory, small_batches, written
+from parley.llm.common import drop_kept, hand_back_memory, small_batches, written
 from parley.llm.tokens import text_slices
 
 N_GRAM = 5
@@ -118,6 +118,7 @@ def row_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         keys, counts, id_type = np.zeros(0, np.uint64), np.zeros(0, np.int64), pa.int64()
         for whole in batches:
             for batch in text_slices(whole, size=SLICE):

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.llm.common import bounded_rows, hand_back_memory, written
+from parley.llm.common import bounded_rows, drop_kept, hand_back_memory, written
 from parley.llm.tokens import text_slices
 
 DIM = 256  # index vectors of words
@@ -287,6 +287,7 @@ def score_documents(
     context, network = model.context, model.network
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for whole in batches:
             for batch in text_slices(whole, size=SLICE):
                 p = network.probabilities(pooled_features(batch.column(1), context))
@@ -318,6 +319,7 @@ def keep_documents(
     context, network, text = model.context, model.network, docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for whole in batches:
             for batch in text_slices(whole, text, SLICE):
                 p = network.probabilities(pooled_features(batch.column(text), context))

@@ -10,14 +10,14 @@ together.
 
 from __future__ import annotations
 
-import sys
-import types
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from parley.llm.common import worker_kept
+
 SLICE_BYTES = 1_000_000
 # Letters (lower-cased in A-Z by the tokenizer anyway), then ASCII punctuation
 # other than the apostrophe, which starts contractions.
@@ -131,7 +131,7 @@ class WordEncoder:
 
 def worker_encoder(path: str) -> WordEncoder:
     """The encoder of this Python worker process, kept from task to task."""
-    kept = sys.modules.setdefault("_parley_worker", types.ModuleType("_parley_worker")).__dict__
+    kept = worker_kept()
     if path not in kept:
         kept[path] = WordEncoder(path)
     return kept[path]
