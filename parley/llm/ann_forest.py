@@ -12,13 +12,22 @@ taken next until enough leaves are found.
 Leaves next to each other in a tree form a block.  The vectors of a block and
 the queries that probe any of its leaves meet in one task and are scored by a
 matrix product; leaves a query does not probe are masked.  Blocks with many
-vectors or queries are split.  Of equal vectors only the k + 1 smallest ids
+vectors or queries are split.
+
+A query's leaves are taken in waves, each several times as many as the one
+before.  The worst of the best scores found so far is the floor of the next
+wave: a vector below it cannot be among the nearest and does not leave its
+task.  So a wave returns about as many vectors of a query as its growth lets
+in, not the best of every block.
+
+Of equal vectors only the k + 1 smallest ids
 can be among a query's k nearest, so other copies are left out before the
 index is built, and equal queries are searched once.
 """
 
 from __future__ import annotations
 
+import bisect
 import heapq
 import math
 from collections.abc import Iterator
@@ -34,6 +43,7 @@ from pyspark.sql import types as T
 from parley.llm.common import bounded_rows, written
 
 BLOCK_LEAVES = 16
+WAVE_GROWTH = 8  # times as many leaves from wave to wave, about
 
 
 @dataclass
@@ -146,6 +156,12 @@ def probe_count(leaves: int) -> int:
     return math.ceil(1.5 * leaves**0.75)
 
 
+def wave_ends(wanted: int) -> list[int]:
+    """Leaves a query has probed after each wave, in steps that grow alike."""
+    waves = max(1, round(math.log(max(wanted, 1), WAVE_GROWTH)))
+    return [math.ceil(wanted ** ((w + 1) / waves) - 1e-9) for w in range(waves)]
+
+
 def usable_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, v) without NULL ids, NULL, zero or empty vectors and vectors with
     NULL or non-finite components."""
@@ -173,9 +189,11 @@ def vectors_of(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
 
-def best_of_block(v: np.ndarray, ids: np.ndarray, leaf: np.ndarray, q: np.ndarray, bits: np.ndarray, k: int):
+def best_of_block(
+    v: np.ndarray, ids: np.ndarray, leaf: np.ndarray, q: np.ndarray, bits: np.ndarray, floor: np.ndarray, k: int
+):
     """For each query the ``k`` best (score desc, id asc) of the leaves whose
-    bits are set: (query row, vector row, score).
+    bits are set, none below the query's floor: (query row, vector row, score).
 
     The matrix product chooses (with a margin for its rounding); scores are
     then computed component by component in one fixed order.
@@ -185,9 +203,11 @@ def best_of_block(v: np.ndarray, ids: np.ndarray, leaf: np.ndarray, q: np.ndarra
     scores[~probed[:, leaf]] = -np.inf
     slack = 1e-9 * (np.linalg.norm(q, axis=1) * (np.linalg.norm(v, axis=1).max() if len(v) else 0.0))
     at = max(0, scores.shape[1] - k)
-    least = np.partition(scores, at, axis=1)[:, at] - slack
+    least = np.maximum(np.partition(scores, at, axis=1)[:, at], floor) - slack
     rows, columns = np.nonzero((scores >= least[:, None]) & np.isfinite(scores))
     exact = (q[rows] * v[columns]).sum(1)
+    high = exact >= floor[rows]
+    rows, columns, exact = rows[high], columns[high], exact[high]
     order = np.lexsort((ids[columns], -exact, rows))
     rows, columns, exact = rows[order], columns[order], exact[order]
     rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
@@ -225,6 +245,8 @@ def nearest_neighbours(
     if not lengths:
         return spark.createDataFrame([], result)
     dim = lengths[0]["d"]
+    # Vectors travel as they are stored; products are in double precision.
+    stored = "<f4" if isinstance(vectors.schema[vector_col].dataType.elementType, T.FloatType) else "<f8"
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
     base = written(
         usable.where(F.size("v") == dim)
@@ -250,7 +272,7 @@ def nearest_neighbours(
         for batch in batches:
             x = vectors_of(batch.column(1))
             lifted = forest.lift(x)
-            raw = pa.array([r.tobytes() for r in x], pa.binary())
+            raw = pa.array([r.tobytes() for r in x.astype(stored)], pa.binary())
             for t, tree in enumerate(forest.trees):
                 leaf = tree.leaf_of(lifted)
                 yield pa.RecordBatch.from_arrays(
@@ -264,71 +286,83 @@ def nearest_neighbours(
     for r in counted:
         sizes[r["block"] // stride][r["block"] % stride * BLOCK_LEAVES + r["leaf"]] = r["n"]
 
-    # Probes: one row per distinct query vector and block.
+    # Probes: one row per distinct query vector, wave and block.
     wanted = probe_count(forest.leaves)
-    probe = "q1 long, q2 long, block int, bits int, q binary"
+    ends = wave_ends(wanted)
+    probe = "q1 long, q2 long, wave int, block int, bits int, q binary"
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             q = vectors_of(batch.column(2))
             rows: list[int] = []
+            waves: list[int] = []
             blocks: list[int] = []
             bits: list[int] = []
             for i, lifted in enumerate(forest.lift(q, query=True)):
-                masks: dict[int, int] = {}
-                for t, leaf in forest.probes(lifted, wanted, sizes, 2 * (k + 1)):
-                    block = t * stride + leaf // BLOCK_LEAVES
-                    masks[block] = masks.get(block, 0) | 1 << leaf % BLOCK_LEAVES
+                masks: dict[tuple[int, int], int] = {}
+                for at, (t, leaf) in enumerate(forest.probes(lifted, wanted, sizes, 2 * (k + 1))):
+                    wave = min(bisect.bisect_right(ends, at), len(ends) - 1)
+                    key = wave, t * stride + leaf // BLOCK_LEAVES
+                    masks[key] = masks.get(key, 0) | 1 << leaf % BLOCK_LEAVES
                 rows += [i] * len(masks)
-                blocks += masks.keys()
+                waves += [wave for wave, _ in masks]
+                blocks += [block for _, block in masks]
                 bits += masks.values()
             which = pa.array(rows, pa.int64())
-            raw = pa.array([r.tobytes() for r in q], pa.binary())
+            raw = pa.array([r.tobytes() for r in q.astype(stored)], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(which), batch.column(1).take(which), pa.array(blocks, pa.int32()),
-                 pa.array(bits, pa.int32()), raw.take(which)], names=["q1", "q2", "block", "bits", "q"],
+                [batch.column(0).take(which), batch.column(1).take(which), pa.array(waves, pa.int32()),
+                 pa.array(blocks, pa.int32()), pa.array(bits, pa.int32()), raw.take(which)],
+                names=["q1", "q2", "wave", "block", "bits", "q"],
             )
 
     asked = base.where(queries)
     distinct = asked.groupBy("h1", "h2").agg(F.first("v").alias("v"))
     probes = written(distinct.mapInArrow(search, probe), "probes")
 
-    # Blocks are split when they hold many vectors or many queries.
-    parts = (
-        index.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("vn"))
-        .join(probes.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / block_queries).cast("int").alias("qn")), "block")
-    )  # at most one row per block of the forest
-    parts = F.broadcast(written(parts, "block-parts"))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = (
-        index.join(parts, "block")
-        .withColumn("vp", F.pmod(F.xxhash64("id"), F.col("vn")).cast("int"))
-        .withColumn("qp", every("qn"))
-        .select("block", "vp", "qp", "leaf", "id", "v")
-    )
-    right = (
-        probes.join(parts, "block")
-        .withColumn("qp", F.pmod(F.xxhash64("q1", "q2"), F.col("qn")).cast("int"))
-        .withColumn("vp", every("vn"))
-        .select("block", "vp", "qp", "q1", "q2", "bits", "q")
-    )
-
     def score(v: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if v.empty or q.empty:
             return pd.DataFrame({"q1": [], "q2": [], "id": [], "score": []})
-        vs = np.frombuffer(b"".join(v["v"]), np.float64).reshape(len(v), -1)
-        qs = np.frombuffer(b"".join(q["q"]), np.float64).reshape(len(q), -1)
+        vs, qs = (np.frombuffer(b"".join(x), stored).astype(np.float64).reshape(len(x), -1) for x in (v["v"], q["q"]))
         ids = v["id"].to_numpy()
-        rows, columns, scores = best_of_block(vs, ids, v["leaf"].to_numpy(), qs, q["bits"].to_numpy().astype(np.int64), k + 1)
+        bits, floor = q["bits"].to_numpy().astype(np.int64), q["floor"].to_numpy()
+        rows, columns, scores = best_of_block(vs, ids, v["leaf"].to_numpy(), qs, bits, floor, k + 1)
         return pd.DataFrame(
             {"q1": q["q1"].to_numpy()[rows], "q2": q["q2"].to_numpy()[rows], "id": ids[columns], "score": scores}
         )
 
+    vector_parts = index.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("vn"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     keys = ["block", "vp", "qp"]
-    scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, "q1 long, q2 long, id long, score double")
-    best = scored.groupBy("q1", "q2", "id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("q1", "q2").orderBy(F.desc("score"), "id")
-    best = written(best.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1).drop("r"), "best")
+    best = None
+    for wave in range(len(ends)):
+        now = probes.where(F.col("wave") == wave)
+        if best is None:
+            now = now.withColumn("floor", F.lit(float("-inf")))
+        else:
+            floors = best.groupBy("q1", "q2").agg(F.when(F.count(F.lit(1)) > k, F.min("score")).alias("floor"))
+            now = now.join(floors, ["q1", "q2"], "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+        # Blocks are split when they hold many vectors or many queries.
+        query_parts = now.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / block_queries).cast("int").alias("qn"))
+        # At most one row per block of the forest.
+        parts = F.broadcast(written(vector_parts.join(query_parts, "block"), "block-parts"))
+        left = (
+            index.join(parts, "block")
+            .withColumn("vp", F.pmod(F.xxhash64("id"), F.col("vn")).cast("int"))
+            .withColumn("qp", every("qn"))
+            .select(*keys, "leaf", "id", "v")
+        )
+        right = (
+            now.join(parts, "block")
+            .withColumn("qp", F.pmod(F.xxhash64("q1", "q2"), F.col("qn")).cast("int"))
+            .withColumn("vp", every("vn"))
+            .select(*keys, "q1", "q2", "bits", "floor", "q")
+        )
+        scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, "q1 long, q2 long, id long, score double")
+        found = scored if best is None else best.unionByName(scored)
+        found = found.groupBy("q1", "q2", "id").agg(F.max("score").alias("score"))
+        best = written(found.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1).drop("r"), "best")
 
     joined = asked.select(F.col("id").alias("query_id"), "h1", "h2").join(
         best, (F.col("h1") == F.col("q1")) & (F.col("h2") == F.col("q2")) & (F.col("id") != F.col("query_id"))

@@ -168,6 +168,21 @@ def test_nearest_neighbours(spark):
     assert [r["vec_id"] for r in few if r["query_id"] == 0].__len__() == 4
 
 
+def test_waves_find_what_one_pass_finds(spark, monkeypatch):
+    assert ann_forest.wave_ends(1) == [1] and ann_forest.wave_ends(64) == [8, 64]
+    assert [ann_forest.wave_ends(n)[-1] for n in (3, 67, 226, 1291)] == [3, 67, 226, 1291]
+    rng = np.random.default_rng(1)
+    data = [(i, rng.normal(size=8).round(1).tolist()) for i in range(1200)]  # many equal scores
+    data += [(2000 + i, data[40][1]) for i in range(60)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+
+    def found(growth):
+        monkeypatch.setattr(ann_forest, "WAVE_GROWTH", growth)
+        return sorted(map(tuple, ann_forest.nearest_neighbours(df, leaf_size=8).collect()))
+
+    assert found(8) == found(1e9)
+
+
 # ---------------------------------------------------------------- op4
 def shingles(text):
     ws = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
