@@ -1,5 +1,5 @@
 """Exact Jaccard join of documents on word n-grams as a blocked sparse matrix
-product, and its connected components.
+product, and its links and connected components.
 
 The incidence matrix has a row per distinct set of n-grams (documents with
 equal sets are one class) and a column per n-gram.  It is cut into column
@@ -15,11 +15,13 @@ the product:
   and the columns left behind a common one must still reach the overlap that
   the two sizes ask for (positional bound).
 
-Overlaps of the remaining pairs are counted in full.  Only components are
-asked for, so a column with many rows first links its rows in stars, then
-deals them a few partners each; pairs inside one component need no count any
-more, and in the end all remaining pairs of different components are counted.  No column, bucket or list has a
-cap, and no link between different texts is lost.
+Overlaps of the remaining pairs are counted in full.  Components come first: a
+column with many rows links its rows in stars, then deals them a few partners
+each, and in the end all remaining pairs of different components are counted.
+So every link lies inside a component, and the links are then counted there:
+the overlaps of all its pairs of rows are added up over blocks of columns in
+products of row chunks.  No column, bucket or list has a cap, and no link
+between different texts is lost.
 
 Columns held by very many documents are found by mergeable heavy-hitter
 counters on all documents.  They skip the column blocks, as their number of
@@ -55,6 +57,11 @@ SLICE = 4_000_000  # bytes of text per step of a task
 # Partners dealt to a row of a column in the first round after the stars; eight
 # times as many in each round after it.
 FIRST_PARTNERS = 8
+# Rows and entries of a chunk of a large component, and columns of a block of
+# its products.
+PRODUCT_ROWS, PRODUCT_ENTRIES, PRODUCT_COLUMNS = 256, 1_000_000, 4096
+# Largest number of ids that is broadcast (8 bytes each).
+BROADCAST_IDS = 1_000_000
 FREQUENT = 65_535  # stands for the number of rows of a frequent column
 
 
@@ -423,17 +430,118 @@ def merged_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
     return written(moved.unionByName(fresh), "roots")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) per document: components of the graph
-    that links two documents when 100 * intersection >= 80 * union of their
-    sets of 5-word n-grams.
-
-    component_id is the smallest id reachable.  NULL, empty and blank texts
-    have no n-grams and are linked with nothing (component_id is their own
-    id); NULL ids take part in links but are no component's smallest id unless
-    all its ids are NULL; repeated rows and copies are one class; an empty
-    table gives an empty result.
+def link_sums(left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...] | None = None) -> list[np.ndarray]:
+    """For rows (size, copies, number of columns, their columns one after the
+    other) the copies they are linked with: of each other, or of the rows on
+    the right and the other way round.  Overlaps are added up over blocks of
+    columns, each a product of two incidence matrices."""
+    sides = [left] if right is None else [left, right]
+    rows = [np.repeat(np.arange(len(held)), held) for _, _, held, _ in sides]
+    names = [np.unique(side[3]) for side in sides]
+    common = names[0] if right is None else np.intersect1d(*names, assume_unique=True)
+    entries = []
+    for row, (_, _, _, columns) in zip(rows, sides, strict=True):
+        at = np.searchsorted(common, columns)
+        known = at < len(common)
+        known[known] = common[at[known]] == columns[known]
+        order = np.argsort(at[known], kind="stable")
+        entries.append((at[known][order], row[known][order]))
+    overlap = np.zeros((len(sides[0][0]), len(sides[-1][0])), np.int64)
+    for first in range(0, len(common), PRODUCT_COLUMNS):
+        parts = []
+        for (at, row), (sizes, *_) in zip(entries, sides, strict=True):
+            a, b = np.searchsorted(at, [first, first + PRODUCT_COLUMNS])
+            part = np.zeros((len(sizes), min(PRODUCT_COLUMNS, len(common) - first)), np.float32)
+            part[row[a:b], at[a:b] - first] = 1
+            parts.append(part)
+        overlap += (parts[0] @ parts[-1].T).astype(np.int64)
+    linked = 9 * overlap >= 4 * (sides[0][0][:, None] + sides[-1][0][None, :])
+    if right is None:
+        np.fill_diagonal(linked, False)
+        return [linked @ left[1]]
+    return [linked @ right[1], linked.T @ left[1]]
+
+
+def link_counts(able: DataFrame, roots: DataFrame, copies: DataFrame) -> DataFrame:
+    """(class, links): for every class with a link the documents of all other
+    classes that it is linked with.
+
+    No pair of different components reaches the threshold, so the pairs to
+    count are those inside the components: all of them, however they came to
+    be one component.  Small components share tasks; a large one is cut into
+    chunks of rows of like size, with a task for each two chunks whose sizes
+    allow a link.  Tasks give out sums by row, so no table grows with the
+    pairs.
     """
+    sized = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("bigint")
+    members = able.select("class", "n", F.size("shared").alias("m"), sized.alias("sized"))
+    members = written(members.join(roots, "class").join(copies, "class"), "members")
+    by_size = members.groupBy("root", "sized").agg(F.count(F.lit(1)).alias("rows"), F.sum("m").alias("entries"))
+    parts = F.ceil(F.greatest(F.col("rows") / PRODUCT_ROWS, F.col("entries") / PRODUCT_ENTRIES)).cast("bigint")
+    per_root = by_size.groupBy("root").agg(
+        F.sum("rows").alias("rows"), F.sum("entries").alias("entries"),
+        F.map_from_entries(F.collect_list(F.struct("sized", parts.alias("parts")))).alias("parts"),
+    )
+    is_large = (F.col("rows") > PRODUCT_ROWS) | (F.col("entries") > PRODUCT_ENTRIES)
+    per_root = written(per_root, "component-sizes")
+    small = per_root.where(~is_large).agg(F.sum("rows"), F.sum("entries")).first()
+    bins = int(np.ceil(max((small[0] or 0) / (8 * PRODUCT_ROWS), (small[1] or 0) / PRODUCT_ENTRIES, 1)))
+    large = per_root.where(is_large).select("root", "parts")
+    large = F.broadcast(large) if large.count() <= BROADCAST_IDS else large
+
+    chunk = lambda size, part: size * F.lit(1 << 32) + part
+    here = F.element_at("parts", F.col("sized"))
+    own = F.coalesce(chunk(F.col("sized"), F.pmod(F.xxhash64("class"), here)), F.lit(-1))
+    # Logarithms round: two classes of size off are met as well.
+    near = F.filter(F.sequence(F.col("sized") - 2, F.col("sized") + 2), lambda s: F.map_contains_key("parts", s))
+    met = F.flatten(
+        F.transform(
+            near, lambda s: F.transform(F.sequence(F.lit(0).cast("bigint"), F.element_at("parts", s) - 1), lambda j: chunk(s, j))
+        )
+    )
+    met = F.when(F.col("parts").isNull(), F.array(F.lit(-1).cast("bigint"))).otherwise(met)
+    home = F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("root"), F.lit(bins))).otherwise(F.col("root"))
+    dealt = (
+        members.join(large, "root", "left")
+        .select("class", "root", "copies", home.alias("home"), own.alias("own"), F.explode(met).alias("other"))
+        .select("class", "root", "copies", "home", "own",
+                F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+        .join(able.select("class", "n", "shared"), "class")
+    )
+
+    def product(table: pa.Table) -> pa.Table:
+        of = lambda name: table.column(name).to_numpy()
+        classes, root, own, x, y = of("class"), of("root"), of("own"), of("x")[0], of("y")[0]
+        sizes, copies = of("n"), of("copies")
+        shared = table.column("shared").combine_chunks()
+        held = pc.list_value_length(shared).to_numpy(zero_copy_only=False).astype(np.int64)
+        columns, ends = shared.flatten().to_numpy(), np.cumsum(held)
+
+        def rows_at(at: np.ndarray) -> tuple[np.ndarray, ...]:
+            lists = [columns[ends[i] - held[i] : ends[i]] for i in at.tolist()]
+            return sizes[at], copies[at], held[at], np.concatenate(lists or [columns[:0]])
+
+        links = np.zeros(len(classes), np.int64)
+        if x != y:
+            sides = [np.flatnonzero(own == x), np.flatnonzero(own == y)]
+            if len(sides[0]) and len(sides[1]):
+                links[sides[0]], links[sides[1]] = link_sums(rows_at(sides[0]), rows_at(sides[1]))
+        else:
+            order = np.argsort(root, kind="stable")
+            for at in np.split(order, np.flatnonzero(np.diff(root[order])) + 1):
+                links[at] = link_sums(rows_at(at))[0]
+        out = pa.table({"class": pa.array(classes[links > 0]), "links": pa.array(links[links > 0])})
+        del shared, columns
+        hand_back_memory()
+        return out
+
+    products = dealt.groupBy("home", "x", "y").applyInArrow(product, "class long, links long")
+    return written(products.groupBy("class").agg(F.sum("links").alias("links")), "link-counts")
+
+
+def joined_documents(docs: DataFrame, id_col: str, text_col: str, links: bool) -> DataFrame:
+    """(id, n_shingles, class_id, component_id) per document, with n_links if
+    they are asked for."""
     with small_batches(docs.sparkSession):
         counted = written(row_classes(docs, id_col, text_col), "classes")
     rows = counted.where("kind = 0").select("id", F.col("key").alias("class"), "n")
@@ -472,15 +580,48 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 marked = written(with_roots(marked.drop("root"), roots), "open-columns")
         partners = partners and 8 * partners
 
-    grouped = rows.where("n > 0").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
-    least = grouped.groupBy("root").agg(F.min("id").alias("component_id"))
-    joined = grouped.join(least, "root").select("id", "n", "component_id")
-    alone = rows.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
-    return joined.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    classes = rows.where("n > 0").groupBy("class").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("copies"))
+    classes = written(classes, "copies")
+    grouped = classes.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    found = [F.col("copies") - 1]
+    if links:
+        grouped = grouped.join(link_counts(able, roots, classes.select("class", "copies")), "class", "left")
+        found = [F.col("copies") - 1 + F.coalesce("links", F.lit(0))]
+    least = grouped.groupBy("root").agg(F.min("class_id").alias("component_id"))
+    grouped = grouped.join(least, "root").select("class", "class_id", "component_id", found[0].alias("n_links"))
+    joined = rows.where("n > 0").join(grouped, "class").select("id", "n", "class_id", "component_id", "n_links")
+    alone = rows.where("n = 0").select(
+        "id", "n", F.col("id").alias("class_id"), F.col("id").alias("component_id"), F.lit(0).cast("bigint").alias("n_links")
+    )
+    out = joined.unionByName(alone).select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "class_id", "component_id", "n_links"
+    )
+    return out if links else out.drop("n_links")
+
 
+def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, class_id, component_id, n_links) per document: the
+    similarity join of the documents with each other.
 
-# Largest number of left-out ids that is broadcast (8 bytes each).
-BROADCAST_IDS = 1_000_000
+    Two documents are linked when 100 * intersection >= 80 * union of their
+    sets of 5-word n-grams.  class_id is the smallest id of the documents with
+    an equal set, component_id the smallest id reachable over links, n_links
+    the number of other documents (rows) linked with this one: its copies and
+    all documents of every class linked with its own, each pair counted in
+    full.
+
+    NULL, empty and blank texts have no n-grams and are linked with nothing
+    (class and component are their own id); NULL ids take part in links but
+    are no smallest id unless all ids are NULL; repeated rows and copies are
+    one class; an empty table gives an empty result.
+    """
+    return joined_documents(docs, id_col, text_col, links=True)
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id) of ``jaccard_links`` for those who ask
+    for components only: pairs inside one component are not counted."""
+    return joined_documents(docs, id_col, text_col, links=False).select(id_col, "n_shingles", "component_id")
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

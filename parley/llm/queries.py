@@ -13,7 +13,7 @@ from parley.llm.ann_forest import nearest_neighbours
 from parley.llm.common import read_table
 from parley.llm.html_extract import extract_pages
 from parley.llm.language_id import identify_pages
-from parley.llm.ngram_join import jaccard_components
+from parley.llm.ngram_join import jaccard_links
 from parley.llm.packing import pack_documents
 from parley.llm.quality_classifier import quality_scores
 from parley.llm.quality_rules import quality_rules
@@ -40,7 +40,12 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(documents(spark, sf_dir))
+    """The whole join; the query's columns are those its SQL names."""
+    return op4_ngram_join_links(spark, sf_dir).select("doc_id", "n_shingles", "component_id")
+
+
+def op4_ngram_join_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_links(documents(spark, sf_dir))
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_source_mixing": op2_source_mixing,
         "op3_nearest_neighbours": op3_nearest_neighbours,
         "op4_ngram_join": op4_ngram_join,
+        "op4_ngram_join_links": op4_ngram_join_links,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_html_extraction": op6_html_extraction,
         "op7_quality_classifier": op7_quality_classifier,

@@ -240,6 +240,37 @@ def test_ngram_join_of_large_groups(spark, monkeypatch, frequent):
     assert collections.Counter(map(tuple, got)) == components(items)
 
 
+def link_numbers(items):
+    """Rows (id, smallest id of an equal set, links) by comparing all pairs."""
+    sets = [shingles(t) for _, t in items]
+    out = []
+    for i, a in enumerate(sets):
+        linked = [j for j, b in enumerate(sets) if j != i and a and 100 * len(a & b) >= 80 * len(a | b)]
+        same = [items[j][0] for j, b in enumerate(sets) if a and a == b and items[j][0] is not None]
+        out.append((items[i][0], min(same, default=None) if a else items[i][0], len(linked)))
+    return collections.Counter(out)
+
+
+def test_ngram_join_counts_every_link(spark, monkeypatch, docs, rows, nothing):
+    def numbers(df):
+        got = ngram_join.jaccard_links(df)
+        return collections.Counter(map(tuple, got.select("doc_id", "class_id", "n_links").collect()))
+
+    assert numbers(docs) == link_numbers([(r[0], r[1]) for r in rows])
+    assert ngram_join.jaccard_links(nothing).collect() == []
+    items = near_copies()
+    items += [(500 + i, items[i % 7][1]) for i in range(20)]  # copies count
+    df = spark.createDataFrame(items, "doc_id long, text string")
+    want = link_numbers(items)
+    assert max(n for _, _, n in want) > 20
+    assert numbers(df) == want  # components as a whole
+    monkeypatch.setattr(ngram_join, "PRODUCT_ROWS", 16)
+    monkeypatch.setattr(ngram_join, "PRODUCT_COLUMNS", 50)
+    assert numbers(df) == want  # in chunks of rows and columns
+    got = ngram_join.jaccard_links(df).select("doc_id", "n_shingles", "component_id").collect()
+    assert collections.Counter(map(tuple, got)) == components(items)
+
+
 # ---------------------------------------------------------------- op5, op10
 @pytest.fixture(scope="module")
 def tokenizer():
