@@ -625,10 +625,19 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that are their component's smallest id, with all their
-    columns.  The ids to leave out are broadcast behind a check of their
-    number; beyond it the join shuffles."""
-    components = jaccard_components(docs, id_col, text_col)
-    out = written(components.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__out")), "left-out")
+    """One row of each component, with all its columns: the row with the least
+    id (NULL last), among rows with that id the one with the least row key.
+
+    Rows are told apart by a key that is written with them once, so NULL,
+    repeated and reused ids take no other row along.  Rows without n-grams are
+    components of their own and all stay.  The keys to leave out are broadcast
+    behind a check of their number; beyond it the join shuffles.
+    """
+    keyed = written(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
+    components = written(jaccard_components(keyed, "__row", text_col).select("__row", "component_id"), "components")
+    ids = keyed.select("__row", F.col(id_col).alias("__id"))
+    first = F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__row"))
+    stay = components.join(ids, "__row").groupBy("component_id").agg(first.alias("first")).select(F.col("first.__row").alias("__row"))
+    out = written(components.select("__row").join(stay, "__row", "left_anti"), "left-out")
     out = F.broadcast(out) if out.count() <= BROADCAST_IDS else out
-    return docs.join(out, F.col(id_col).eqNullSafe(F.col("__out")), "left_anti")
+    return keyed.join(out, "__row", "left_anti").drop("__row")
