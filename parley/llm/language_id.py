@@ -94,9 +94,9 @@ def train_text_model(
 
 
 def declared_language(html: Column) -> Column:
-    """Primary subtag of the <html lang> attribute, "" if there is none."""
-    head = F.substring(F.coalesce(html, F.lit("")), 1, 4096)
-    tag = F.regexp_extract(head, r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-zA-Z]+)", 1)
+    """Primary subtag of the first <html lang> attribute of the whole page, ""
+    if there is none."""
+    tag = F.regexp_extract(F.coalesce(html, F.lit("")), r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-zA-Z]+)", 1)
     return F.lower(tag)
 
 

@@ -469,6 +469,14 @@ def test_language_id(spark):
     assert {r["lang"] for r in language_id.identify_pages(more, docs.limit(0)).collect()} == {"und"}
 
 
+def test_language_is_declared_anywhere_in_the_page(spark):
+    late = [f"<!-- {'licence ' * 2000} --><HTML\n dir=ltr LANG='de-AT'><p>x</p>", " " * 5000 + '<html lang="fr">',
+            "<html " + "data-x=y " * 1000 + "lang=es>", "<p>" + "x" * 9000, None]
+    df = spark.createDataFrame(list(enumerate(late)), "i int, html string")
+    got = df.orderBy("i").select(language_id.declared_language(F.col("html"))).collect()
+    assert [r[0] for r in got] == ["de", "fr", "es", "", ""]
+
+
 # ---------------------------------------------------------------- pipeline
 def test_pipeline(spark, docs):
     import corpus_pipeline
