@@ -18,11 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.llm.common import bounded_rows, written
+from parley.llm.common import written
 from parley.llm.html_extract import Weights, main_text, train_weights
 from parley.llm.tokens import text_slices
 
@@ -59,17 +59,48 @@ class TextModel:
         return (counts @ self.log_p) * (min(n, EFFECTIVE_TRIGRAMS) / n) if n else np.zeros(len(self.languages))
 
 
+def language_sample(
+    docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_rows: int
+) -> tuple[list[str], DataFrame]:
+    """All languages of the documents, and at most ``max_rows`` documents
+    (text, lang) of each, among those with text, by a seeded hash of id and
+    text.
+
+    A grouped count over all documents gives the languages and the share of
+    the hash's range that holds enough rows of each, so only about
+    ``max_rows`` rows a language are put in order.
+    """
+    hashed = F.xxhash64(id_col, text_col, F.lit("language"))
+    known = docs.where(F.col(lang_col).isNotNull()).select(
+        F.col(text_col).alias("text"), F.lower(F.col(lang_col)).alias("lang"), hashed.alias("h")
+    )
+    with_text = F.trim("text") != ""
+    counts = known.groupBy("lang").agg(
+        F.count(F.when(with_text, 1)).alias("n"), F.min(F.when(with_text, F.col("h"))).alias("least")
+    )
+    counts = counts.collect()
+    enough = max_rows + 4 * math.sqrt(max_rows) + 16
+    # The row with the least hash counts in any case: equal rows have one hash.
+    upto = [
+        (r["lang"], max(r["least"], min(2**63 - 1, int(-(2**63) + 2**64 * min(1.0, enough / r["n"])))))
+        for r in counts
+        if r["n"]
+    ]
+    upto = docs.sparkSession.createDataFrame(upto, "l string, upto long")
+    rows = known.where(with_text).join(F.broadcast(upto), (F.col("lang") == F.col("l")) & (F.col("h") <= F.col("upto")))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
+    sample = rows.select("text", "lang", rank.alias("rank")).where(F.col("rank") <= max_rows).select("text", "lang")
+    return sorted(r["lang"] for r in counts), sample
+
+
 def train_text_model(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 4000
 ) -> TextModel:
-    """Trigram models from at most ``max_rows`` documents with text and
-    language, chosen by a hash of their ids."""
-    known = docs.where(F.col(lang_col).isNotNull()).select(F.col(id_col))
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(id_col), F.col(text_col), F.lower(F.col(lang_col)).alias("lang")
-    )
-    sample = bounded_rows(known, rows, id_col, max_rows, "language")
-    sample = written(sample.select(F.col(text_col).alias("text"), "lang").repartition(8, F.xxhash64(text_col)), "language-sample")
+    """Trigram models of all languages of the documents, each from at most
+    ``max_rows`` documents with text, chosen by a hash.  A language without
+    any text has the mean of the others as its model."""
+    languages, sample = language_sample(docs, id_col, text_col, lang_col, max_rows)
+    sample = written(sample.repartition(8, F.xxhash64("text")), "language-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -84,11 +115,12 @@ def train_text_model(
     totals: dict[str, np.ndarray] = {}
     for r in sample.mapInArrow(count, "lang string, sums binary").collect():
         totals[r["lang"]] = totals.get(r["lang"], 0.0) + np.frombuffer(r["sums"], "<f8")
-    languages = sorted(totals)
     if not languages:
         return TextModel(["und"], np.zeros((BUCKETS, 1)))
     # Smoothed towards the mean of all languages.
-    p = np.stack([totals[n] / max(totals[n].sum(), 1.0) for n in languages], axis=1)
+    shares = {n: t / t.sum() for n, t in totals.items() if t.sum()}
+    mean = np.mean(list(shares.values()), axis=0) if shares else np.full(BUCKETS, 1.0 / BUCKETS)
+    p = np.stack([shares.get(n, mean) for n in languages], axis=1)
     p = 0.9 * p + 0.09 * p.mean(1, keepdims=True) + 0.01 / BUCKETS
     return TextModel(languages, np.log(p))
 

@@ -477,6 +477,20 @@ def test_language_is_declared_anywhere_in_the_page(spark):
     assert [r[0] for r in got] == ["de", "fr", "es", "", ""]
 
 
+def test_rare_languages_stay(spark):
+    rows = [(i, f"the house of number {i} and the rest", "EN") for i in range(400)]
+    rows += [(1000 + i, None, "fr") for i in range(200)]  # labelled, without text
+    rows += [(2000, "der rest und das haus", "de"), (None, "la casa y el resto", "es"), (3000, "x y z", None)]
+    rows += [(4000, "o resto da casa", "pt")] * 60  # a repeated row
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train_text_model(df, max_rows=5)
+    assert model.languages == ["de", "en", "es", "fr", "pt"] and np.isfinite(model.log_p).all()
+    for text, lang in ((rows[0][1], "en"), ("das haus und der rest", "de"), ("el resto y la casa", "es"), ("resto da", "pt")):
+        assert model.languages[int(model.log_likelihood(text).argmax())] == lang
+    _, sample = language_id.language_sample(df, "doc_id", "text", "lang", 5)
+    assert {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()} == {"de": 1, "en": 5, "es": 1, "pt": 5}
+
+
 # ---------------------------------------------------------------- pipeline
 def test_pipeline(spark, docs):
     import corpus_pipeline
