@@ -1,11 +1,11 @@
-"""Exact Jaccard join of documents on word n-grams as a blocked sparse matrix
-product, and its links and connected components.
+"""Exact Jaccard join of documents on word n-grams: connected components by a
+prefix-filter join, the links inside them by a blocked sparse matrix product.
 
 The incidence matrix has a row per distinct set of n-grams (documents with
 equal sets are one class) and a column per n-gram.  It is cut into column
 blocks by the n-gram's hash.  A pair of rows can only reach the threshold when
-its overlap count does, so size-derived bounds discard work before and during
-the product:
+its overlap count does, so size-derived bounds discard work before the
+overlaps are counted:
 
 * a column with one row adds to no overlap: each block drops such columns and
   hands the others back to the rows, with the column's number of rows;
@@ -15,7 +15,8 @@ the product:
   and the columns left behind a common one must still reach the overlap that
   the two sizes ask for (positional bound).
 
-Overlaps of the remaining pairs are counted in full.  Components come first: a
+The column blocks only find the columns that rows share; the pairs of the
+prefix-filter join are verified one by one, in full.  Components come first: a
 column with many rows links its rows in stars, then deals them a few partners
 each, and in the end all remaining pairs of different components are counted.
 So every link lies inside a component, and the links are then counted there:
