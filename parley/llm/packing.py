@@ -92,14 +92,30 @@ def undominated_fillings(
     return sorted(((w, f) for f, w in found.items()), key=lambda x: (x[0], tuple((-a, -b) for a, b in x[1])))[:keep]
 
 
+# Budgets of the search: fillings tried per bin, partial fillings visited per
+# bin, bins completed in all.
+KEEP, NODES, BRANCHES = 3, 400, 6000
+
+
 def complete_bins(
-    histogram: dict[int, int], capacity: int, keep: int = 3, nodes: int = 400, branches: int = 6000
+    histogram: dict[int, int], capacity: int, keep: int = KEEP, nodes: int = NODES, branches: int = BRANCHES
 ) -> list[Run]:
-    """A packing of the histogram (length -> count) in few sequences.
-
-    ``branches`` bounds the bins completed in the search; the best packing so
-    far (at first the best-fit one) is the result when they are used up or the
-    lower bound is met.  Every piece of the histogram is packed.
+    """The packing that ``search_bins`` finds."""
+    return search_bins(histogram, capacity, keep, nodes, branches)[0]
+
+
+def search_bins(
+    histogram: dict[int, int], capacity: int, keep: int = KEEP, nodes: int = NODES, branches: int = BRANCHES
+) -> tuple[list[Run], str]:
+    """A packing of the histogram (length -> count) in few sequences, and how
+    the search ended: "bound" when the lower bound is met, which proves that
+    no packing takes fewer sequences; "searched" when all branches that the
+    other budgets allow were followed; "budget" when ``branches`` ran out.
+
+    ``keep`` and ``nodes`` bound the fillings of each bin, ``branches`` the
+    bins completed; a filling is repeated as often as the counts allow.  So
+    only "bound" is a proof.  The best packing so far (at first the best-fit
+    one) is the result.  Every piece of the histogram is packed.
     """
     total = sum(length * n for length, n in histogram.items())
     bound = -(-total // capacity)
@@ -156,7 +172,7 @@ def complete_bins(
             continue
         runs.append((filling, times))
         stack.append((after, remaining, used + times, wasted + waste * times, options(after, remaining)))
-    return best
+    return best, "bound" if best_used <= bound else "budget" if stack else "searched"
 
 
 def plan_rows(runs: list[Run]) -> list[tuple[int, int, int, int, int, int]]:
@@ -216,20 +232,24 @@ def pack_documents(
     capacity: int = 2048,
     tokenizer: str | None = None,
     end_id: int = 0,
+    keep: int = KEEP,
+    nodes: int = NODES,
+    branches: int = BRANCHES,
 ) -> DataFrame:
     """Every document's pieces with their place in a packed sequence.
 
     Returns id, piece, start, length, ids_crc32, sequence_id, offset.  NULL and
     empty texts are the end id alone; NULL ids and repeated rows are packed as
     documents of their own; an empty table gives an empty result; very long
-    texts become many pieces.  The histogram (at most ``capacity`` rows) is
+    texts become many pieces.  ``keep``, ``nodes`` and ``branches`` are the
+    budgets of ``search_bins``.  The histogram (at most ``capacity`` rows) is
     all that the driver sees.
     """
     spark = docs.sparkSession
     with small_batches(spark):
         pieces = written(token_pieces(docs, id_col, text_col, capacity, tokenizer or default_tokenizer(), end_id), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = plan_rows(complete_bins(histogram, capacity))
+    rows = plan_rows(complete_bins(histogram, capacity, keep, nodes, branches))
     # At most one run per exhausted length and 63 lengths per sequence.
     plan = spark.createDataFrame(rows, "p_length long, first long, end long, k long, base long, at long")
     ranked = with_slots(pieces, "length", [id_col, "piece", "ids_crc32"])

@@ -330,6 +330,13 @@ def test_bin_completion_beats_best_fit():
     assert packed == histogram and packing.complete_bins({}, 10) == []
 
 
+def test_bin_completion_tells_how_it_ended():
+    assert packing.search_bins({6: 1, 5: 1, 3: 1, 2: 3}, 10)[1] == "bound"
+    assert packing.search_bins({6: 1, 5: 1, 3: 1, 2: 3}, 10, branches=1)[1] == "budget"
+    assert packing.search_bins({6: 5}, 10) == ([(((6, 1),), 5)], "searched")
+    assert packing.search_bins({}, 10) == ([], "bound")
+
+
 def test_token_files(docs, rows, nothing, tokenizer):
     got = token_stream.token_files_round_trip(docs, length=64).collect()
     assert collections.Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got) == collections.Counter(
