@@ -13,13 +13,16 @@ from parley.llm.ann_forest import nearest_neighbours
 from parley.llm.common import read_table
 from parley.llm.html_extract import extract_pages
 from parley.llm.language_id import identify_pages
+from parley.llm.merkle import FIELDS, merkle_manifest
 from parley.llm.ngram_join import jaccard_links
 from parley.llm.packing import pack_documents
 from parley.llm.quality_classifier import quality_scores
 from parley.llm.quality_rules import quality_rules
 from parley.llm.sharding import shard_documents
+from parley.llm.simhash import simhash_components
 from parley.llm.source_mixing import mix_sources
 from parley.llm.token_stream import token_files_round_trip
+from parley.llm.whitening import whiten
 
 
 def documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
@@ -74,6 +77,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files_round_trip(documents(spark, sf_dir))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(documents(spark, sf_dir))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(read_table(spark, sf_dir, "documents", *FIELDS))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
@@ -87,6 +102,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sharding": op8_sharding,
         "op9_language_id": op9_language_id,
         "op10_token_files": op10_token_files,
+        "op11_simhash": op11_simhash,
+        "op12_whitening": op12_whitening,
+        "op13_merkle": op13_merkle,
     }
 
 
