@@ -39,9 +39,9 @@ FROM s
 
 SOURCE_MIXING = rf"""
 WITH d AS (
-  SELECT doc_id, source, len({WORDS})::BIGINT AS size FROM documents
+  SELECT doc_id, source, len({WORDS})::BIGINT AS size, md5(coalesce(text, '')) AS text_md5 FROM documents
 ), h AS (
-  SELECT *, ('0x' || substr(md5(concat_ws('|', '17', coalesce(doc_id::VARCHAR, ''), size::VARCHAR)), 1, 15))::BIGINT AS h
+  SELECT *, ('0x' || substr(md5(concat_ws('|', '17', coalesce(doc_id::VARCHAR, ''), size::VARCHAR, text_md5)), 1, 15))::BIGINT AS h
   FROM d
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source

@@ -126,7 +126,8 @@ def small_side(df: DataFrame) -> DataFrame:
 def sized_documents(docs: DataFrame, id_col: str, text_col: str, seed: int) -> list[Column]:
     """Columns id, size, h and bucket of a document."""
     size = word_count(F.col(text_col))
-    h = seeded_hash(seed, F.col(id_col), size)
+    # The text counts, so different documents without an id are no peers.
+    h = seeded_hash(seed, F.col(id_col), size, F.md5(F.coalesce(F.col(text_col), F.lit(""))))
     return [F.col(id_col).alias("id"), size.alias("size"), h.alias("h"), F.shiftright(h, BUCKET_BITS).alias("bucket")]
 
 

@@ -3,13 +3,15 @@
 For tokenizers whose pre-tokenizer drops white space and keeps runs of letters
 apart from punctuation, the ids of a text are the ids of its words in a row,
 and those of a word of letters with punctuation behind it are the ids of both
-parts.  Arrow splits and dictionary-encodes the words of a slice of rows, only
+parts, provided that the letters are still letters once they are normalised
+and in lower case: a mark that comes out joins what follows.  Arrow splits and dictionary-encodes the words of a slice of rows, only
 parts not seen before go through the tokenizer, and one gather puts the ids
 together.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +37,19 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def odd_letters() -> str:
+    """A pattern of the letters whose composed, lower-cased form is not all
+    letters (some 60, such as the capital I with a dot)."""
+    odd = []
+    for code in range(128, 0x110000):
+        c = chr(code)
+        if unicodedata.category(c)[0] == "L":
+            form = unicodedata.normalize("NFC", c).lower()
+            if form != c and any(unicodedata.category(x)[0] != "L" for x in form):
+                odd.append(c)
+    return "[" + "".join(odd) + "]"
+
+
 class WordEncoder:
     """Ids per word, remembered for at most ``CACHED_WORDS`` words."""
 
@@ -46,6 +61,7 @@ class WordEncoder:
         plain = [(i, t.content) for i, t in added if t.special and not (t.lstrip or t.rstrip or t.normalized or t.single_word)]
         # A special token splits a text before anything else happens to it.
         self.mark = min(plain, default=None)
+        self.odd = odd_letters()
         self.forget()
 
     def forget(self) -> None:
@@ -107,6 +123,7 @@ class WordEncoder:
         vocabulary = coded.dictionary
         # Each word in two parts; a word of another form is whole, with nothing behind it.
         in_parts = pc.match_substring_regex(vocabulary, PARTS)
+        in_parts = pc.and_not(in_parts, pc.match_substring_regex(vocabulary, self.odd))
         body = pc.if_else(in_parts, pc.ascii_lower(pc.replace_substring_regex(vocabulary, TAIL, "")), vocabulary)
         tail = pc.if_else(in_parts, pc.replace_substring_regex(vocabulary, r"^\p{L}+", ""), "")
         parts = np.empty((len(vocabulary), 2), np.int64)
