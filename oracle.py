@@ -59,7 +59,8 @@ wh AS (
   WHERE d.day_of_week BETWEEN 2 AND 6 OR u.user_id % 8 = 2
 )"""
 
-# Weekday-wide hours: the pivot, 1 = Sunday .. 7 = Saturday.
+# Weekday numbers (1 = Sunday .. 7 = Saturday) and the names of
+# the pivot's output columns, as the result declares them.
 WEEK_PIVOT = """
 week AS (
   SELECT user_id, org_id,
@@ -559,28 +560,21 @@ FROM ld GROUP BY user_id, org_id, date, sender_number
 _CLOCK_US = "((CAST(split_part({x}, ':', 1) AS BIGINT) * 3600 + CAST(split_part({x}, ':', 2) AS BIGINT) * 60" \
             " + COALESCE(TRY_CAST(split_part({x}, ':', 3) AS BIGINT), 0)) * 1000000)"
 
-Q9 = _with(
-    MESSAGE_EVENTS, MAPPING, CONFIG,
-    """
-requests AS (SELECT DISTINCT user_id, org_id FROM me WHERE user_id IS NOT NULL)""",
-    resolve_sql("requests", "user_id", "user_id", "org_id"),
-    legacy_daily(),
-    """
-hours AS (
-  SELECT user_id, org_id, lower(week_day) AS wd,
-         """ + _CLOCK_US.format(x="start_time") + """ AS s,
-         """ + _CLOCK_US.format(x="end_time") + """ AS e
-  FROM resolved
-),
-flagged AS (
+def q9_ctes(src: str, p: str, keyed: bool = True) -> str:
+    """CTEs of the enhanced summary of message rows ``src`` with the slots of
+    ``hours``; the result is CTE ``{p}out``."""
+    own = "h.user_id = ld.user_id AND h.org_id = ld.org_id AND " if keyed else ""
+    return f"""
+{p}ld AS (SELECT m.*, CAST(message_timestamp AS DATE) AS date FROM {src} m),
+{p}flagged AS (
   SELECT ld.*,
          direction = 'OUTGOING' AND EXISTS (
            SELECT 1 FROM hours h
-           WHERE h.user_id = ld.user_id AND h.org_id = ld.org_id
-             AND h.wd = lower(dayname(ld.message_timestamp))
+           WHERE {own}h.wd = lower(dayname(ld.message_timestamp))
              AND epoch_us(ld.message_timestamp) % 86400000000 BETWEEN h.s AND h.e) AS counted
-  FROM ld
-)
+  FROM {p}ld ld
+),
+{p}out AS (
 SELECT user_id, org_id, date, sender_number,
        COUNT(*) FILTER (WHERE direction = 'OUTGOING') AS messages_sent,
        COUNT(*) FILTER (WHERE direction = 'INCOMING') AS messages_received,
@@ -593,9 +587,29 @@ SELECT user_id, org_id, date, sender_number,
        MAX(message_timestamp) AS latest_message,
        CASE WHEN user_id IS NOT NULL AND org_id IS NOT NULL AND sender_number IS NOT NULL
             THEN COALESCE(AVG(CASE WHEN counted THEN 300 END), 0.0) ELSE 0.0 END AS average_response_time
-FROM flagged GROUP BY user_id, org_id, date, sender_number
-""",
-)
+FROM {p}flagged GROUP BY user_id, org_id, date, sender_number
+)"""
+
+
+USER_HOURS = """
+requests AS (SELECT DISTINCT user_id, org_id FROM me WHERE user_id IS NOT NULL)""" + "," + resolve_sql(
+    "requests", "user_id", "user_id", "org_id") + """,
+hours AS (
+  SELECT user_id, org_id, lower(week_day) AS wd,
+         """ + _CLOCK_US.format(x="start_time") + """ AS s,
+         """ + _CLOCK_US.format(x="end_time") + """ AS e
+  FROM resolved
+)"""
+
+# T22: one literal calendar for every message.
+ONE_CALENDAR = [("monday", "08:00:00", "12:00:00"), ("monday", "13:00:00", "17:30:00"), ("wednesday", "09:00:00", "18:00:00"),
+                ("friday", "22:00:00", "06:00:00")]
+LITERAL_HOURS = """
+hours AS (SELECT wd, """ + _CLOCK_US.format(x="a") + " AS s, " + _CLOCK_US.format(x="b") + """ AS e
+  FROM (VALUES """ + ", ".join(str(r) for r in ONE_CALENDAR) + """) AS v(wd, a, b))"""
+
+Q9 = _with(MESSAGE_EVENTS, MAPPING, CONFIG, USER_HOURS, q9_ctes("me", "e_")) + "\nSELECT * FROM e_out\n"
+Q9_ONE = _with(MESSAGE_EVENTS, LITERAL_HOURS, q9_ctes("me", "e_", keyed=False)) + "\nSELECT * FROM e_out\n"
 
 # --------------------------------------------------------------------------
 # Q10 per-user report, Q14 ordered read, Q15 next working period / day
@@ -621,6 +635,7 @@ valued AS (
   FROM placed
 )"""
 
+# The report's records keep the id as text: '12' and '12b' are two users.
 RECORDS = """
 grp AS (
   SELECT user_id, org_id, chat_id, date,
@@ -631,15 +646,12 @@ grp AS (
 ),
 grp_avg AS (SELECT *, CAST((2 * s + 1000 * n) // (2000 * n) AS BIGINT) AS avg_rt FROM grp),
 records AS (
-  SELECT TRY_CAST(user_id AS BIGINT) AS user_id, TRY_CAST(org_id AS BIGINT) AS org_id, phone_number, date,
-         arg_max(avg_rt, chat_id) AS avg_response_time
-  FROM grp_avg GROUP BY user_id, org_id, phone_number, date
+  SELECT user_id, org_id, phone_number, date, arg_max(avg_rt, chat_id) AS avg_response_time
+  FROM grp_avg WHERE user_id IS NOT NULL GROUP BY user_id, org_id, phone_number, date
 )"""
 
-Q10 = _with(
-    MESSAGE_EVENTS, MAPPING, CONFIG, resolve_sql("first_map", "user_id", "team_id", "org_id"), FLAT, SLOTS, PAIRS,
-    Q3_VALUED, RECORDS, """
-um AS (SELECT me.*, CAST(message_timestamp AS DATE) AS date FROM me WHERE user_id IS NOT NULL),
+REPORT = """
+um AS (SELECT *, CAST(message_timestamp AS DATE) AS date FROM me WHERE user_id IS NOT NULL),
 stats AS (
   SELECT user_id,
          COUNT(*) AS message_count,
@@ -678,7 +690,54 @@ SELECT st.user_id, st.message_count, st.incoming_messages, st.outgoing_messages,
        COALESCE(sm.date_range, 'No data') AS date_range
 FROM stats st
 LEFT JOIN counters c ON c.user_id = st.user_id
-LEFT JOIN summary sm ON sm.user_id = TRY_CAST(st.user_id AS BIGINT)
+LEFT JOIN summary sm ON sm.user_id = st.user_id
+"""
+
+
+def report_ctes(messages: str = "") -> str:
+    """Everything up to the report's own CTEs; ``messages`` replaces ``me``."""
+    pairs = PAIRS.replace("FROM me WHERE", "FROM me_r WHERE")
+    return _with(MESSAGE_EVENTS, MAPPING, CONFIG, resolve_sql("first_map", "user_id", "team_id", "org_id"), FLAT, SLOTS,
+                 messages or "\nme_r AS (SELECT * FROM me)", pairs, Q3_VALUED, RECORDS) + ","
+
+
+Q10 = report_ctes() + REPORT.replace("FROM me WHERE", "FROM me_r WHERE")
+
+# Users with an odd number get a letter behind it: '12b' beside '12'.
+TEXT_IDS = """
+me_r AS (
+  SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 2 = 1 THEN user_id || 'b' ELSE user_id END AS user_id) FROM me
+)"""
+Q10_TEXT = report_ctes(TEXT_IDS) + REPORT.replace("FROM me WHERE", "FROM me_r WHERE")
+
+# One user's report, and the report of a user without messages.
+ONE_USER, NOBODY = "7", "nobody"
+Q10_ONE = report_ctes() + "\nall_users AS (WITH " + REPORT.replace("FROM me WHERE", "FROM me_r WHERE").strip() + f"""
+),
+asked AS (SELECT unnest(['{ONE_USER}', '{NOBODY}']) AS user_id)
+SELECT a.user_id, COALESCE(message_count, 0) AS message_count, COALESCE(incoming_messages, 0) AS incoming_messages,
+       COALESCE(outgoing_messages, 0) AS outgoing_messages, COALESCE(unique_chats, 0) AS unique_chats,
+       COALESCE(unique_phone_numbers, 0) AS unique_phone_numbers,
+       COALESCE(conversation_groups, 0) AS conversation_groups, COALESCE(response_pairs, 0) AS response_pairs,
+       COALESCE(hours_adjusted_pairs, 0) AS hours_adjusted_pairs, COALESCE(total_records, 0) AS total_records,
+       COALESCE(avg_response_time, 0) AS avg_response_time, COALESCE(min_response_time, 0) AS min_response_time,
+       COALESCE(max_response_time, 0) AS max_response_time, COALESCE(phone_numbers, '') AS phone_numbers,
+       COALESCE(date_range, 'No data') AS date_range
+FROM asked a LEFT JOIN all_users u ON u.user_id = a.user_id
+"""
+
+# A19: what a whole run counts.
+Q_COUNTERS = _with(
+    MESSAGE_EVENTS, MAPPING, CONFIG, resolve_sql("first_map", "user_id", "team_id", "org_id"), FLAT, SLOTS, PAIRS,
+    Q3_VALUED, """
+kept AS (
+  SELECT user_id, org_id, chat_id, date, FIRST(sender_number ORDER BY out_ts, event_id) AS phone_number
+  FROM valued WHERE v IS NOT NULL GROUP BY user_id, org_id, chat_id, date
+)
+SELECT (SELECT COUNT(*) FROM valued) AS response_pairs,
+       (SELECT COUNT(*) FROM valued WHERE configured AND v IS NOT NULL) AS hours_adjusted_pairs,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT user_id, org_id, chat_id, date FROM valued)) AS conversation_groups,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT user_id, org_id, phone_number, date FROM kept)) AS total_records
 """)
 
 Q10_DIST = _with(MESSAGE_EVENTS, """
@@ -688,6 +747,116 @@ UNION ALL
 SELECT user_id, 'direction', direction, COUNT(*) FROM um GROUP BY user_id, direction
 """
 
+Q10_MAPS = _with(MESSAGE_EVENTS, """
+um AS (SELECT *, CAST(message_timestamp AS DATE) AS date FROM me WHERE user_id IS NOT NULL),
+dates AS (SELECT user_id, CAST(date AS VARCHAR) || '=' || COUNT(*) AS e FROM um GROUP BY user_id, date),
+dirs AS (SELECT user_id, direction || '=' || COUNT(*) AS e FROM um GROUP BY user_id, direction)
+SELECT user_id, string_agg(e, ',' ORDER BY e) AS date_distribution,
+       (SELECT string_agg(x.e, ',' ORDER BY x.e) FROM dirs x WHERE x.user_id = d.user_id) AS direction_distribution
+FROM dates d GROUP BY user_id
+""")
+
+LAST_TWO_DAYS = "CAST(ingestion_timestamp AS DATE) BETWEEN DATE '2024-01-28' AND DATE '2024-01-30'"
+Q14_TWO_DAYS = _with(MESSAGE_EVENTS) + f"\nSELECT * FROM me WHERE {LAST_TWO_DAYS}\n"
+Q14_ONE_USER = _with(MESSAGE_EVENTS) + f"\nSELECT * FROM me WHERE {LAST_TWO_DAYS} AND user_id = '{ONE_USER}'\n"
+
+# REQUIRED columns: some rows of the fixture lose a chat or a direction.
+Q_REQUIRED = _with(MESSAGE_EVENTS, """
+loose AS (
+  SELECT * REPLACE (CASE WHEN CAST(event_id AS BIGINT) % 97 = 0 THEN NULL ELSE chat_id END AS chat_id,
+                    CASE WHEN CAST(event_id AS BIGINT) % 89 = 0 THEN NULL ELSE direction END AS direction)
+  FROM me
+)
+SELECT event_id, CASE WHEN chat_id IS NULL THEN 'chat_id' ELSE 'direction' END AS violated,
+       concat_ws(',', CASE WHEN chat_id IS NULL THEN 'chat_id' END, CASE WHEN direction IS NULL THEN 'direction' END)
+         AS all_violated
+FROM loose WHERE chat_id IS NULL OR direction IS NULL
+""")
+
+# D1: the SQL function over every reply pair of a chat.
+Q_FUNCTION = _with(MESSAGE_EVENTS, WORKING_HOURS, WEEK_PIVOT, f"""
+lagged AS (
+  SELECT me.*, LAG(direction) OVER w AS prev_direction, LAG(message_timestamp) OVER w AS prev_ts
+  FROM me WHERE user_id IS NOT NULL
+  WINDOW w AS (PARTITION BY chat_id ORDER BY message_timestamp, event_id)
+)
+SELECT r.event_id, {_q1_ws()} AS working_seconds
+FROM lagged r LEFT JOIN week w ON r.user_id = w.user_id AND r.org_id = w.org_id
+WHERE r.direction = 'OUTGOING' AND r.prev_direction = 'INCOMING'
+""")
+
+
+# H5 - H7 over all reply pairs of a (user, org, chat): the full decision tree,
+# by weekdays and by dates.
+def tree_sql(n: str, between: str) -> str:
+    inside = "(out_ms >= os AND out_ms <= oe)"
+    within = "(in_ms >= ws AND in_ms <= we)"
+    walk = f"GREATEST(0, CASE WHEN {n} = 0 THEN 0 ELSE {between} + (out_ms - os) END)"
+    return f"""CASE
+    WHEN ws IS NULL AND os IS NULL THEN NULL
+    WHEN ws IS NULL AND {inside} THEN {walk}
+    WHEN ws IS NULL THEN NULL
+    WHEN in_ms >= ws AND out_ms <= we THEN out_ms - in_ms
+    WHEN {within} AND {n} <> 0 AND os IS NOT NULL AND {inside}
+      THEN GREATEST(0, (we - in_ms) + {between} + (out_ms - os))
+    WHEN {within} AND {n} <> 0 THEN NULL
+    WHEN os IS NOT NULL AND NOT {inside} THEN NULL
+    WHEN NOT {within} AND os IS NOT NULL AND {inside} THEN {walk}
+    WHEN NOT {within} THEN NULL
+    WHEN out_ms > we THEN we - in_ms
+    ELSE NULL END"""
+
+
+def between_sql(n: str) -> str:
+    """Slot lengths of the days strictly between, one by one."""
+    return f"COALESCE(list_sum([lens[CAST((d_in + i) % 7 AS INTEGER) + 1] for i in range(1, {n})]), 0)"
+
+
+Q_LIFETIME = _with(
+    MESSAGE_EVENTS, MAPPING, CONFIG, resolve_sql("first_map", "user_id", "team_id", "org_id"), FLAT, SLOTS, """
+lens AS (
+  SELECT user_id, org_id, [""" + ", ".join(
+        f"COALESCE(MAX(CASE WHEN weekday = {k} THEN end_ms - start_ms + CASE WHEN end_ms < start_ms THEN 86400000 ELSE 0 END END), 0)"
+        for k in range(7)
+    ) + """] AS lens
+  FROM slots GROUP BY user_id, org_id
+),
+lag_all AS (
+  SELECT event_id, user_id, org_id, chat_id, direction, message_timestamp AS out_ts,
+         LAG(direction) OVER w AS prev_direction, LAG(message_timestamp) OVER w AS in_ts
+  FROM me WHERE direction IN ('INCOMING', 'OUTGOING')
+  WINDOW w AS (PARTITION BY user_id, org_id, chat_id ORDER BY message_timestamp, event_id)
+),
+lp AS (
+  SELECT *, epoch_us(in_ts) // 1000 AS in_ms, epoch_us(out_ts) // 1000 AS out_ms,
+         dayofweek(in_ts) AS d_in, dayofweek(out_ts) AS d_out,
+         date_diff('day', CAST(in_ts AS DATE), CAST(out_ts AS DATE)) AS n_exact,
+         (dayofweek(out_ts) - dayofweek(in_ts) + 7) % 7 AS n_week
+  FROM lag_all WHERE direction = 'OUTGOING' AND prev_direction = 'INCOMING'
+),
+pl AS (
+  SELECT p.*, (c.user_id IS NOT NULL) AS has_hours, l.lens,
+         epoch_ms(CAST(CAST(in_ts AS DATE) AS TIMESTAMP)) + a.start_ms AS ws,
+         epoch_ms(CAST(CAST(in_ts AS DATE) AS TIMESTAMP)) + a.end_ms
+           + CASE WHEN a.end_ms <= a.start_ms THEN 86400000 ELSE 0 END AS we,
+         epoch_ms(CAST(CAST(out_ts AS DATE) AS TIMESTAMP)) + b.start_ms AS os,
+         epoch_ms(CAST(CAST(out_ts AS DATE) AS TIMESTAMP)) + b.end_ms
+           + CASE WHEN b.end_ms <= b.start_ms THEN 86400000 ELSE 0 END AS oe
+  FROM lp p
+  LEFT JOIN cfg_present c ON c.user_id = p.user_id AND c.org_id = p.org_id
+  LEFT JOIN lens l ON l.user_id = p.user_id AND l.org_id = p.org_id
+  LEFT JOIN slots a ON a.user_id = p.user_id AND a.org_id = p.org_id AND a.weekday = p.d_in
+  LEFT JOIN slots b ON b.user_id = p.user_id AND b.org_id = p.org_id AND b.weekday = p.d_out
+)
+SELECT event_id, user_id, org_id, chat_id, in_ts AS incoming_ts, out_ts AS outgoing_ts, out_ms - in_ms AS raw_ms,
+       has_hours,
+       CAST(""" + tree_sql("n_week", between_sql("n_week")) + """ AS BIGINT) AS adjusted_ms,
+       CAST(""" + tree_sql("n_exact", between_sql("n_exact")) + """ AS BIGINT) AS exact_ms
+FROM pl
+""")
+
+Q5_COUNT = _with(MAPPING) + "\nSELECT COUNT(*) AS count FROM first_map\n"
+
 Q14 = _with(MESSAGE_EVENTS) + "\nSELECT * FROM me\n"
 
 Q15 = _with(MESSAGE_EVENTS, MAPPING, CONFIG, resolve_sql("first_map", "user_id", "team_id", "org_id"), FLAT, SLOTS, """
@@ -820,6 +989,41 @@ prev_target AS (
     + [("updated_at", RUN_TS, RUN_TS), ("created_at", None, "s.earliest_message")],
 )) + "\nSELECT * FROM merged\n"
 
+_M4_COLUMNS = (
+    [("uid", None, "s.user_id"), ("org_id", None, "s.org_id"), ("date", None, "s.date"),
+     ("phone_number", None, "s.sender_number")]
+    + [(c, f"s.{c}", f"s.{c}") for c in _ANALYTICS]
+    + [(c, f"s.{c}", f"s.{c}") for c in ["average_response_time", "conversation_starter", "last_message_from"]]
+    + [("updated_at", RUN_TS, RUN_TS), ("created_at", None, "s.earliest_message")]
+)
+Q_M5 = _with(MESSAGE_EVENTS, MAPPING, CONFIG, USER_HOURS, ME_PREV, q9_ctes("me_prev", "p_"), q9_ctes("me", "c_"), f"""
+prev_target AS (
+  SELECT user_id AS uid, org_id, date, sender_number AS phone_number,
+         messages_sent, messages_received, total_messages, unique_messages, number_of_follow_ups,
+         average_response_time, conversation_starter, last_message_from,
+         {RUN_TS_PREV} AS updated_at, earliest_message AS created_at
+  FROM p_out
+)""", merge_sql("prev_target", "c_out", _LEGACY_KEYS, _M4_COLUMNS)) + "\nSELECT * FROM merged\n"
+
+# M6: a source that holds only later messages leaves target rows alone, and
+# all keys compare plainly: a row without a phone is inserted again.
+Q_M6 = _with(
+    MESSAGE_EVENTS, WORKING_HOURS, WEEK_PIVOT, ME_PREV,
+    f"""
+me_late AS (SELECT * FROM me WHERE message_timestamp >= {CUTOFF})""",
+    q1_ctes("me_prev", "p_"), q1_ctes("me_late", "c_"),
+    merge_sql(
+        "p_out", "c_out",
+        [(c, f"s.{c}", False) for c in ["uid", "org_id", "chat_id", "phone_number"]],
+        [("uid", None, "s.uid"), ("org_id", "s.org_id", "s.org_id"), ("chat_id", None, "s.chat_id"),
+         ("phone_number", None, "s.phone_number")]
+        + [(c, f"s.{c}", f"s.{c}") for c in _ANALYTICS]
+        + [(c, f"s.{c}", f"s.{c}") for c in ["average_response_time", "conversation_starter", "last_message_from",
+                                             "updated_at"]]
+        + [("created_at", None, "s.created_at")],
+    ),
+) + "\nSELECT * FROM merged\n"
+
 ORACLES: dict[str, str] = {
     "conversation_summary": Q1,
     "daily_performance": Q2,
@@ -844,4 +1048,17 @@ ORACLES: dict[str, str] = {
     "conversation_turns_summary": Q1_TURNS,
     "conversation_turns_daily": Q2_TURNS,
     "conversation_turns_response_times": Q4_TURNS,
+    "working_seconds_function": Q_FUNCTION,
+    "lifetime_response_pairs": Q_LIFETIME,
+    "user_report_one_user": Q10_ONE,
+    "user_report_text_ids": Q10_TEXT,
+    "message_distribution_maps": Q10_MAPS,
+    "response_run_counters": Q_COUNTERS,
+    "messages_last_two_days": Q14_TWO_DAYS,
+    "one_user_messages": Q14_ONE_USER,
+    "configured_user_count": Q5_COUNT,
+    "required_column_violations": Q_REQUIRED,
+    "legacy_enhanced_one_calendar": Q9_ONE,
+    "legacy_enhanced_upsert": Q_M5,
+    "conversation_summary_upsert_plain_keys": Q_M6,
 }

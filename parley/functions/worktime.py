@@ -155,6 +155,16 @@ def _days_between(walk_prefix: Column, d_in: Column, n: Column) -> Column:
     return F.get(walk_prefix, d_in + n) - F.get(walk_prefix, d_in + 1)
 
 
+def _dates_between(walk_prefix: Column, d_in: Column, days: Column) -> Column:
+    """Sum of slot lengths of the dates strictly between a date of weekday
+    d_in and the date ``days`` (>= 1) later: whole weeks times the weekly total,
+    and the days that are left over by prefix sums."""
+    rest = F.pmod(days - 1, F.lit(7)).cast("int")
+    weeks = ((days - 1 - rest) / 7).cast("long")
+    start = d_in + 1
+    return weeks * F.get(walk_prefix, F.lit(7)) + F.get(walk_prefix, start + rest) - F.get(walk_prefix, start)
+
+
 def with_adjusted_response_ms(
     df: DataFrame,
     incoming: str,
@@ -162,6 +172,7 @@ def with_adjusted_response_ms(
     hours: str = "hours",
     name: str = "adjusted_ms",
     walk_prefix: str = "walk_prefix",
+    calendar_exact: bool = False,
 ) -> DataFrame:
     """Add ``name``: the working-hours adjusted reply time in milliseconds, NULL
     when the pair is filtered out.  ``hours`` names a weekly slot map column
@@ -188,12 +199,19 @@ def with_adjusted_response_ms(
     0 on the same weekday (so a message before opening answered inside the
     slot on the same day counts 0).  Walk and case 5 are floored at 0.
 
+    Weekdays alone decide by default (parity): a reply a week or more later
+    walks like one within the week, and one on the same weekday of another
+    week counts as the same day.  ``calendar_exact`` goes by dates instead:
+    "other weekday" becomes "other date", and the walk counts every date in
+    between, whole weeks included.
+
     Intermediate values are separate projections, so each is computed once
     and every generated method stays small.
     """
     h = F.col(hours)
     tmp = ["_in_ms", "_out_ms", "_in_day", "_out_day", "_d_in", "_d_out", "_s_in", "_s_out", "_n",
            "_ws", "_we", "_os", "_oe", "_between"]
+    between = _dates_between if calendar_exact else _days_between
     d = df.select("*", epoch_ms(incoming).alias("_in_ms"), epoch_ms(outgoing).alias("_out_ms"))
     d = d.select(
         "*",
@@ -209,14 +227,18 @@ def with_adjusted_response_ms(
         "*",
         h[F.col("_d_in")].alias("_s_in"),
         h[F.col("_d_out")].alias("_s_out"),
-        F.pmod(F.col("_d_out") - F.col("_d_in"), F.lit(7)).alias("_n"),
+        (
+            ((F.col("_out_day") - F.col("_in_day")) / MS_PER_DAY).cast("long")
+            if calendar_exact
+            else F.pmod(F.col("_d_out") - F.col("_d_in"), F.lit(7))
+        ).alias("_n"),
     )
     ws, we = _placed(F.col("_in_day"), F.col("_s_in"))
     os_, oe = _placed(F.col("_out_day"), F.col("_s_out"))
     d = d.select(
         "*",
         ws.alias("_ws"), we.alias("_we"), os_.alias("_os"), oe.alias("_oe"),
-        F.when(F.col("_n") >= 1, _days_between(F.col(walk_prefix), F.col("_d_in"), F.col("_n")))
+        F.when(F.col("_n") >= 1, between(F.col(walk_prefix), F.col("_d_in"), F.col("_n")))
         .otherwise(F.lit(0).cast("long"))
         .alias("_between"),
     )
@@ -226,7 +248,7 @@ def with_adjusted_response_ms(
     has_out = F.col("_s_out").isNotNull()
     out_inside = (out_ms >= os_) & (out_ms <= oe)
     in_inside = (in_ms >= ws) & (in_ms <= we)
-    other_day = F.col("_d_in") != F.col("_d_out")
+    other_day = n != 0
     zero = F.lit(0).cast("long")
     null = F.lit(None).cast("long")
     walk = F.when(n == 0, zero).otherwise(F.col("_between") + (out_ms - os_))

@@ -9,10 +9,10 @@ unbounded group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timecols import WEEKDAY_NAMES, clock_us
+from ..functions.timecols import WEEKDAY_NAMES, clock_us, leading_int
 from ..functions.worktime import with_calendar
 from ..sources.readers import default_week_column
 from .joins import broadcast_if_small
@@ -83,51 +83,38 @@ def resolve_working_hours(
     rows on ``user_col``, team rows on ``team_col`` and org rows on
     ``org_col``.  Returns the request columns plus ``source`` and one row per
     chosen configuration row (week_day, start_time, end_time,
-    timezone_offset); the default calendar comes from a literal array, so it
-    needs no join.
+    timezone_offset).  All keys of a request meet the configuration in one
+    join, and the rows of the least priority found stay; the default calendar
+    comes from a literal array, so it needs no join.
     """
-    from ..functions.timecols import leading_int
-
-    present = config.select("type", "type_id").distinct()
-    present = broadcast_if_small(present)
-    req = requests.select(
-        "*",
-        leading_int(F.col(user_col)).alias("_self_id"),
-        leading_int(F.col(team_col)).alias("_team_id"),
-        leading_int(F.col(org_col)).alias("_org_id"),
-    )
-    for kind, key in (("self", "_self_id"), ("team", "_team_id"), ("org", "_org_id")):
-        flags = present.where(F.col("type") == kind).select(
-            F.col("type_id").alias(f"_{kind}_key"), F.lit(True).alias(f"_has_{kind}")
+    base_cols = requests.columns
+    # One row per key of a request, in order of priority; the default always
+    # applies.
+    keys = [("self", user_col), ("team", team_col), ("org", org_col), ("default", None)]
+    tries = F.array(*[
+        F.struct(
+            F.lit(i).alias("priority"),
+            F.lit(kind).alias("source"),
+            (leading_int(F.col(c)) if c else F.lit(None)).cast("long").alias("id"),
         )
-        req = req.join(flags, req[key] == flags[f"_{kind}_key"], "left").drop(f"_{kind}_key")
-    source = (
-        F.when(F.col("_has_self"), "self")
-        .when(F.col("_has_team"), "team")
-        .when(F.col("_has_org"), "org")
-        .otherwise("default")
-    )
-    source_id = (
-        F.when(F.col("_has_self"), F.col("_self_id"))
-        .when(F.col("_has_team"), F.col("_team_id"))
-        .when(F.col("_has_org"), F.col("_org_id"))
+        for i, (kind, c) in enumerate(keys)
+    ])
+    tried = requests.select("*", F.explode(tries).alias("_try")).select(
+        *base_cols, F.col("_try.priority").alias("_priority"), F.col("_try.source").alias("source"), F.col("_try.id").alias("_id")
     )
-    base_cols = requests.columns
-    req = req.select(*base_cols, source.alias("source"), source_id.alias("_source_id"))
-
     # Many requests share one team or org key; a broadcast of the (bounded)
     # configuration keeps such hot keys out of a shuffle join.
-    cfg = broadcast_if_small(config.select(
-        F.col("type").alias("_type"), F.col("type_id").alias("_type_id"),
-        "week_day", "start_time", "end_time", "timezone_offset",
-    ))
-    configured = req.where(F.col("source") != "default").join(
-        cfg, (F.col("source") == F.col("_type")) & (F.col("_source_id") == F.col("_type_id")), "inner"
-    ).select(*base_cols, "source", "week_day", "start_time", "end_time", "timezone_offset")
-    defaults = req.where(F.col("source") == "default").select(
-        *base_cols, "source", F.explode(default_week_column()).alias("_d")
-    ).select(*base_cols, "source", "_d.week_day", "_d.start_time", "_d.end_time", "_d.timezone_offset")
-    return configured.unionByName(defaults)
+    hours = ["week_day", "start_time", "end_time", "timezone_offset"]
+    cfg = broadcast_if_small(config.select(F.col("type").alias("_type"), F.col("type_id").alias("_type_id"), *hours))
+    configured = tried.where(F.col("source") != "default").join(
+        cfg, (F.col("source") == F.col("_type")) & (F.col("_id") == F.col("_type_id"))
+    )
+    defaults = tried.where(F.col("source") == "default").select("*", F.explode(default_week_column()).alias("_d"))
+    defaults = defaults.select(*base_cols, "_priority", "source", *[F.col(f"_d.{c}").alias(c) for c in hours])
+    found = configured.select(*base_cols, "_priority", "source", *hours).unionByName(defaults)
+    # A request's rows are bounded by its configuration.
+    best = F.min("_priority").over(Window.partitionBy(*base_cols))
+    return found.withColumn("_best", best).where("_priority = _best").drop("_priority", "_best")
 
 
 def all_users_working_hours(mapping: DataFrame, config: DataFrame, dedup: bool = True) -> DataFrame:

@@ -10,10 +10,7 @@ Keys compare null-safely by default (``null_safe=False`` gives plain
 equality: a NULL key then never matches, so its source row is inserted again
 and the old target row is kept).
 
-``write_snapshot`` persists a snapshot; for date-partitioned targets only the
-partitions present in the new rows are replaced (dynamic partition
-overwrite), and reading from the target while replacing it is made safe by
-materialising the merged rows in the shared checkpoint folder first.
+``operators.snapshots`` stores the snapshots.
 """
 
 from __future__ import annotations
@@ -24,8 +21,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
-from ..session import cut_lineage
-
 
 DUPLICATE_SOURCE_ROWS = "DUPLICATE_SOURCE_ROWS"
 # Number of join partitions rows with a NULL plain-equality key are spread over.
@@ -151,22 +146,3 @@ def upsert(
         ).otherwise(F.lit(True))
         joined = joined.where(F.coalesce(guard, F.lit(True)))
     return joined.select(*out)
-
-
-def write_snapshot(
-    df: DataFrame,
-    path: str,
-    partition_by: str | None = None,
-    replace_partitions_only: bool = True,
-) -> None:
-    """Write a merged snapshot.  With ``partition_by`` and
-    ``replace_partitions_only`` only the partitions present in ``df`` are
-    overwritten; the rows are first materialised in the shared checkpoint
-    folder, so ``df`` may read from ``path`` itself."""
-    stable = cut_lineage(df)
-    writer = stable.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-        if replace_partitions_only:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)

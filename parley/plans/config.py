@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_if_few
 from ..operators.hours import (
     all_users_working_hours,
     flatten_working_hours,
@@ -14,6 +15,9 @@ from ..operators.hours import (
     weekly_slot_map,
 )
 
+# A calendar row's width, in rows of the user mapping (about 32 bytes).
+CALENDAR_WIDTH = 20
+
 
 def user_working_hours(mapping: DataFrame, config: DataFrame, dedup: bool = True) -> DataFrame:
     """Q5: every mapped user's configuration with its source (self, team,
@@ -48,8 +52,9 @@ def working_hours_for(config: DataFrame, requests: DataFrame) -> DataFrame:
 
 
 def response_hours_map(mapping: DataFrame, config: DataFrame) -> DataFrame:
-    """(user_id, org_id, hours) weekly slot maps for the response-time rules."""
-    return weekly_slot_map(user_working_hours_flat(mapping, config))
+    """(user_id, org_id, hours) weekly slot maps for the response-time rules: at
+    most one row per mapping row, of about 600 bytes."""
+    return broadcast_if_few(weekly_slot_map(user_working_hours_flat(mapping, config)), mapping, CALENDAR_WIDTH)
 
 
 def weekday_pivot(working_hours: DataFrame) -> DataFrame:

@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import weekday1
-from ..functions.worktime import working_seconds
-from ..operators.hours import weekly_hours_map
-from ..operators.joins import broadcast_if_small
+from ..functions.worktime import register_functions, working_seconds
+from ..operators.hours import pivot_week, weekly_hours_map
+from ..operators.joins import lookup_join
 from ..operators.lag import HOUR_US, lag_in_order
 
 INCOMING, OUTGOING = "INCOMING", "OUTGOING"
@@ -35,13 +35,30 @@ def with_reply_seconds(
     """Join each row's (user, org) weekly hours and add ``working_seconds`` of
     the (previous message -> this message) pair for reply rows (NULL on other
     rows), using the weekday slot of the previous message."""
-    hours = broadcast_if_small(weekly_hours_map(working_hours))
-    df = events.join(hours, ["user_id", "org_id"], "left")
+    df = lookup_join(events, weekly_hours_map(working_hours), ["user_id", "org_id"], ["event_id"])
     slot = F.col("slots")[weekday1(prev_ts)]
     ws = working_seconds(F.col(prev_ts), F.col("message_timestamp"), slot["start_us"], slot["end_us"])
     return df.select("*", F.when(is_reply, ws).alias("working_seconds"))
 
 
+def function_working_seconds(
+    message_events: DataFrame, working_hours: DataFrame, bucket_us: int | None = HOUR_US
+) -> DataFrame:
+    """(event_id, working_seconds) of every reply pair of a chat, by the
+    16-argument SQL function over the weekday-wide hours: what a user of the
+    function writes in SQL."""
+    register_functions(message_events.sparkSession)
+    ev = message_events.where(F.col("user_id").isNotNull()).select(
+        "event_id", "chat_id", "user_id", "org_id", "direction", "message_timestamp"
+    )
+    ev = lag_in_order(ev, ["chat_id"], ORDER, ["direction", "message_timestamp"], bucket_us=bucket_us)
+    pairs = ev.where((F.col("direction") == OUTGOING) & (F.col("prev_direction") == INCOMING))
+    wide = pivot_week(working_hours)
+    pairs = lookup_join(pairs, wide, ["user_id", "org_id"], ["event_id"])
+    arguments = ", ".join(["prev_message_timestamp", "message_timestamp", *wide.columns[2:]])
+    return pairs.select("event_id", F.expr(f"calculate_working_seconds({arguments})").alias("working_seconds"))
+
+
 def conversation_summary_flat(
     message_events: DataFrame, working_hours: DataFrame, bucket_us: int | None = HOUR_US
 ) -> DataFrame:

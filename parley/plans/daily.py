@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.timecols import utc_date, weekday1
 from ..functions.worktime import working_seconds
 from ..operators.hours import weekly_hours_map
-from ..operators.joins import broadcast_if_small
+from ..operators.joins import lookup_join
 from ..operators.lag import HOUR_US, lag_in_order
 from .conversation import INCOMING, ORDER, OUTGOING, party, with_reply_seconds
 
@@ -53,8 +53,8 @@ def daily_performance_flat(
     ws_n = F.sum("_ws_n").over(same_day_chat)
     agg = agg.select("*", F.when(ws_n > 0, ws_sum / ws_n).alias("avg_agent_response_time_seconds"))
 
-    hours = broadcast_if_small(weekly_hours_map(working_hours))
-    agg = agg.join(hours, ["user_id", "org_id"], "left")
+    spread = ["chat_id", "activity_date", "agent_phone_number"]
+    agg = lookup_join(agg, weekly_hours_map(working_hours), ["user_id", "org_id"], spread)
     slot = F.col("slots")[weekday1("_first_contact")]
     first_response = F.when(
         F.col("_first_agent") > F.col("_first_contact"),

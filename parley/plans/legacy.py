@@ -15,10 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timecols import clock_us, epoch_us, time_of_day_us, utc_date, weekday0, weekday_name
-from ..operators.joins import broadcast_if_small
+from ..operators.ends import code_value, packed, settled, value_code
+from ..operators.joins import lookup_join
 from ..sources.readers import ingestion_window
 
 INCOMING, OUTGOING = "INCOMING", "OUTGOING"
+# Directions with a code of their own; any other is settled from the rows.
+DIRECTIONS = ["INCOMING", "OUTGOING", "SYSTEM"]
 KEYS = ["user_id", "org_id", "date", "sender_number"]
 # The placeholder reply time of the enhanced summary, in seconds.
 PLACEHOLDER_SECONDS = 300
@@ -80,28 +83,50 @@ def legacy_enhanced_summary(
     weekday contains its time of day (inclusive, plain BETWEEN, so an
     overnight slot never matches); the average is 0 when nothing counts or
     when a key is NULL (the original joined the two aggregates with plain
-    equality)."""
+    equality).
+
+    First and last direction come from packed numbers (``operators.ends``), so
+    the events are aggregated by hashing; groups with several directions at
+    their first or last instant are settled by event id."""
     d = _daily(events, run_date, days)
+    everything = d
     keys = [k for k in ("user_id", "org_id") if k in hours.columns]
-    slots = broadcast_if_small(_slots_by_weekday(hours, keys))
     d = d.withColumn("_weekday", weekday_name(weekday0("message_timestamp")))
-    d = d.join(slots, [*keys, "_weekday"], "left")
+    d = lookup_join(d, _slots_by_weekday(hours, keys), [*keys, "_weekday"], ["event_id"])
     tod = time_of_day_us("message_timestamp")
     in_hours = F.coalesce(F.exists(F.col("_slots"), lambda s: tod.between(s["s"], s["e"])), F.lit(False))
     counted = F.when((F.col("direction") == OUTGOING) & in_hours, F.lit(PLACEHOLDER_SECONDS))
-    order = F.struct(epoch_us("message_timestamp"), F.col("event_id"))
+    t, code, width = epoch_us("message_timestamp"), value_code(F.col("direction"), DIRECTIONS), len(DIRECTIONS) + 1
     agg = d.groupBy(*KEYS).agg(
         F.count_if(F.col("direction") == OUTGOING).alias("messages_sent"),
         F.count_if(F.col("direction") == INCOMING).alias("messages_received"),
         F.count_distinct("message_id").alias("unique_messages"),
         F.count(F.lit(1)).alias("total_messages"),
         F.count_if(F.col("direction") == OUTGOING).alias("number_of_follow_ups"),
-        F.min_by("direction", order).alias("conversation_starter"),
-        F.max_by("direction", order).alias("last_message_from"),
+        F.min(packed(t, code, width)).alias("_first"),
+        F.min(packed(t, width - 1 - code, width)).alias("_first_r"),
+        F.max(packed(t, code, width)).alias("_last"),
+        F.max(packed(t, width - 1 - code, width)).alias("_last_r"),
         F.min("message_timestamp").alias("earliest_message"),
         F.max("message_timestamp").alias("latest_message"),
         F.avg(counted).alias("_avg"),
     )
+    # Least and greatest code at the first and at the last instant.
+    for end, forward, reverse in (("_f", "_first", "_first_r"), ("_l", "_last", "_last_r")):
+        agg = agg.withColumn(end, F.pmod(forward, F.lit(width))).withColumn(
+            f"{end}_open", (F.col(end) == 0) | (F.col(end) + F.pmod(reverse, F.lit(width)) != width - 1)
+        )
+    agg = agg.withColumn("conversation_starter", code_value(F.col("_f"), DIRECTIONS))
+    agg = agg.withColumn("last_message_from", code_value(F.col("_l"), DIRECTIONS))
+    order = F.struct(t, F.col("event_id"))
+    agg = settled(
+        agg, KEYS, F.col("_f_open") | F.col("_l_open"), everything,
+        {"conversation_starter": F.min_by("direction", order), "last_message_from": F.max_by("direction", order)},
+    )
     keys_present = F.col("user_id").isNotNull() & F.col("org_id").isNotNull() & F.col("sender_number").isNotNull()
     avg = F.when(keys_present, F.coalesce(F.col("_avg"), F.lit(0.0))).otherwise(F.lit(0.0))
-    return agg.select(*[c for c in agg.columns if c != "_avg"], avg.alias("average_response_time"))
+    return agg.select(
+        *KEYS, "messages_sent", "messages_received", "unique_messages", "total_messages", "number_of_follow_ups",
+        "conversation_starter", "last_message_from", "earliest_message", "latest_message",
+        avg.alias("average_response_time"),
+    )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.worktime import with_next_working_periods
-from ..operators.joins import broadcast_if_small
+from ..operators.joins import lookup_join
 from ..sources.readers import read_messages
 
 
@@ -25,10 +25,9 @@ def next_working_periods(events: DataFrame, hours_map: DataFrame) -> DataFrame:
     (today's slot if the message is before its end), and the next working
     day's slot, from the (user, org) weekly slot map.  Messages whose
     (user, org) has no configuration get NULLs."""
-    hours = broadcast_if_small(hours_map.select("user_id", "org_id", "hours", "next_offset"))
-    df = events.select("event_id", "user_id", "org_id", "message_timestamp").join(
-        hours, ["user_id", "org_id"], "left"
-    )
+    hours = hours_map.select("user_id", "org_id", "hours", "next_offset")
+    df = events.select("event_id", "user_id", "org_id", "message_timestamp")
+    df = lookup_join(df, hours, ["user_id", "org_id"], ["event_id"])
     df = with_next_working_periods(df, "message_timestamp", "hours", "_period", "_day")
     return df.select(
         "event_id",

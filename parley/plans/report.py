@@ -11,12 +11,13 @@ values.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..sources.readers import project_messages
-from .response import INCOMING, OUTGOING, adjusted_pairs, group_stats
+from .response import INCOMING, OUTGOING, adjusted_pairs, collapse_by_phone, group_stats, last_chat_average
 
 
 def user_messages(messages: DataFrame, user_id=None, run_date=None, days: int | None = None) -> DataFrame:
@@ -25,30 +26,58 @@ def user_messages(messages: DataFrame, user_id=None, run_date=None, days: int |
     return df.where(F.col("user_id").isNotNull())
 
 
-def message_statistics(messages: DataFrame) -> DataFrame:
-    """Per user: totals, incoming, outgoing, distinct chats and distinct
-    sender numbers (an absent number counts as one value)."""
-    return messages.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("message_count"),
-        F.count_if(F.col("direction") == INCOMING).alias("incoming_messages"),
-        F.count_if(F.col("direction") == OUTGOING).alias("outgoing_messages"),
-        F.count_distinct("chat_id").alias("unique_chats"),
-        (F.count_distinct("sender_number") + F.max(F.col("sender_number").isNull().cast("long"))).alias(
-            "unique_phone_numbers"
-        ),
+GRAIN = ["user_id", "org_id", "chat_id", "date", "sender_number", "direction"]
+
+
+def message_grain(messages: DataFrame) -> DataFrame:
+    """The mergeable grain of the message statistics: messages per (user, org,
+    chat, date, sender, direction).  Grains of disjoint batches add up, and
+    every count and distribution below comes from it."""
+    return messages.groupBy(*GRAIN).agg(F.count(F.lit(1)).alias("messages"))
+
+
+def message_statistics(grain: DataFrame) -> DataFrame:
+    """Per user: totals, incoming, outgoing, distinct chats and conversation
+    groups (user, org, chat, date), and distinct sender numbers (an absent
+    number counts as one value).
+
+    Groups roll up to chats and chats to users, so a distinct count is a count
+    of rows one level below and no row is expanded per distinct column."""
+    n = F.col("messages")
+    groups = grain.groupBy("user_id", "chat_id", "org_id", "date").agg(
+        F.sum(n).alias("messages"),
+        F.sum(F.when(F.col("direction") == INCOMING, n).otherwise(0)).alias("incoming"),
+        F.sum(F.when(F.col("direction") == OUTGOING, n).otherwise(0)).alias("outgoing"),
     )
+    chats = groups.groupBy("user_id", "chat_id").agg(
+        F.count(F.lit(1)).alias("groups"), *[F.sum(c).alias(c) for c in ("messages", "incoming", "outgoing")]
+    )
+    totals = chats.groupBy("user_id").agg(
+        F.sum("messages").alias("message_count"),
+        F.sum("incoming").alias("incoming_messages"),
+        F.sum("outgoing").alias("outgoing_messages"),
+        F.count(F.lit(1)).alias("unique_chats"),
+        F.sum("groups").alias("conversation_groups"),
+    )
+    senders = grain.select("user_id", "sender_number").distinct().groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("unique_phone_numbers")
+    )
+    return totals.join(senders, "user_id")
 
 
 def message_distribution(messages: DataFrame) -> DataFrame:
     """Long form of the two distributions: (user_id, kind, key, messages)
-    with kind 'date' (UTC date text) or 'direction'."""
-    by_date = messages.groupBy("user_id", F.col("date").cast("string").alias("key")).agg(
-        F.count(F.lit(1)).alias("messages")
-    ).withColumn("kind", F.lit("date"))
-    by_dir = messages.groupBy("user_id", F.col("direction").alias("key")).agg(
-        F.count(F.lit(1)).alias("messages")
-    ).withColumn("kind", F.lit("direction"))
-    return by_date.unionByName(by_dir).select("user_id", "kind", "key", "messages")
+    with kind 'date' (UTC date text) or 'direction'.  One scan: both come from
+    the messages per (user, date, direction)."""
+    counts = messages.groupBy("user_id", "date", "direction").agg(F.count(F.lit(1)).alias("messages"))
+    kinds = F.array(
+        F.struct(F.lit("date").alias("kind"), F.col("date").cast("string").alias("key")),
+        F.struct(F.lit("direction").alias("kind"), F.col("direction").alias("key")),
+    )
+    long = counts.select("user_id", F.explode(kinds).alias("_k"), "messages").select("user_id", "_k.kind", "_k.key", "messages")
+    return long.groupBy("user_id", "kind", "key").agg(F.sum("messages").alias("messages")).select(
+        "user_id", "kind", "key", "messages"
+    )
 
 
 def distribution_maps(distribution: DataFrame) -> DataFrame:
@@ -62,12 +91,6 @@ def distribution_maps(distribution: DataFrame) -> DataFrame:
     )
 
 
-def response_summary(records: DataFrame) -> DataFrame:
-    """Per user over its response records: rounded mean, min, max, count,
-    sorted distinct phone numbers and the 'first to last' date range."""
-    return _summary(records.withColumn("_record", F.lit(True)))
-
-
 def _summary(rows: DataFrame, *extra) -> DataFrame:
     """Summary over the rows flagged ``_record`` (others only feed ``extra``)."""
     rec = F.col("_record")
@@ -106,22 +129,13 @@ def user_report(
 
     The reply pairs flow through one linear chain (group aggregate -> phone
     collapse -> per-user aggregate), so the pairing LAG runs once; the
-    statistics are one aggregation over the messages."""
+    statistics roll up from one grain of the messages."""
     msgs = user_messages(messages, user_id, run_date, days)
-    stats = msgs.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("message_count"),
-        F.count_if(F.col("direction") == INCOMING).alias("incoming_messages"),
-        F.count_if(F.col("direction") == OUTGOING).alias("outgoing_messages"),
-        F.count_distinct("chat_id").alias("unique_chats"),
-        (F.count_distinct("sender_number") + F.max(F.col("sender_number").isNull().cast("long"))).alias(
-            "unique_phone_numbers"
-        ),
-        F.count_distinct("org_id", "chat_id", "date").alias("conversation_groups"),
-    )
+    stats = message_statistics(message_grain(msgs))
     groups = group_stats(adjusted_pairs(msgs, hours_map))
     kept = F.col("_n") > 0
-    collapsed = groups.groupBy("user_id", "org_id", "phone_number", "date").agg(
-        F.max_by("avg_response_time", F.when(kept, F.col("chat_id"))).alias("avg_response_time"),
+    collapsed = last_chat_average(
+        groups,
         F.count_if(kept).alias("_kept_groups"),
         F.sum("_pairs").alias("_pairs"),
         F.sum("_adjusted").alias("_adjusted"),
@@ -156,11 +170,33 @@ def user_report(
     )
 
 
-__all__ = [
-    "distribution_maps",
-    "user_messages",
-    "message_distribution",
-    "message_statistics",
-    "response_summary",
-    "user_report",
-]
+class RunCounters:
+    """What one run of the response times counted, read after an action on its
+    records: pairs, pairs adjusted by working hours, groups and records."""
+
+    def __init__(self):
+        self.pairs, self.groups, self.records = (Observation(f"{n}-{uuid.uuid4().hex}") for n in ("pairs", "groups", "records"))
+
+    def read(self) -> dict[str, int]:
+        found = {**self.pairs.get, **self.groups.get, **self.records.get}
+        return {c: found.get(c, 0) for c in COUNTERS}
+
+
+COUNTERS = ["response_pairs", "hours_adjusted_pairs", "conversation_groups", "total_records"]
+
+
+def observed_response_times(messages: DataFrame, hours_map: DataFrame) -> tuple[DataFrame, RunCounters]:
+    """Q3's records and the run's counters (A19), counted while the rows pass:
+    no aggregate column and no further pass.  ``conversation_groups`` are the
+    groups with a reply."""
+    counters = RunCounters()
+    pairs = adjusted_pairs(messages, hours_map)
+    adjusted = F.col("has_hours") & F.col("response_ms").isNotNull()
+    pairs = pairs.observe(
+        counters.pairs,
+        F.count(F.lit(1)).alias("response_pairs"),
+        F.count_if(adjusted).alias("hours_adjusted_pairs"),
+    )
+    groups = group_stats(pairs).observe(counters.groups, F.count(F.lit(1)).alias("conversation_groups"))
+    records = collapse_by_phone(groups.where(F.col("_n") > 0))
+    return records.observe(counters.records, F.count(F.lit(1)).alias("total_records")), counters

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timecols import epoch_ms, leading_int, utc_date
 from ..functions.worktime import with_adjusted_response_ms
-from ..operators.joins import broadcast_if_small
+from ..operators.joins import lookup_join
 from ..operators.lag import HOUR_US, lag_in_order
 
 INCOMING, OUTGOING = "INCOMING", "OUTGOING"
@@ -33,15 +33,19 @@ def _with_date(messages: DataFrame) -> DataFrame:
     return messages if "date" in messages.columns else messages.withColumn("date", utc_date("message_timestamp"))
 
 
-def response_pairs(messages: DataFrame, bucket_us: int | None = HOUR_US) -> DataFrame:
-    """One row per (INCOMING -> OUTGOING) reply pair with ``incoming_ts``,
-    ``outgoing_ts``, ``raw_ms`` and the reply's ``order_key``."""
+def response_pairs(
+    messages: DataFrame, bucket_us: int | None = HOUR_US, group: list[str] = GROUP
+) -> DataFrame:
+    """One row per (INCOMING -> OUTGOING) reply pair within ``group``, with
+    ``event_id`` of the reply, ``incoming_ts``, ``outgoing_ts``, ``raw_ms`` and
+    the reply's ``order_key``."""
     m = _with_date(messages).where(F.col("direction").isin(INCOMING, OUTGOING))
     m = m.select(*GROUP, "event_id", "sender_number", "direction", "message_timestamp")
-    m = lag_in_order(m, GROUP, ORDER, ["direction", "message_timestamp"], bucket_us=bucket_us)
+    m = lag_in_order(m, group, ORDER, ["direction", "message_timestamp"], bucket_us=bucket_us)
     pairs = m.where((F.col("direction") == OUTGOING) & (F.col("prev_direction") == INCOMING))
     return pairs.select(
         *GROUP,
+        "event_id",
         "sender_number",
         "order_key",
         F.col("prev_message_timestamp").alias("incoming_ts"),
@@ -65,13 +69,23 @@ def group_stats(pairs: DataFrame, value_col: str = "response_ms") -> DataFrame:
     # skip NULLs and min_by skips rows whose ordering key is NULL.
     kept = F.col(value_col).isNotNull()
     adjusted = F.col("has_hours") & kept if "has_hours" in pairs.columns else F.lit(False)
-    g = pairs.groupBy(*GROUP).agg(
+    # By sender first: every buffer has a fixed width, so the pairs are
+    # aggregated by hashing.  The first sender is then picked among the few
+    # senders of a group.
+    senders = pairs.groupBy(*GROUP, "sender_number").agg(
         F.sum(value_col).alias("_sum_ms"),
         F.count(value_col).alias("_n"),
-        F.min_by("sender_number", F.when(kept, F.col("order_key"))).alias("phone_number"),
+        F.min(F.when(kept, F.col("order_key"))).alias("_first"),
         F.count(F.lit(1)).alias("_pairs"),
         F.count_if(adjusted).alias("_adjusted"),
     )
+    g = senders.groupBy(*GROUP).agg(
+        F.sum("_sum_ms").alias("_sum_ms"),
+        F.sum("_n").alias("_n"),
+        F.min_by("sender_number", "_first").alias("phone_number"),
+        F.sum("_pairs").alias("_pairs"),
+        F.sum("_adjusted").alias("_adjusted"),
+    )
     # round(sum / n / 1000) half up == floor((2*sum + 1000*n) / (2000*n))
     avg = F.when(F.col("_n") > 0, _floor_div(2 * F.col("_sum_ms") + 1000 * F.col("_n"), 2000 * F.col("_n")))
     return g.select("*", avg.alias("avg_response_time"))
@@ -85,12 +99,19 @@ def group_averages(pairs: DataFrame, value_col: str = "response_ms") -> DataFram
     )
 
 
+RECORD = ["user_id", "org_id", "phone_number", "date"]
+
+
+def last_chat_average(groups: DataFrame, *more: Column) -> DataFrame:
+    """Per (user, org, phone, date): the average of the kept chat that sorts
+    last, and the aggregates ``more``; its input is one row per group."""
+    last = F.max_by("avg_response_time", F.when(F.col("_n") > 0, F.col("chat_id")))
+    return groups.groupBy(*RECORD).agg(last.alias("avg_response_time"), *more)
+
+
 def collapse_by_phone(groups: DataFrame) -> DataFrame:
     """(user, org, phone, date) records; the last chat (in chat order) wins."""
-    out = groups.groupBy("user_id", "org_id", "phone_number", "date").agg(
-        F.max_by("avg_response_time", "chat_id").alias("avg_response_time")
-    )
-    return out.select(
+    return last_chat_average(groups).select(
         leading_int("user_id").alias("user_id"),
         leading_int("org_id").alias("org_id"),
         "phone_number",
@@ -110,14 +131,30 @@ def adjusted_pairs(messages: DataFrame, hours_map: DataFrame, bucket_us: int | N
     slot map when the user has configuration (NULL = filtered out), raw
     otherwise.  ``has_hours`` tells which."""
     pairs = response_pairs(messages, bucket_us)
-    hours = broadcast_if_small(hours_map.select("user_id", "org_id", "hours", "walk_prefix"))
-    p = pairs.join(hours, ["user_id", "org_id"], "left")
+    hours = hours_map.select("user_id", "org_id", "hours", "walk_prefix")
+    p = lookup_join(pairs, hours, ["user_id", "org_id"], ["event_id"])
     p = with_adjusted_response_ms(p, "incoming_ts", "outgoing_ts", "hours", "_adjusted_ms")
     has_hours = F.col("hours").isNotNull()
     value = F.when(has_hours, F.col("_adjusted_ms")).otherwise(F.col("raw_ms"))
     return p.select(*[c for c in pairs.columns], has_hours.alias("has_hours"), value.alias("response_ms"))
 
 
+def lifetime_response_pairs(messages: DataFrame, hours_map: DataFrame, bucket_us: int | None = HOUR_US) -> DataFrame:
+    """Every reply pair of a (user, org, chat) over all its history, replies on
+    later dates included, with the raw time and the message-level rule by
+    weekdays (``adjusted_ms``) and by dates (``exact_ms``); both NULL where the
+    pair is filtered out or the user has no configuration."""
+    pairs = response_pairs(messages, bucket_us, ["user_id", "org_id", "chat_id"])
+    hours = hours_map.select("user_id", "org_id", "hours", "walk_prefix")
+    p = lookup_join(pairs, hours, ["user_id", "org_id"], ["event_id"])
+    p = with_adjusted_response_ms(p, "incoming_ts", "outgoing_ts", "hours", "adjusted_ms")
+    p = with_adjusted_response_ms(p, "incoming_ts", "outgoing_ts", "hours", "exact_ms", calendar_exact=True)
+    return p.select(
+        "event_id", "user_id", "org_id", "chat_id", "incoming_ts", "outgoing_ts", "raw_ms",
+        F.col("hours").isNotNull().alias("has_hours"), "adjusted_ms", "exact_ms",
+    )
+
+
 def adjusted_response_times(messages: DataFrame, hours_map: DataFrame, bucket_us: int | None = HOUR_US) -> DataFrame:
     """Q3: working-hours adjusted response time records."""
     return collapse_by_phone(group_averages(adjusted_pairs(messages, hours_map, bucket_us)))

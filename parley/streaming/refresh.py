@@ -22,13 +22,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timecols import utc_date
-from ..operators.upsert import write_snapshot
+from ..operators.snapshots import read_snapshot, write_snapshot
 from ..plans import conversation, daily, merges
 from ..sources import schemas
 
@@ -43,18 +43,17 @@ def chat_bucket(chat_id: Column | str = "chat_id", buckets: int = CHAT_BUCKETS)
     return F.pmod(F.xxhash64(col), F.lit(buckets)).cast("int")
 
 
-def _read_or_empty(spark: SparkSession, path: str, schema, extra: list[str] = ()) -> DataFrame:
-    """The table at ``path`` (schema columns plus ``extra`` partition
-    columns), or an empty one when the path does not exist yet; a table that
-    cannot be read is an error."""
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        empty = spark.createDataFrame([], schema)
-        return empty.select("*", *[F.lit(None).cast("int").alias(c) for c in extra])
-    return df.select([F.col(f.name).cast(f.dataType) for f in schema.fields] + [F.col(c) for c in extra])
+SUMMARY = T.StructType([*schemas.CONVERSATION_SUMMARY.fields, T.StructField("chat_bucket", T.IntegerType())])
+
+
+def read_summary(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
+    """The lifetime summary a refresh keeps, of all or of some chat buckets."""
+    return read_snapshot(spark, path, SUMMARY, "chat_bucket", buckets).drop("chat_bucket")
+
+
+def read_daily(spark: SparkSession, path: str) -> DataFrame:
+    """The daily summary a refresh keeps."""
+    return read_snapshot(spark, path, schemas.DAILY_PERFORMANCE_SUMMARY, "activity_date")
 
 
 def refresh_batch(
@@ -95,12 +94,11 @@ def refresh_batch(
     chats = batch.select("chat_id").distinct()
     affected = history.join(chats, "chat_id", "left_semi")
     current = conversation.conversation_summary(affected, working_hours)
-    target = _read_or_empty(spark, summary_path, schemas.CONVERSATION_SUMMARY, ["chat_bucket"])
-    target = target.where(F.col("chat_bucket").isin(touched)).drop("chat_bucket")
+    target = read_summary(spark, summary_path, touched)
     merged = merges.merge_conversation_summary(target, current).withColumn(
         "chat_bucket", chat_bucket("chat_id", buckets)
     )
-    write_snapshot(merged, summary_path, partition_by="chat_bucket", replace_partitions_only=True)
+    write_snapshot(merged, summary_path, partition_by="chat_bucket")
 
     # Daily rows can change only on or after the earliest new message of each
     # (user, chat): earlier rows' LAG never looks forward.
@@ -115,11 +113,10 @@ def refresh_batch(
         .drop("_from")
     )
     dates = daily_rows.select("activity_date").distinct()
-    daily_target = _read_or_empty(spark, daily_path, schemas.DAILY_PERFORMANCE_SUMMARY)
-    touched_days = daily_target.join(dates, "activity_date", "left_semi")
+    touched_days = read_daily(spark, daily_path).join(dates, "activity_date", "left_semi")
     merged_daily = merges.merge_daily_performance(touched_days, daily_rows, run_ts)
     # Only the touched activity_date partitions are rewritten.
-    write_snapshot(merged_daily, daily_path, partition_by="activity_date", replace_partitions_only=True)
+    write_snapshot(merged_daily, daily_path, partition_by="activity_date")
 
 
 def start_refresh(

@@ -58,3 +58,29 @@ def test_calendar_arrays(spark):
     assert df.next_offset == [1, 1, 2, 1, 1, 2, 1]
     empty = with_calendar(spark.range(1).select(slot_map({}).alias("hours")), "hours").first()
     assert empty.next_offset == [None] * 7
+
+
+EXACT_CASES = [
+    # One Monday later: a day's rest, the six days between (8 + 2 + 8 hours), and an hour.
+    ("same weekday a week later", "2024-01-01 17:00:00", "2024-01-08 10:00:00", (1 + 18 + 1) * HOUR),
+    ("ten days later", "2024-01-01 17:00:00", "2024-01-11 11:00:00", (1 + 18 + 9 + 8 + 1) * HOUR),
+    ("three weeks later", "2024-01-02 16:00:00", "2024-01-23 10:00:00", (1 + 2 * 27 + 2 + 8 + 9 + 1) * HOUR),
+    ("no incoming slot, a week later", "2024-01-03 10:00:00", "2024-01-11 11:00:00", (2 + 8 + 9 + 8 + 1) * HOUR),
+    ("after closing, the same weekday a week later", "2024-01-01 19:00:00", "2024-01-08 10:00:00", (18 + 1) * HOUR),
+    ("closed on the day of the reply", "2024-01-01 17:00:00", "2024-01-10 10:00:00", None),
+]
+
+
+@pytest.mark.parametrize("case", EXACT_CASES, ids=[c[0] for c in EXACT_CASES])
+def test_dates_instead_of_weekdays(spark, case):
+    name, a, b, expected = case
+    df = with_calendar(spark.createDataFrame([(ts(a), ts(b))], "i timestamp, o timestamp").withColumn("hours", slot_map(CAL)), "hours")
+    assert with_adjusted_response_ms(df, "i", "o", calendar_exact=True).first().adjusted_ms == expected
+
+
+def test_within_a_week_both_settings_agree(spark):
+    rows = [(n, ts(a), ts(b)) for n, a, b, _ in CASES if "week later" not in n]
+    df = with_calendar(spark.createDataFrame(rows, "n string, i timestamp, o timestamp").withColumn("hours", slot_map(CAL)), "hours")
+    df = with_adjusted_response_ms(df, "i", "o")
+    df = with_adjusted_response_ms(df, "i", "o", name="exact", calendar_exact=True)
+    assert df.where("NOT (adjusted_ms <=> exact)").count() == 0

@@ -39,11 +39,12 @@ def test_changed_files_are_seen(spark, tmp_path):
     from parley.operators.joins import broadcast_if_small
 
     path = os.path.join(tmp_path, "hours")
+    kept = set(spark.sparkContext._jsc.getPersistentRDDs())
     spark.range(3).write.parquet(path)
     assert broadcast_if_small(spark.read.parquet(path)).count() == 3
     spark.range(7).write.mode("overwrite").parquet(path)
     assert broadcast_if_small(spark.read.parquet(path)).count() == 7
-    assert not spark.sparkContext._jsc.getPersistentRDDs()
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) == kept
 
 
 def test_unreadable_clock_text_is_no_slot(spark):

@@ -89,6 +89,37 @@ def test_bursts_of_a_hot_key_are_split(spark):
     assert wrong == 0
 
 
+def _buckets_and_errors(df, target):
+    got = lag_in_order(df, ["k"], ["t", "event_id"], ["direction", "event_id"], hot_key_rows=target)
+    buckets = got.groupBy((F.col("order_key") / F.lit(1 << 32)).cast("long").alias("b")).count().collect()
+    plain = F.lag("event_id").over(Window.partitionBy("k").orderBy("t", "event_id"))
+    wrong = got.withColumn("want", plain).where(~F.col("want").eqNullSafe(F.col("prev_event_id"))).count()
+    return [r["count"] for r in buckets], wrong
+
+
+@pytest.mark.parametrize("spread", [0, 1000], ids=["one microsecond", "over a minute"])
+@pytest.mark.parametrize("target", [50, 5000])
+def test_no_bucket_is_much_larger_than_asked(spark, spread, target):
+    """60,000 rows of one key, also when all share one microsecond."""
+    df = spark.range(60_000).select(
+        F.lit("hot").alias("k"),
+        F.timestamp_micros((F.lit(1_700_000_000_000_000) + F.col("id") * spread).cast("long")).alias("t"),
+        F.lpad(F.col("id").cast("string"), 9, "0").alias("event_id"),
+        F.lit("A").alias("direction"),
+    )
+    sizes, wrong = _buckets_and_errors(df, target)
+    assert wrong == 0 and max(sizes) <= 2 * target and len(sizes) >= 60_000 / (2 * target)
+
+
+def test_rows_equal_in_all_order_columns_stay_together(spark):
+    df = spark.range(400).select(
+        F.lit(None).cast("string").alias("k"), F.lit(None).cast("timestamp").alias("t"),
+        (F.col("id") % 3).cast("string").alias("event_id"), F.lit("A").alias("direction"),
+    )
+    sizes, wrong = _buckets_and_errors(df, 10)
+    assert wrong == 0 and len(sizes) == 3
+
+
 def test_building_the_plan_starts_no_job(spark):
     import __spark_entry__ as entry
 

@@ -10,7 +10,7 @@ from conftest import SF_SMALL
 from parley.functions.timecols import utc_timestamp_literal
 from parley.plans import conversation, daily, merges
 from parley.sources import fixtures
-from parley.streaming.refresh import start_refresh
+from parley.streaming.refresh import read_daily, read_summary, start_refresh
 from scripts.compare import digest
 
 
@@ -35,12 +35,12 @@ def test_refresh_matches_batch(spark):
                       checkpoint_location=os.path.join(root, "ckpt"), **paths)
     q.awaitTermination()
 
-    got = merges.flatten_analytics(spark.read.parquet(paths["summary_path"]).drop("chat_bucket"))
+    got = merges.flatten_analytics(read_summary(spark, paths["summary_path"]))
     want = merges.flatten_analytics(conversation.conversation_summary(me, wh))
     cols = sorted(want.columns)
     assert digest(cols, got.select(cols).collect())[0] == digest(cols, want.select(cols).collect())[0]
 
-    got_daily = spark.read.parquet(paths["daily_path"]).drop("created_at", "updated_at")
+    got_daily = read_daily(spark, paths["daily_path"]).drop("created_at", "updated_at")
     want_daily = merges.daily_target_rows(daily.daily_performance(me, wh), "2024-01-31").drop("created_at", "updated_at")
     cols = sorted(want_daily.columns)
     g = merges.flatten_analytics(got_daily.select(cols))
@@ -64,9 +64,9 @@ def test_retried_epoch_is_idempotent(spark):
     )
     batch = me.where(F.col("message_timestamp") < utc_timestamp_literal("2024-01-10 00:00:00"))
     refresh_batch(batch, 0, working_hours=wh, run_ts="2024-01-31 00:00:00", **paths)
-    first = sorted(tuple(r) for r in spark.read.parquet(paths["summary_path"]).drop("analytics").collect())
+    first = sorted(tuple(r) for r in read_summary(spark, paths["summary_path"]).drop("analytics").collect())
     n_hist = spark.read.parquet(paths["history_path"]).count()
     refresh_batch(batch, 0, working_hours=wh, run_ts="2024-01-31 00:00:00", **paths)
-    again = sorted(tuple(r) for r in spark.read.parquet(paths["summary_path"]).drop("analytics").collect())
+    again = sorted(tuple(r) for r in read_summary(spark, paths["summary_path"]).drop("analytics").collect())
     assert spark.read.parquet(paths["history_path"]).count() == n_hist == batch.count()
     assert again == first
