@@ -3,6 +3,7 @@
 import random
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -46,3 +47,14 @@ def test_documents_without_id_are_mixed_one_by_one(spark):
     )
     got = source_mixing.mix_sources(docs).agg(F.sum("taken").alias("t"), F.max("target").alias("g")).first()
     assert abs(got["t"] - got["g"]) <= 4
+
+
+def test_words_of_one_hash_are_kept_apart(monkeypatch):
+    """A hash only proposes a word."""
+    monkeypatch.setattr(tokens, "word_hashes", lambda words: np.arange(len(words), dtype=np.uint64) % np.uint64(2))
+    encoder = tokens.WordEncoder(tokens.default_tokenizer())
+    texts = ["alpha beta gamma alpha", "delta, beta <|endoftext|>x epsilon", "", "gamma. zeta"] * 3
+    for _ in range(2):
+        ids, offsets = encoder.encode(pa.array(texts), 1)
+        for i, w in enumerate(encoder.tokenizer.encode_batch(texts, add_special_tokens=False)):
+            assert ids[offsets[i] : offsets[i + 1]].tolist() == [*w.ids, 1]
