@@ -113,4 +113,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_quality_rules": oracles.QUALITY_RULES,
         "op2_source_mixing": oracles.SOURCE_MIXING,
         "op4_ngram_join": oracles.NGRAM_JOIN,
+        "op13_merkle": oracles.MERKLE,
     }
