@@ -11,6 +11,9 @@ Jobs:
   legacy                --events P --target P --run-date D --run-ts TS
                         [--variant original|simple|enhanced] [--config P] [--days N]
 
+All take ``--rejects P``: rows with a NULL in a REQUIRED column are set aside
+below that folder (by default such rows refuse the table).
+
 Sources are Parquet paths or table names; ``--events`` has the
 message_events schema and ``--hours`` the resolved UTC working-hours schema.
 """
@@ -34,6 +37,7 @@ def _parser() -> argparse.ArgumentParser:
     for s in (cs, dp, lg):
         s.add_argument("--events", required=True)
         s.add_argument("--target", required=True)
+        s.add_argument("--rejects")
     for s in (cs, dp):
         s.add_argument("--hours", required=True)
         s.add_argument("--parity-keys", action="store_true", help="plain-equality merge keys (NULL never matches)")
@@ -52,10 +56,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     events = readers.read_message_events(spark, args.events)
     if args.job == "conversation-summary":
         hours = readers.read_working_hours(spark, args.hours)
-        jobs.conversation_summary_job(spark, events, hours, args.target, null_safe=not args.parity_keys)
+        jobs.conversation_summary_job(spark, events, hours, args.target, not args.parity_keys, args.rejects)
     elif args.job == "daily-performance":
         hours = readers.read_working_hours(spark, args.hours)
-        jobs.daily_performance_job(spark, events, hours, args.target, args.run_ts, null_safe=not args.parity_keys)
+        jobs.daily_performance_job(spark, events, hours, args.target, args.run_ts, not args.parity_keys, args.rejects)
     else:
         hours = None
         if args.variant == "enhanced":
@@ -65,8 +69,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
             requests = events.where("user_id IS NOT NULL").select("user_id", "org_id").distinct()
             hours = config.working_hours_for(cfg, requests)
         jobs.legacy_summary_job(
-            spark, events, args.target, args.run_date, args.run_ts, variant=args.variant, hours=hours, days=args.days
-        )
+            spark, events, args.target, args.run_date, args.run_ts, variant=args.variant, hours=hours, days=args.days,
+            rejects=args.rejects,
+        )
 
 
 if __name__ == "__main__":

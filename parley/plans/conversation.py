@@ -84,6 +84,12 @@ def conversation_summary_flat(
         F.sum(counted).alias("_ws_sum"),
         F.count(counted).alias("_ws_n"),
     )
+    return summary_rows(agg)
+
+
+def summary_rows(agg: DataFrame) -> DataFrame:
+    """The summary of the aggregated (chat, user, org, agent phone) rows; all
+    rows of a (chat, user, org) must be there."""
     per_chat_user = Window.partitionBy("chat_id", "user_id", "org_id")
     ws_sum = F.sum("_ws_sum").over(per_chat_user)
     ws_n = F.sum("_ws_n").over(per_chat_user)

@@ -48,6 +48,12 @@ def daily_performance_flat(
         F.sum(counted).alias("_ws_sum"),
         F.count(counted).alias("_ws_n"),
     )
+    return daily_rows(agg, working_hours)
+
+
+def daily_rows(agg: DataFrame, working_hours: DataFrame) -> DataFrame:
+    """The daily rows of the aggregated (date, user, org, chat, agent phone)
+    rows; all rows of a (user, chat, date) must be there."""
     same_day_chat = Window.partitionBy("user_id", "chat_id", "activity_date")
     ws_sum = F.sum("_ws_sum").over(same_day_chat)
     ws_n = F.sum("_ws_n").over(same_day_chat)

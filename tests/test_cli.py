@@ -5,7 +5,8 @@ import tempfile
 
 from conftest import SF_SMALL
 from parley.__main__ import main
-from parley.sources import fixtures
+from parley.plans.jobs import read_table
+from parley.sources import fixtures, schemas
 
 
 def test_cli_jobs(spark):
@@ -19,14 +20,14 @@ def test_cli_jobs(spark):
     summary = os.path.join(root, "summary")
     main(["conversation-summary", "--events", me_path, "--hours", wh_path, "--target", summary], spark)
     main(["conversation-summary", "--events", me_path, "--hours", wh_path, "--target", summary], spark)
-    assert spark.read.parquet(summary).count() == 51  # FIXTURES.md §4: lifetime groups at sf0.001
+    assert read_table(spark, summary, schemas.CONVERSATION_SUMMARY).count() == 51  # FIXTURES.md §4: lifetime groups at sf0.001
 
     daily = os.path.join(root, "daily")
-    main(["daily-performance", "--events", me_path, "--hours", wh_path, "--target", daily,
+    main(["daily-performance", "--events", me_path, "--hours", wh_path, "--target", daily, "--rejects", os.path.join(root, "rejects"),
           "--run-ts", "2024-01-31 00:00:00"], spark)
-    assert spark.read.parquet(daily).count() == 557  # FIXTURES.md §4: daily groups at sf0.001
+    assert read_table(spark, daily, schemas.DAILY_PERFORMANCE_SUMMARY, "activity_date").count() == 557  # FIXTURES.md §4: daily groups at sf0.001
 
     legacy = os.path.join(root, "legacy")
     main(["legacy", "--events", me_path, "--target", legacy, "--run-date", "2024-01-30",
           "--run-ts", "2024-01-30 12:00:00", "--variant", "enhanced", "--config", cfg_path], spark)
-    assert spark.read.parquet(legacy).count() > 0
+    assert read_table(spark, legacy, schemas.LEGACY_SUMMARY_FULL, "date").count() > 0
