@@ -4,7 +4,7 @@
 outer join on the merge keys, then per column "updated / inserted / kept".
 There is no delete clause.  As in MERGE, two source rows for one target key is
 an error: the merge job fails with DUPLICATE_SOURCE_ROWS (the count per key is
-computed inside the same job); ``assert_unique_keys`` is the eager variant.
+computed inside the same job).
 
 Keys compare null-safely by default (``null_safe=False`` gives plain
 equality: a NULL key then never matches, so its source row is inserted again
@@ -27,10 +27,6 @@ DUPLICATE_SOURCE_ROWS = "DUPLICATE_SOURCE_ROWS"
 NULL_KEY_SPREAD = 1024
 
 
-class DuplicateSourceKeyError(ValueError):
-    """More than one source row matches the same target key (eager check)."""
-
-
 def _relaxed(dtype: ST.DataType) -> ST.DataType:
     """``dtype`` with every nested field nullable (a full outer join makes
     any column nullable; Spark will not cast a nullable field to a
@@ -54,17 +50,6 @@ def T(name: str) -> Column:
     return F.col(f"__t.{name}")
 
 
-def assert_unique_keys(source: DataFrame, keys: Sequence[str], plain_keys: Sequence[str] = ()) -> None:
-    """Raise when two source rows share a key.  Rows with a NULL in a
-    plain-equality key can never match, so they are not checked."""
-    src = source
-    for k in plain_keys:
-        src = src.where(F.col(k).isNotNull())
-    dup = src.groupBy(*keys).count().where(F.col("count") > 1).limit(1)
-    if dup.count() > 0:
-        raise DuplicateSourceKeyError(f"multiple source rows for one key of {list(keys)}: {dup.first()}")
-
-
 def upsert(
     target: DataFrame,
     source: DataFrame,

@@ -162,19 +162,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def assert_schema(df: DataFrame, schema: T.StructType) -> None:
     """Names and types must equal the declaration (nullability is a data
-    property, checked by ``required_violations``)."""
+    property, checked by ``sources.required``)."""
     got = [(f.name, f.dataType) for f in df.schema.fields]
     want = [(f.name, f.dataType) for f in schema.fields]
     if got != want:
         raise AssertionError(f"schema mismatch:\n got  {got}\n want {want}")
-
-
-def required_violations(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows that break a REQUIRED (non-nullable) column; empty when valid."""
-    required = [f.name for f in schema.fields if not f.nullable]
-    if not required:
-        return df.limit(0)
-    cond = F.col(required[0]).isNull()
-    for name in required[1:]:
-        cond = cond | F.col(name).isNull()
-    return df.where(cond)

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from parley.operators.upsert import DuplicateSourceKeyError, S, assert_unique_keys, upsert
+from parley.operators.upsert import S, upsert
 from parley.plans import merges
 
 SCHEMA = "k string, p string, v long, created string, updated string"
@@ -47,10 +47,6 @@ def test_duplicate_source_rows_fail(spark):
     # NULL keys under plain equality never match, so they are not duplicates
     ok = _merge(spark, [], [("a", None, 1, "t1"), ("a", None, 2, "t1")], null_safe=False)
     assert ok.count() == 2
-    from pyspark.sql import functions as F  # noqa: F401
-    src = spark.createDataFrame([("a", "x"), ("a", "x")], "k string, p string")
-    with pytest.raises(DuplicateSourceKeyError):
-        assert_unique_keys(src, ["k", "p"])
 
 
 def test_idempotent(spark):
