@@ -56,11 +56,14 @@ def _cuts(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], hot: Data
     # A row's hash decides, so equal rows are sampled alike.
     drawn = F.pmod(F.xxhash64(*order_by, F.lit("cut")), F.lit(1 << 30)) * F.col(PART_ROWS) < per_bucket * F.lit(1 << 30)
     # At most SAMPLES x MAX_PARTS sampled rows, of all keys together.
-    at = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by)) - 1
-    sampled = rows.where(drawn).withColumn(_AT, at)
+    in_order = Window.partitionBy(*keys).orderBy(*order_by)
+    sampled = rows.where(drawn).withColumn(_AT, F.row_number().over(in_order) - 1)
     cut = sampled.where((F.col(_AT) > 0) & (F.col(_AT) % per_bucket == 0))
-    cut = cut.select(*keys, F.floor(F.col(_AT) / per_bucket / CUT_GROUP).alias("_lag_g"), F.struct(*order_by).alias("_lag_c"))
-    grouped = cut.groupBy(*keys, "_lag_g").agg(F.array_sort(F.collect_set("_lag_c")).alias("_lag_c"))
+    # Cuts differ from each other, so that no bucket between two is empty.
+    cut = cut.select(*keys, F.struct(*order_by).alias("_lag_c")).distinct()
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("_lag_c")) - 1
+    cut = cut.select(*keys, F.floor(number / CUT_GROUP).alias("_lag_g"), "_lag_c")
+    grouped = cut.groupBy(*keys, "_lag_g").agg(F.array_sort(F.collect_list("_lag_c")).alias("_lag_c"))
     return grouped.groupBy(*keys).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_lag_g", "_lag_c"))), lambda g: g["_lag_c"]).alias(_CUTS)
     )
