@@ -6,6 +6,7 @@ import ctypes
 import sys
 import types
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark import cloudpickle
@@ -42,6 +43,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_in_buckets(df: DataFrame, name: str, key: str, buckets: int) -> tuple[DataFrame, Callable[[], None]]:
+    """``df`` written as a table with ``buckets`` buckets of ``key`` in the
+    shared checkpoint folder, so that joins on the key exchange its rows no
+    more, and what drops the table from the catalog (its files stay)."""
+    spark, path = df.sparkSession, shared_path(df.sparkSession, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(table)
+    return spark.table(table), lambda: spark.sql(f"DROP TABLE {table}")
+
+
 @contextmanager
 def small_batches(spark: SparkSession, rows: int = 1000, size: int = 4_000_000):
     """Arrow batches of at most ``rows`` rows and about ``size`` bytes (one row

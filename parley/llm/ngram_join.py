@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.llm.common import drop_kept, hand_back_memory, small_batches, written
+from parley.llm.common import drop_kept, hand_back_memory, small_batches, written, written_in_buckets
 from parley.llm.tokens import text_slices
 
 N_GRAM = 5
@@ -53,7 +53,9 @@ MULTIPLIERS = np.array(
 HEAVY_COUNTERS = 4096
 # A column counts as frequent from this share of the documents and this many.
 FREQUENT_SHARE, FREQUENT_ROWS = 0.002, 1000
-BLOCK_ENTRIES = 1_200_000
+# Entries of a column block, which one task takes in so many steps: the fewer
+# blocks, the more entries a row sends to each behind one class id.
+BLOCK_ENTRIES, BLOCK_STEPS = 4_800_000, 4
 SLICE = 4_000_000  # bytes of text per step of a task
 # Partners dealt to a row of a column in the first round after the stars; eight
 # times as many in each round after it.
@@ -151,42 +153,44 @@ def row_classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.mapInArrow(run, fields)
 
 
-def pack_rows(classes: np.ndarray, sizes: np.ndarray, counts: np.ndarray, *entries: np.ndarray) -> bytes:
-    """Rows (class, size, number of entries) and their entries as one blob."""
+def pack_rows(classes: np.ndarray, counts: np.ndarray, *entries: np.ndarray) -> bytes:
+    """Rows (class, number of entries, at most 255) and their entries as one
+    blob."""
     head = np.array([len(classes), len(entries[0]), *[e.dtype.itemsize for e in entries]], "<i8")
-    return b"".join([head.tobytes(), classes.astype("<i8").tobytes(), sizes.astype("<u4").tobytes(),
-                     counts.astype("<u4").tobytes(), *[e.tobytes() for e in entries]])
+    return b"".join([head.tobytes(), classes.astype("<i8").tobytes(), counts.astype("<u1").tobytes(),
+                     *[e.tobytes() for e in entries]])
 
 
 def unpack_rows(blobs: list[bytes]) -> list[np.ndarray]:
-    """[class, size, first entry column, second entry column] of all entries
-    of some blobs (64-bit)."""
-    out: list[list[np.ndarray]] = [[], [], [], []]
+    """[class, first entry column, second entry column] of all entries of some
+    blobs, in the widths they were packed with."""
+    out: list[list[np.ndarray]] = [[], [], []]
     for blob in blobs:
         rows, entries, *widths = np.frombuffer(blob, "<i8", 4).tolist()
         at = 32
         classes = np.frombuffer(blob, "<i8", rows, at)
-        sizes = np.frombuffer(blob, "<u4", rows, at + 8 * rows)
-        counts = np.frombuffer(blob, "<u4", rows, at + 12 * rows)
-        at += 16 * rows
+        counts = np.frombuffer(blob, "<u1", rows, at + 8 * rows)
+        at += 9 * rows
         out[0].append(np.repeat(classes, counts))
-        out[1].append(np.repeat(sizes, counts))
         for i, width in enumerate(widths):
-            out[2 + i].append(np.frombuffer(blob, f"<u{width}", entries, at))
+            out[1 + i].append(np.frombuffer(blob, f"<u{width}", entries, at))
             at += width * entries
     empty = [np.zeros(0, np.int64)]
     return [np.concatenate(x or empty) for x in out]
 
 
-def grouped_blobs(part: np.ndarray, row: np.ndarray, classes: np.ndarray, sizes: np.ndarray, *entries: np.ndarray):
+def grouped_blobs(part: np.ndarray, row: np.ndarray, classes: np.ndarray, *entries: np.ndarray):
     """(part, blob) for entries in order of part, then row."""
     edges = np.flatnonzero(np.diff(part)) + 1
     for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(part)], strict=True):
         if a == b:
             continue
-        starts = np.concatenate([[a], np.flatnonzero(np.diff(row[a:b])) + 1 + a])
+        runs = np.concatenate([[0], np.flatnonzero(np.diff(row[a:b])) + 1])
+        held = np.diff(np.concatenate([runs, [b - a]]))
+        # A row with more entries than a head counts has several heads.
+        starts = a + np.flatnonzero((np.arange(b - a) - np.repeat(runs, held)) % 255 == 0)
         counts = np.diff(np.concatenate([starts, [b]]))
-        yield int(part[a]), pack_rows(classes[row[starts]], sizes[row[starts]], counts, *[e[a:b] for e in entries])
+        yield int(part[a]), pack_rows(classes[row[starts]], counts, *[e[a:b] for e in entries])
 
 
 def blob_batch(parts: list[tuple[int, bytes]], name: str) -> pa.RecordBatch:
@@ -223,14 +227,18 @@ def shared_columns(docs: DataFrame, id_col: str, text_col: str, frequent: np.nda
                 low = (rare >> np.uint64(max(0, 24 - bits))) & np.uint64((1 << 40) - 1)
                 order = np.argsort(block, kind="stable")
                 low = low[order]
-                parts += grouped_blobs(block[order], rare_row[order], classes, sizes,
+                parts += grouped_blobs(block[order], rare_row[order], classes,
                                        (low & np.uint64(0xFFFFFFFF)).astype("<u4"), (low >> np.uint64(32)).astype("<u1"))
-                column = at[often] * (blocks + 1) + blocks
+                # Frequent columns go to the rows' part at once, and with them
+                # each row's size, marked by a column count of 0.
+                column = np.concatenate([at[often] * (blocks + 1) + blocks, sizes])
+                count = np.concatenate([np.full(int(often.sum()), FREQUENT, "<u2"), np.zeros(len(sizes), "<u2")])
+                to = np.concatenate([row[often], np.arange(len(sizes))])
                 owner = ((classes.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(classes), np.int64))
-                part = owner[row[often]] + blocks
-                order = np.lexsort((row[often], part))
-                parts += grouped_blobs(part[order], row[often][order], classes, sizes, column[order].astype("<u8"),
-                                       np.full(len(order), FREQUENT, "<u2"))
+                part = owner[to] + blocks
+                order = np.lexsort((to, part))
+                parts += grouped_blobs(part[order], to[order], classes, column[order].astype("<u4" if column.max() < 1 << 32 else "<u8"),
+                                       count[order])
                 yield blob_batch(parts, "block")
         hand_back_memory()
 
@@ -239,47 +247,59 @@ def shared_columns(docs: DataFrame, id_col: str, text_col: str, frequent: np.nda
         blobs = table.column("data").to_pylist()
         if block >= blocks:  # frequent columns: on to the rows' part
             return pa.table({"part": pa.array([block - blocks] * len(blobs), pa.int32()), "data": pa.array(blobs, pa.binary())})
-        classes, sizes, low, high = unpack_rows(blobs)
-        key = low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
-        order = np.lexsort((classes, key))
-        key, classes, sizes = key[order], classes[order], sizes[order]
-        fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (classes[1:] != classes[:-1])])[: len(key)]
-        key, classes, sizes = key[fresh], classes[fresh], sizes[fresh]
-        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
-        held = np.diff(np.concatenate([starts, [len(key)]]))
-        several = np.repeat(held >= 2, held)
-        column = (np.repeat(np.cumsum(held >= 2) - 1, held) * (blocks + 1) + block)[several]
-        count = np.minimum(np.repeat(held, held), FREQUENT - 1)[several]
-        classes, sizes = classes[several], sizes[several]
-        order = np.argsort(classes.view(np.uint64), kind="stable")
-        classes, sizes, column, count = classes[order], sizes[order], column[order], count[order]
-        kind = "<u4" if not len(column) or column.max() < 1 << 32 else "<u8"
-        starts = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]])[: len(classes)])
-        row = np.repeat(np.arange(len(starts)), np.diff(np.concatenate([starts, [len(classes)]])))
-        part = (classes.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(classes), np.int64)
-        parts = list(grouped_blobs(part, row, classes[starts], sizes[starts], column.astype(kind), count.astype("<u2")))
+        every, low, high = unpack_rows(blobs)
+        del blobs
+        parts: list[tuple[int, bytes]] = []
+        columns = 0
+        step = high.astype(np.uint16) * BLOCK_STEPS >> 8
+        for i in range(BLOCK_STEPS):
+            mine = step == i
+            key = low[mine].astype(np.uint64) | (high[mine].astype(np.uint64) << np.uint64(32))
+            classes = every[mine]
+            order = np.lexsort((classes, key))
+            key, classes = key[order], classes[order]
+            fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (classes[1:] != classes[:-1])])[: len(key)]
+            key, classes = key[fresh], classes[fresh]
+            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[: len(key)])
+            held = np.diff(np.concatenate([starts, [len(key)]]))
+            several = np.repeat(held >= 2, held)
+            column = ((np.repeat(np.cumsum(held >= 2) - 1, held) + columns) * (blocks + 1) + block)[several]
+            columns += int((held >= 2).sum())
+            count = np.minimum(np.repeat(held, held), FREQUENT - 1)[several]
+            classes = classes[several]
+            order = np.argsort(classes.view(np.uint64), kind="stable")
+            classes, column, count = classes[order], column[order], count[order]
+            kind = "<u4" if not len(column) or column.max() < 1 << 32 else "<u8"
+            starts = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]])[: len(classes)])
+            row = np.repeat(np.arange(len(starts)), np.diff(np.concatenate([starts, [len(classes)]])))
+            part = (classes.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(classes), np.int64)
+            parts += grouped_blobs(part, row, classes[starts], column.astype(kind), count.astype("<u2"))
+            del key, classes, order, column, count, row, part, several, held, mine, fresh, starts
         out = pa.Table.from_batches([blob_batch(parts, "part")])
-        del blobs, key, classes, sizes, low, high, order, column, count, row, part, several, held
+        del every, low, high, step, parts
         hand_back_memory()
         return out
 
     def collect_rows(table: pa.Table) -> pa.Table:
-        classes, sizes, column, count = unpack_rows(table.column("data").to_pylist())
+        classes, column, count = unpack_rows(table.column("data").to_pylist())
         order = np.lexsort((column, count, classes))
-        classes, sizes, column = classes[order], sizes[order].astype(np.int64), column[order].astype(np.int64)
-        count = count[order].astype(np.float64)
-        fresh = np.concatenate([[True], (classes[1:] != classes[:-1]) | (column[1:] != column[:-1])])[: len(classes)]
-        classes, sizes, column, count = classes[fresh], sizes[fresh], column[fresh], count[fresh]
-        starts = np.flatnonzero(np.concatenate([[True], classes[1:] != classes[:-1]])[: len(classes)])
-        held = np.diff(np.concatenate([starts, [len(classes)]]))
+        classes, column, count = classes[order], column[order].astype(np.int64), count[order]
+        fresh = np.concatenate([[True], (classes[1:] != classes[:-1]) | (column[1:] != column[:-1]) | (count[1:] != count[:-1])])
+        fresh = fresh[: len(classes)]
+        classes, column, count = classes[fresh], column[fresh], count[fresh].astype(np.float64)
+        # Each row's size comes first, then its columns.
+        first = np.flatnonzero(count == 0)
+        sizes = column[first]
+        held = np.diff(np.concatenate([first, [len(classes)]])) - 1
+        able = (held > 0) & (5 * held >= 4 * sizes)
+        keep = np.repeat(able, held + 1) & (count > 0)
+        ids, sizes, held, column, count = classes[first][able], sizes[able], held[able], column[keep], count[keep]
+        offsets = np.concatenate([[0], np.cumsum(held)])
         # Rows whose columns many others have lie in the middle of their group.
-        centre = (np.add.reduceat(count, starts) if len(starts) else count) / np.maximum(sizes[starts], 1)
-        able = 5 * held >= 4 * sizes[starts]
-        keep = np.repeat(able, held)
-        offsets = np.concatenate([[0], np.cumsum(held[able])])
-        shared = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(column[keep], pa.int64()))
-        out = pa.table({"class": pa.array(classes[starts][able], pa.int64()),
-                         "n": pa.array(sizes[starts][able], pa.int64()), "centre": pa.array(centre[able], pa.float64()), "shared": shared.cast(pa.list_(pa.int64()))})
+        centre = (np.add.reduceat(count, offsets[:-1]) if len(held) else count) / np.maximum(sizes, 1)
+        shared = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(column, pa.int64()))
+        out = pa.table({"class": pa.array(ids, pa.int64()), "n": pa.array(sizes, pa.int64()),
+                        "centre": pa.array(centre, pa.float64()), "shared": shared.cast(pa.list_(pa.int64()))})
         del classes, sizes, column, count, order, fresh, keep
         hand_back_memory()
         return out
@@ -555,7 +575,10 @@ def joined_documents(docs: DataFrame, id_col: str, text_col: str, links: bool) -
     bits = max(0, int(np.ceil(np.log2(max((total["entries"] or 0) / BLOCK_ENTRIES, 1)))))
 
     with small_batches(docs.sparkSession):
-        able = written(shared_columns(docs, id_col, text_col, frequent, max(bits, 5)), "rows")
+        buckets = max(1 << bits, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        able, drop_able = written_in_buckets(
+            shared_columns(docs, id_col, text_col, frequent, max(bits, 5)), "rows", "class", buckets
+        )
     need = F.ceil(F.col("n") * 4 / 5).cast("int")
     first = F.slice("shared", F.lit(1), F.size("shared") - need + 1)
     prefix = able.select("class", "n", "centre", F.size("shared").alias("m"), F.posexplode(first).alias("at", "column")).select(
@@ -581,6 +604,7 @@ def joined_documents(docs: DataFrame, id_col: str, text_col: str, links: bool) -
                 marked = written(with_roots(marked.drop("root"), roots), "open-columns")
         partners = partners and 8 * partners
 
+    # Everything that reads the buckets is written when link_counts returns.
     classes = rows.where("n > 0").groupBy("class").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("copies"))
     classes = written(classes, "copies")
     grouped = classes.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
@@ -588,6 +612,7 @@ def joined_documents(docs: DataFrame, id_col: str, text_col: str, links: bool) -
     if links:
         grouped = grouped.join(link_counts(able, roots, classes.select("class", "copies")), "class", "left")
         found = [F.col("copies") - 1 + F.coalesce("links", F.lit(0))]
+    drop_able()
     least = grouped.groupBy("root").agg(F.min("class_id").alias("component_id"))
     grouped = grouped.join(least, "root").select("class", "class_id", "component_id", found[0].alias("n_links"))
     joined = rows.where("n > 0").join(grouped, "class").select("id", "n", "class_id", "component_id", "n_links")
