@@ -68,7 +68,20 @@ class Segment:
     tag: str = ""
     opens: bool = False
     main: bool = False
-    path: tuple[int, ...] = ()
+    element: int = 0
+
+
+@dataclass
+class Elements:
+    """The elements of a page, numbered as they open (0: the page): name,
+    parent and the last element opened inside."""
+
+    names: list[str] = field(default_factory=lambda: [""])
+    parents: list[int] = field(default_factory=lambda: [0])
+    last: list[int] = field(default_factory=lambda: [0])
+
+    def holds(self, outer: int, inner: int) -> bool:
+        return outer <= inner <= self.last[outer]
 
 
 @dataclass
@@ -95,23 +108,30 @@ def is_boilerplate(name: str, tag: str, in_main: bool) -> bool:
     return False
 
 
-def segments(page: str) -> tuple[list[Segment], dict[int, str]]:
-    """The page's texts and tags in order, and the names of its elements."""
+def segments(page: str) -> tuple[list[Segment], Elements]:
+    """The page's texts and tags in order, and its elements.  Time and memory
+    are linear in the page, however deep its elements nest."""
     out: list[Segment] = []
-    names: dict[int, str] = {0: ""}
-    stack: list[tuple[str, int, bool, bool]] = []  # name, element, boilerplate, main
-    links = 0
+    elements = Elements()
+    # Name, element, and whether it lies in boilerplate and in the main part.
+    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    opened: Counter[str] = Counter()
 
     def text(raw: str) -> None:
         if raw and not raw.isspace():
             decoded = html_lib.unescape(raw) if "&" in raw else raw
-            boiler = any(s[2] for s in stack)
-            kind = "boilerplate" if boiler else "link" if links else "plain"
-            out.append(Segment(decoded, len(decoded.split()), kind, main=any(s[3] for s in stack),
-                               path=(0, *[s[1] for s in stack])))
+            _, element, boiler, in_main = stack[-1]
+            kind = "boilerplate" if boiler else "link" if opened["a"] else "plain"
+            out.append(Segment(decoded, len(decoded.split()), kind, main=in_main, element=element))
         elif raw:
             out.append(Segment(" ", 0))
 
+    def close() -> str:
+        name, element, *_ = stack.pop()
+        elements.last[element] = len(elements.names) - 1
+        opened[name] -= 1
+        return name
+
     at = 0
     for m in TOKEN.finditer(page):
         text(page[at : m.start()])
@@ -127,19 +147,20 @@ def segments(page: str) -> tuple[list[Segment], dict[int, str]]:
         if name in VOID or m[0].endswith("/>"):
             continue
         if not named[1]:
-            element = len(names)
-            names[element] = name
-            in_main = any(s[3] for s in stack)
-            stack.append((name, element, is_boilerplate(name, m[0], in_main), name in MAIN))
-            links += name == "a"
-        elif any(s[0] == name for s in stack):
-            while True:
-                closed = stack.pop()
-                links -= closed[0] == "a"
-                if closed[0] == name:
-                    break
+            _, parent, boiler, in_main = stack[-1]
+            boiler = is_boilerplate(name, m[0], in_main) or boiler
+            stack.append((name, len(elements.names), boiler, in_main or name in MAIN))
+            elements.names.append(name)
+            elements.parents.append(parent)
+            elements.last.append(0)
+            opened[name] += 1
+        elif opened[name]:
+            while close() != name:
+                pass
     text(page[at:])
-    return out, names
+    while stack:
+        close()
+    return out, elements
 
 
 def fit_weights(pages: list[str]) -> Weights:
@@ -193,33 +214,33 @@ def best_region(parts: list[Segment], weights: Weights) -> tuple[int, int]:
     return span
 
 
-def holding_element(parts: list[Segment], names: dict[int, str], first: int, end: int) -> int:
+def holding_element(parts: list[Segment], elements: Elements, first: int, end: int) -> int:
     """The innermost <article> or <main> that holds all text of the region, or
     else the innermost element that does."""
-    paths = [s.path for s in parts[first:end] if s.words and s.kind != "boilerplate"]
-    common: tuple[int, ...] = paths[0] if paths else ()
-    for p in paths:
-        n = 0
-        while n < min(len(common), len(p)) and common[n] == p[n]:
-            n += 1
-        common = common[:n]
-    for element in reversed(common):
-        if names[element] in MAIN:
-            return element
-    while common and names[common[-1]] in (INLINE | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li"}):
-        common = common[:-1]
-    return common[-1] if common else 0
+    held = [s.element for s in parts[first:end] if s.words and s.kind != "boilerplate"]
+    common = held[0] if held else 0
+    for element in held:
+        while not elements.holds(common, element):
+            common = elements.parents[common]
+    outer = common
+    while outer and elements.names[outer] not in MAIN:
+        outer = elements.parents[outer]
+    if outer:
+        return outer
+    while common and elements.names[common] in (INLINE | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li"}):
+        common = elements.parents[common]
+    return common
 
 
 def main_text(page: str | None, weights: Weights) -> str:
     """Blocks of the main text joined by newlines; "" if there is none."""
-    parts, names = segments(page or "")
+    parts, elements = segments(page or "")
     first, end = best_region(parts, weights)
     if first == end:
         return ""
-    element = holding_element(parts, names, first, end)
-    if names[element] not in WHOLE:
-        chosen = [s if s.tag or element in s.path or not s.words else None for s in parts]
+    element = holding_element(parts, elements, first, end)
+    if elements.names[element] not in WHOLE:
+        chosen = [s if s.tag or not s.words or elements.holds(element, s.element) else None for s in parts]
     else:
         chosen = list(parts[first:end])
     blocks: list[str] = []

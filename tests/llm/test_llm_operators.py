@@ -375,6 +375,28 @@ graph with <b>bold</b> &eacute; words.<p>Second paragraph goes on and on.<aside>
 with many words in it</p></section><form><p>Subscribe to us</p></form><footer>&copy; 2024</footer></body></html>"""
 
 
+def test_pages_of_unclosed_tags_take_linear_memory():
+    import tracemalloc
+
+    page = "<article>" + "<p>some words of text" * 20_000
+    tracemalloc.start()
+    text = html_extract.main_text(page, html_extract.Weights())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert text == "\n".join(["some words of text"] * 20_000)
+    assert peak < 40_000_000
+
+
+def test_weights_do_not_depend_on_the_order_of_rows(spark):
+    pages = [f"<nav><a>menu {i}</a></nav><article><p>{'word ' * (i % 7 + 1)}</p></article>" for i in range(40)]
+    pages += pages[:1] * 60  # copies count once
+    first, second = (
+        html_extract.train_weights(spark.createDataFrame([(p,) for p in rows], "html string"), max_pages=10)
+        for rows in (pages, pages[::-1])
+    )
+    assert first == second
+
+
 def test_html_extraction(spark):
     text = "Head & line\nFirst para graph with bold é words.\nSecond paragraph goes on and on.\nThird."
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (4, "u", "plain words only"), (1, "u", PAGE), (None, "u", PAGE),
