@@ -258,10 +258,16 @@ def main_text(page: str | None, weights: Weights) -> str:
 
 
 def train_weights(pages: DataFrame, html_col: str = "html", max_pages: int = 512) -> Weights:
-    """Weights from at most ``max_pages`` labelled pages (the first that the
-    scan meets)."""
-    labelled = pages.where(F.col(html_col).rlike(r"(?i)<(article|main)[\s>]")).select(html_col)
-    return fit_weights([r[0] for r in labelled.limit(max_pages).collect()])
+    """Weights from at most ``max_pages`` different labelled pages, those with
+    the least hash of their html: a sample of the whole table that depends
+    neither on the order of its rows nor on copies."""
+    labelled = pages.where(F.col(html_col).rlike(r"(?i)<(article|main)[\s>]")).select(
+        F.xxhash64(html_col).alias("hash"), F.col(html_col).alias("html")
+    )
+    least = labelled.select(F.col("hash").alias("least")).distinct().orderBy("least").limit(max_pages)
+    chosen = labelled.join(F.broadcast(least), F.col("hash") == F.col("least"), "left_semi")
+    rows = chosen.groupBy("hash").agg(F.min("html").alias("html")).collect()
+    return fit_weights([r["html"] for r in sorted(rows)])
 
 
 def extract_pages(
