@@ -87,16 +87,19 @@ WITH RECURSIVE w AS (
 ), o AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
 ), links AS MATERIALIZED (
-  SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)
+  SELECT a, b, o = x.n AND o = y.n AS equal_sets
+  FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)
 ), e AS MATERIALIZED (
-  SELECT a, b FROM links UNION SELECT b, a FROM links
+  SELECT a, b, equal_sets FROM links UNION SELECT b, a, equal_sets FROM links
 ), reach AS (
   SELECT doc_id, doc_id AS other FROM n
   UNION
   SELECT r.doc_id, e.b FROM reach r JOIN e ON r.other = e.a
 )
-SELECT n.doc_id, n.n::BIGINT AS n_shingles, min(other)::BIGINT AS component_id
-FROM n JOIN reach USING (doc_id) GROUP BY n.doc_id, n.n
+SELECT n.doc_id, n.n::BIGINT AS n_shingles, least(n.doc_id, l.copy_id)::BIGINT AS class_id,
+  r.component_id, coalesce(l.n_links, 0)::BIGINT AS n_links
+FROM n JOIN (SELECT doc_id, min(other)::BIGINT AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
+LEFT JOIN (SELECT a, count(*) AS n_links, min(b) FILTER (WHERE equal_sets) AS copy_id FROM e GROUP BY a) l ON l.a = n.doc_id
 """
 
 

@@ -43,11 +43,6 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole join; the query's columns are those its SQL names."""
-    return op4_ngram_join_links(spark, sf_dir).select("doc_id", "n_shingles", "component_id")
-
-
-def op4_ngram_join_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_links(documents(spark, sf_dir))
 
 
@@ -95,7 +90,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_source_mixing": op2_source_mixing,
         "op3_nearest_neighbours": op3_nearest_neighbours,
         "op4_ngram_join": op4_ngram_join,
-        "op4_ngram_join_links": op4_ngram_join_links,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_html_extraction": op6_html_extraction,
         "op7_quality_classifier": op7_quality_classifier,
