@@ -247,12 +247,14 @@ def pack_documents(
     """
     spark = docs.sparkSession
     with small_batches(spark):
-        pieces = written(token_pieces(docs, id_col, text_col, capacity, tokenizer or default_tokenizer(), end_id), "pieces")
+        pieces = token_pieces(docs, id_col, text_col, capacity, tokenizer or default_tokenizer(), end_id)
+        # The row number tells copies apart, which else share a slot bucket.
+        pieces = written(pieces.withColumn("__row", F.monotonically_increasing_id()), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     rows = plan_rows(complete_bins(histogram, capacity, keep, nodes, branches))
     # At most one run per exhausted length and 63 lengths per sequence.
     plan = spark.createDataFrame(rows, "p_length long, first long, end long, k long, base long, at long")
-    ranked = with_slots(pieces, "length", [id_col, "piece", "ids_crc32"])
+    ranked = with_slots(pieces, "length", [id_col, "__row"])
     place = F.col("slot") - F.col("first")
     return ranked.join(
         F.broadcast(plan),

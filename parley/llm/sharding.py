@@ -77,16 +77,22 @@ def shard_of(key: Column, tree: Tree, seed: int = 7) -> Column:
     return _descend(key, tree, "", seed)
 
 
+def slot_bucket(order: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*order, F.lit("slot")), F.lit(buckets)).cast("int")
+
+
 def with_slots(rows: DataFrame, group: str, order: list[str], buckets: int = 1024) -> DataFrame:
     """``rows`` with ``slot``: gapless from 0 within each group.
 
     Rows are numbered within (group, hash bucket) and moved up by the rows of
-    the earlier buckets, so a large group is spread over many tasks.  The
-    order within a bucket is by ``order``; equal rows are interchangeable.
+    the earlier buckets, so a large group is spread over many tasks.  Buckets
+    and the order within them come from ``order``, which should tell any two
+    rows apart, such as by a written row number: many equal rows would share a
+    bucket.
     The offsets table has at most groups x ``buckets`` rows.  ``group`` is never
     NULL.
     """
-    rows = rows.withColumn("__bucket", F.pmod(F.xxhash64(*order, F.lit("slot")), F.lit(buckets)).cast("int"))
+    rows = rows.withColumn("__bucket", slot_bucket(order, buckets))
     offsets = bucket_offsets(
         rows.groupBy(group, "__bucket").agg(F.count(F.lit(1)).alias("__n")), group, "__bucket", "__n"
     ).select(F.col(group).alias("__g"), F.col("__bucket").alias("__b"), "rows_before")
@@ -125,6 +131,8 @@ def shard_documents(
         F.lit("key").alias("law"),
         shard_of(F.col("__key"), tree, seed).alias("shard"),
         shard_of(F.col("__key"), grown, seed).alias("grown_shard"),
+        F.monotonically_increasing_id().alias("__row"),
     )
-    rows = with_slots(written(digests, "shards"), "shard", [id_col, "text_crc32", "size"])
+    # Repeated rows are dealt apart by their written row number.
+    rows = with_slots(written(digests, "shards"), "shard", [id_col, "__row"])
     return rows.select(id_col, "size", "text_crc32", "law", "shard", "slot", "grown_shard")
