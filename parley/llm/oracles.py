@@ -65,13 +65,17 @@ WITH d AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS repeats FROM t
 ), c AS (
   SELECT h.*, source_size, target, repeats, target - repeats * source_size AS rest,
-    sum(size) OVER (PARTITION BY h.source ORDER BY h, doc_id, size RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+    sum(size) OVER (PARTITION BY h.source ORDER BY h, doc_id, size RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+      - sum(size) OVER (PARTITION BY h.source, h, doc_id, size) AS before,
+    row_number() OVER (PARTITION BY h.source, h, doc_id, size) AS peer
   FROM h JOIN q ON h.source IS NOT DISTINCT FROM q.source
+), k AS (
+  SELECT *, repeats + CASE WHEN rest > 0 AND CASE WHEN size > 0
+    THEN peer <= floor((2 * (rest - before) + size) / (2 * size)) ELSE before <= rest END THEN 1 ELSE 0 END AS copies
+  FROM c
 )
-SELECT doc_id, source, size, source_size, round(target, 6) AS target,
-  (repeats + CASE WHEN rest > 0 AND 2 * upto - size <= 2 * rest THEN 1 ELSE 0 END)::BIGINT AS copies,
-  ((repeats + CASE WHEN rest > 0 AND 2 * upto - size <= 2 * rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken
-FROM c
+SELECT doc_id, source, size, source_size, target, copies::BIGINT AS copies, (copies * size)::BIGINT AS taken
+FROM k
 """
 
 NGRAM_JOIN = r"""

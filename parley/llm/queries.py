@@ -6,7 +6,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from parley.llm import oracles
 from parley.llm.ann_forest import nearest_neighbours
@@ -34,8 +33,7 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix_sources(documents(spark, sf_dir, "source"))
-    return mixed.withColumn("target", F.round("target", 6))
+    return mix_sources(documents(spark, sf_dir, "source"))
 
 
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,8 @@ repetitions of all its documents, the fraction as one more repetition of a
 seeded sample of whole documents.  The sample takes documents in order of a
 seeded hash as long as their middle lies below the fraction's words, so a
 source comes within half a document of its target.  A document is in or out by
-comparison with one place in that order, which is found per source.
+comparison with one place in that order, which is found per source.  Of equal
+rows at that place as many are in as fit.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parley.llm.common import word_count, written
+from parley.llm.sharding import with_slots
 
 # Largest number of sources whose targets are broadcast (about 100 bytes each).
 BROADCAST_SOURCES = 100_000
@@ -62,7 +64,7 @@ def water_fill(sources: DataFrame, budget: float, max_epochs: float) -> DataFram
 def source_targets(
     sized: DataFrame, weights: tuple[float, ...], budget: float, max_epochs: float
 ) -> DataFrame:
-    """One row per source: source, source_size, target, repeats (whole
+    """One row per source: source, rank, source_size, target, repeats (whole
     repetitions) and rest (words of the fractional one).  Weights are dealt to
     the sources in code-point order, NULL last, and repeat."""
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -74,40 +76,52 @@ def source_targets(
     filled = water_fill(ranked, budget, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("bigint")
     return filled.withColumn("repeats", whole).select(
-        "source", "source_size", "target", "repeats", (F.col("target") - F.col("repeats") * F.col("source_size")).alias("rest")
+        "source", "rank", "source_size", "target", "repeats", (F.col("target") - F.col("repeats") * F.col("source_size")).alias("rest")
     )
 
 
 def source_cuts(sized: DataFrame, weights: tuple[float, ...], budget: float, max_epochs: float) -> DataFrame:
-    """One row per source: ts (source), source_size, target, repeats, rest and
-    where its fractional repetition ends: documents of a bucket below
-    ``cut_bucket`` are in, in that bucket those up to ``last``.
+    """One row per source: ts (source), rank, source_size, target, repeats, rest
+    and where its fractional repetition ends: documents of a bucket below
+    ``cut_bucket`` are in, in that bucket those before ``last``, and of the
+    ``last_peers`` equal rows at ``last`` any ``last_fit``.
 
     A hot source is never gathered: its documents are summed per hash bucket,
-    and only the bucket in which the repetition ends is put in order.
+    and only the bucket in which the repetition ends is put in order, with
+    equal rows counted first.
     """
     targets = written(source_targets(sized, weights, budget, max_epochs), "mix-targets")
-    t = targets.select(F.col("source").alias("ts"), "source_size", "target", "repeats", "rest")
+    t = targets.select(F.col("source").alias("ts"), "rank", "source_size", "target", "repeats", "rest")
     per_bucket = sized.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     running = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     cut = (
         per_bucket.withColumn("before", F.coalesce(F.sum("words").over(running), F.lit(0).cast("bigint")))
         .join(small_side(t), F.col("source").eqNullSafe(F.col("ts")))
-        .where((F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words")))
+        .where((F.col("rest") > 0) & (F.col("before") <= F.col("rest")) & (F.col("rest") < F.col("before") + F.col("words")))
         .groupBy("source", "rest")
         .agg(F.min(F.struct("bucket", "before")).alias("c"))
         .select(F.col("source").alias("cs"), "rest", F.col("c.bucket").alias("cut_bucket"), F.col("c.before").alias("cut_before"))
     )
     cut = written(cut, "mix-cuts")
-    # Repeated rows are peers: they are in or out together.
-    upto = F.col("cut_before") + F.sum("size").over(Window.partitionBy("source").orderBy("h", "id", "size"))
-    place = F.struct("h", "id", "size")
-    last = (
+    peers = (
         sized.join(small_side(cut), F.col("source").eqNullSafe(F.col("cs")) & (F.col("bucket") == F.col("cut_bucket")))
-        .withColumn("upto", upto)
-        .where(2 * F.col("upto") - F.col("size") <= 2 * F.col("rest"))
+        .groupBy("source", "rest", "cut_before", "h", "id", "size")
+        .agg(F.count(F.lit(1)).alias("peers"))
+    )
+    running = Window.partitionBy("source").orderBy("h", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("cut_before") + F.coalesce(F.sum(F.col("size") * F.col("peers")).over(running), F.lit(0).cast("bigint"))
+    last = (
+        peers.withColumn("before", before)
+        .withColumn("fit", fitting())
+        .where("fit > 0")
         .groupBy(F.col("source").alias("ls"))
-        .agg(F.max(place).alias("last"))
+        .agg(F.max(F.struct("h", "id", "size", "fit", "peers")).alias("l"))
+        .select(
+            "ls",
+            F.struct("l.h", "l.id", "l.size").alias("last"),
+            F.col("l.fit").alias("last_fit"),
+            F.col("l.peers").alias("last_peers"),
+        )
     )
     return written(
         t.join(cut.drop("rest", "cut_before"), F.col("ts").eqNullSafe(F.col("cs")), "left")
@@ -117,6 +131,14 @@ def source_cuts(sized: DataFrame, weights: tuple[float, ...], budget: float, max
     )
 
 
+def fitting() -> Column:
+    """How many of ``peers`` rows of ``size`` words have their middle within
+    ``rest`` words, if ``before`` words come first."""
+    room = F.floor((2 * (F.col("rest") - F.col("before")) + F.col("size")) / (2 * F.greatest(F.col("size"), F.lit(1))))
+    some = F.least(F.col("peers"), F.greatest(room, F.lit(0)))
+    return F.when(F.col("size") > 0, some).when(F.col("before") <= F.col("rest"), F.col("peers")).otherwise(0).cast("bigint")
+
+
 def small_side(df: DataFrame) -> DataFrame:
     """A broadcast of a per-source table behind a check of its size; with more
     sources the join shuffles."""
@@ -126,18 +148,32 @@ def small_side(df: DataFrame) -> DataFrame:
 def sized_documents(docs: DataFrame, id_col: str, text_col: str, seed: int) -> list[Column]:
     """Columns id, size, h and bucket of a document."""
     size = word_count(F.col(text_col))
-    # The text counts, so different documents without an id are no peers.
+    # The text counts, so only equal texts of one id are peers.
     h = seeded_hash(seed, F.col(id_col), size, F.md5(F.coalesce(F.col(text_col), F.lit(""))))
     return [F.col(id_col).alias("id"), size.alias("size"), h.alias("h"), F.shiftright(h, BUCKET_BITS).alias("bucket")]
 
 
-def copies() -> Column:
-    """Repetitions of a document joined with its source's row."""
+def with_copies(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``rows`` (with source, id, size, h, bucket) with their source's columns
+    and ``copies``, the repetitions that the mix takes.
+
+    Equal rows at the end of a source's fractional repetition, of which some
+    but not all fit, are written once and numbered in parts of a hash of their
+    row number, so that exactly as many are in as fit, however many there are.
+    """
     place = F.struct("h", "id", "size")
+    in_cut = (F.col("bucket") == F.col("cut_bucket")) & F.col("last").isNotNull()
     below = F.col("cut_bucket").isNull() | (F.col("bucket") < F.col("cut_bucket"))
-    inside = (F.col("bucket") == F.col("cut_bucket")) & F.col("last").isNotNull() & (place <= F.col("last"))
-    extra = F.when((F.col("rest") > 0) & (below | F.coalesce(inside, F.lit(False))), 1).otherwise(0)
-    return (F.col("repeats") + extra).cast("bigint")
+    extra = F.when((F.col("rest") > 0) & (below | F.coalesce(in_cut & (place <= F.col("last")), F.lit(False))), 1).otherwise(0)
+    joined = rows.join(small_side(cuts), F.col("source").eqNullSafe(F.col("ts")))
+    decided = joined.withColumn("copies", (F.col("repeats") + extra).cast("bigint"))
+    if cuts.where("last_fit < last_peers").isEmpty():
+        return decided
+    shared = F.coalesce(in_cut & (place == F.col("last")) & (F.col("last_fit") < F.col("last_peers")), F.lit(False))
+    dealt = written(joined.where(shared).withColumn("row", F.monotonically_increasing_id()), "mix-shared")
+    fits = F.when(F.col("slot") < F.col("last_fit"), 1).otherwise(0)
+    some = with_slots(dealt, "rank", ["row"]).withColumn("copies", (F.col("repeats") + fits).cast("bigint"))
+    return decided.where(~shared).unionByName(some.drop("row", "slot"))
 
 
 def mix_sources(
@@ -155,14 +191,13 @@ def mix_sources(
     Returns one row per input row: id, source, size (words), source_size,
     target (of its source), copies and taken (= copies * size).  NULL text has
     size 0; a NULL source is a source of its own; repeated rows are documents
-    of their own; an empty table gives an empty result.
+    of their own, of which some may be taken once more than the others; an empty table gives an empty result.
     """
     sized = written(
         docs.select(F.col(source_col).alias("source"), *sized_documents(docs, id_col, text_col, seed)), "mix-sizes"
     )
     cuts = source_cuts(sized, weights, budget, max_epochs)
-    rows = sized.join(small_side(cuts), F.col("source").eqNullSafe(F.col("ts"))).withColumn("copies", copies())
-    return rows.select(
+    return with_copies(sized, cuts).select(
         F.col("id").alias(id_col),
         F.col("source").alias(source_col),
         "size",
@@ -195,6 +230,5 @@ def mixed_documents(
         F.col(source_col).alias("source"),
         *sized_documents(docs, id_col, text_col, seed),
     )
-    taken = rows.join(small_side(cuts), F.col("source").eqNullSafe(F.col("ts"))).withColumn("copies", copies())
-    again = taken.where("copies > 0").select("doc", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    again = with_copies(rows, cuts).where("copies > 0").select("doc", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
     return again.select("doc.*")
