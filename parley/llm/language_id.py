@@ -63,8 +63,8 @@ def language_sample(
     docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_rows: int
 ) -> tuple[list[str], DataFrame]:
     """All languages of the documents, and at most ``max_rows`` documents
-    (text, lang) of each, among those with text, by a seeded hash of id and
-    text.
+    (text, lang, rank) of each, among those with text, ranked by a seeded hash
+    of id and text.
 
     A grouped count over all documents gives the languages and the share of
     the hash's range that holds enough rows of each, so only about
@@ -89,7 +89,7 @@ def language_sample(
     upto = docs.sparkSession.createDataFrame(upto, "l string, upto long")
     rows = known.where(with_text).join(F.broadcast(upto), (F.col("lang") == F.col("l")) & (F.col("h") <= F.col("upto")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
-    sample = rows.select("text", "lang", rank.alias("rank")).where(F.col("rank") <= max_rows).select("text", "lang")
+    sample = rows.select("text", "lang", rank.alias("rank")).where(F.col("rank") <= max_rows)
     return sorted(r["lang"] for r in counts), sample
 
 
@@ -100,7 +100,9 @@ def train_text_model(
     ``max_rows`` documents with text, chosen by a hash.  A language without
     any text has the mean of the others as its model."""
     languages, sample = language_sample(docs, id_col, text_col, lang_col, max_rows)
-    sample = written(sample.repartition(8, F.xxhash64("text")), "language-sample")
+    # Dealt by rank as well, so copies of one text are spread over the tasks.
+    parts = max(1, docs.sparkSession.sparkContext.defaultParallelism)
+    sample = written(sample.repartition(parts, "lang", "rank"), "language-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
