@@ -220,27 +220,39 @@ class QualityModel:
     network: Network
 
 
-def train_quality_model(
-    docs: DataFrame,
-    labels: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    label_col: str = "quality",
-    max_rows: int = 8000,
-) -> QualityModel:
-    """Fit on at most ``max_rows`` labelled rows outside the held-out fold,
-    chosen by a hash of their ids.  Rows without id, text or a 0/1 label take
-    no part."""
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int
+) -> DataFrame:
+    """(text, label, calibrate, key) of at most ``max_rows`` labelled rows
+    outside the held-out fold, chosen by a hash of their ids.
+
+    Rows without id, text or a 0/1 label take no part; of an id that occurs
+    with several texts the least one is taken, so the bound holds however often
+    an id is repeated.
+    """
     learn = labels.where(F.col(label_col).isin(0, 1) & (fold_of(id_col) != HOLD_OUT)).select(
         F.col(id_col), F.col(label_col).cast("int").alias("label")
     )
     texts = docs.select(F.col(id_col), F.col(text_col)).where(F.col(text_col).isNotNull())
     chosen = bounded_rows(learn, learn, id_col, max_rows, "quality").groupBy(id_col).agg(F.max("label").alias("label"))
-    sample = (
+    return (
         texts.join(F.broadcast(chosen), id_col)
+        .groupBy(id_col, "label")
+        .agg(F.min(text_col).alias(text_col))
         .select(text_col, "label", (fold_of(id_col) == CALIBRATION).cast("int").alias("calibrate"), F.xxhash64(id_col).alias("key"))
-        .repartition(16, "key")
     )
+
+
+def train_quality_model(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+    max_rows: int = 8000,
+) -> QualityModel:
+    """Fit on ``labelled_sample``."""
+    sample = labelled_sample(docs, labels, id_col, text_col, label_col, max_rows).repartition(16, "key")
     sample = written(sample, "quality-sample")
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -140,6 +140,34 @@ def test_source_mixing(docs, rows, nothing):
     assert counted == +copies
 
 
+@pytest.mark.parametrize("kind", ["no ids", "one row"])
+def test_mix_meets_the_target_among_peers(spark, kind):
+    # 4,000 words in all of a cap of 2 x: the target of 6,000 takes half of the rows twice.
+    rows = [(None, f"a b c {i}", "s") if kind == "no ids" else (7, "a b c d", "s") for i in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = source_mixing.mix_sources(df).collect()
+    assert len(got) == 1000 and {r["target"] for r in got} == {6000.0}
+    assert sum(r["taken"] for r in got) == 6000 and {r["copies"] for r in got} == {1, 2}
+    mixed = source_mixing.mixed_documents(df)
+    assert mixed.columns == df.columns and mixed.count() == 1500
+
+
+def test_mix_of_peers_matches_its_sql(spark, tmp_path):
+    import duckdb
+
+    from parley.llm import oracles
+
+    rows = [(i % 40 if i % 3 else None, "a " * (i % 4), None if i % 5 == 0 else f"s{i % 5}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    df.coalesce(1).write.parquet(str(tmp_path / "documents"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents/*.parquet')")
+    cur = con.execute(oracles.SOURCE_MIXING)
+    columns = [d[0] for d in cur.description]
+    got = source_mixing.mix_sources(df).select(*columns).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, cur.fetchall()))
+
+
 # ---------------------------------------------------------------- op3
 def test_nearest_neighbours(spark):
     rng = np.random.default_rng(0)
@@ -445,7 +473,27 @@ def test_quality_classifier(spark, docs, rows, nothing):
     assert quality_classifier.keep_documents(docs, unlabelled).columns == docs.columns
 
 
+def test_classifier_learns_within_its_bound(spark):
+    rows = [(1, f"text {i}") for i in range(300)] + [(i, "other") for i in range(2, 60)] + [(None, "x"), (61, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(62)] + [(1, 1)] * 50, "doc_id long, quality int")
+    sample = quality_classifier.labelled_sample(df, labels, "doc_id", "text", "quality", 20).collect()
+    assert len(sample) <= 20 and len({r["key"] for r in sample}) == len(sample)
+    every = quality_classifier.labelled_sample(df, labels, "doc_id", "text", "quality", 100).collect()
+    learn = [i for i in range(1, 60) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert len(every) == len(learn) and [r["text"] for r in every if r["text"] != "other"] in ([], ["text 0"])
+
+
 # ---------------------------------------------------------------- op8
+def test_equal_rows_are_dealt_over_slot_buckets(spark):
+    df = spark.createDataFrame([(7, "same")] * 20_000, "doc_id long, text string").repartition(6)
+    got = sharding.shard_documents(df).collect()
+    assert len({r["shard"] for r in got}) == 1 and sorted(r["slot"] for r in got) == list(range(20_000))
+    rows = df.withColumn("__row", F.monotonically_increasing_id())
+    per_bucket = rows.groupBy(sharding.slot_bucket(["doc_id", "__row"], 64).alias("b")).count().collect()
+    assert max(r["count"] for r in per_bucket) <= 2 * 20_000 / 64
+
+
 def test_sharding(spark, docs, rows, nothing):
     got = sharding.shard_documents(docs).collect()
     assert len(got) == len(rows)
