@@ -53,7 +53,36 @@ BOILERPLATE_WORDS = frozenset(
     "replies footer header masthead breadcrumb breadcrumbs widget widgets toolbar pagination pager search "
     "complementary contentinfo navigation disclaimer copyright form alert".split()
 )
-KEEP_TAGS = frozenset({"html", "body", "article", "main", "h1", "h2", "h3", "h4", "h5", "h6", "p"})
+# Words for the head of a part: inside the main part they name its own title.
+HEAD_WORDS = frozenset({"header", "masthead"})
+KEEP_TAGS = frozenset({"html", "body", "main", "h1"})
+# Elements of running text: boilerplate only if every word of an attribute says so.
+TEXT_TAGS = frozenset({"article", "p", "h2", "h3", "h4", "h5", "h6"})
+# Start tags before which HTML lets an open <p> end.
+ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
+    "h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split()
+)
+# Elements whose end tag may be left out, by kind: the start tags that end one,
+# and the elements through which no start tag ends one.
+OPEN_KINDS = ("p", "li", "dt", "cell", "row")
+KIND = {"p": "p", "li": "li", "dt": "dt", "dd": "dt", "td": "cell", "th": "cell", "tr": "row"}
+ENDED_BY = {
+    **{name: ("p",) for name in ENDS_P},
+    "li": ("p", "li"),
+    "dt": ("p", "dt"),
+    "dd": ("p", "dt"),
+    "td": ("cell",),
+    "th": ("cell",),
+    "tr": ("cell", "row"),
+    **{name: ("cell", "row") for name in ("tbody", "thead", "tfoot")},
+}
+BARRIERS = {
+    "li": frozenset("ul ol menu table td th".split()),
+    "dt": frozenset("dl table td th".split()),
+    "cell": frozenset({"table"}),
+    "row": frozenset({"table"}),
+}
 
 WORD_KINDS = ("plain", "link", "boilerplate")
 
@@ -96,41 +125,68 @@ class Weights:
 
 def is_boilerplate(name: str, tag: str, in_main: bool) -> bool:
     """Whether an element is boilerplate by its name or by the words of its
-    class, id or role."""
+    class, id or role.  The head of the main part belongs to it; elements of
+    running text must be named as boilerplate by all words of an attribute."""
     if name in BOILERPLATE_TAGS or (name == "header" and not in_main):
         return True
     if name in KEEP_TAGS or "=" not in tag:
         return False
+    listed = BOILERPLATE_WORDS - HEAD_WORDS if in_main else BOILERPLATE_WORDS
     for m in ATTRIBUTE.finditer(tag):
-        value = (m[2] or m[3] or m[4] or "").lower()
-        if not BOILERPLATE_WORDS.isdisjoint(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value))):
+        value = re.sub(r"([a-z])([A-Z])", r"\1 \2", m[2] or m[3] or m[4] or "").lower()
+        found = {w for w in re.split(r"[^a-z]+", value) if w}
+        if found and (found <= listed if name in TEXT_TAGS else not listed.isdisjoint(found)):
             return True
     return False
 
 
+@dataclass(slots=True)
+class Open:
+    """An element that is not closed yet, and for each of ``OPEN_KINDS`` the
+    depth of the element of that kind that a start tag here may end (0: none)."""
+
+    name: str
+    element: int
+    boiler: bool
+    in_main: bool
+    ends: tuple[int, ...]
+
+
+def ends_inside(name: str, outer: tuple[int, ...], depth: int) -> tuple[int, ...]:
+    """``Open.ends`` of an element ``name`` at ``depth`` within one with
+    ``outer``.  A block hides an open <p>, and lists and tables their items."""
+    if name in INLINE:
+        return outer
+    own = KIND.get(name)
+    return tuple(
+        depth if kind == own else 0 if kind == "p" or name in BARRIERS[kind] else at
+        for kind, at in zip(OPEN_KINDS, outer, strict=True)
+    )
+
+
 def segments(page: str) -> tuple[list[Segment], Elements]:
-    """The page's texts and tags in order, and its elements.  Time and memory
-    are linear in the page, however deep its elements nest."""
+    """The page's texts and tags in order, and its elements.  Paragraphs, list
+    items and table cells whose end tags are left out end where HTML says so.
+    Time and memory are linear in the page, however deep its elements nest."""
     out: list[Segment] = []
     elements = Elements()
-    # Name, element, and whether it lies in boilerplate and in the main part.
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]
+    stack = [Open("", 0, False, False, (0,) * len(OPEN_KINDS))]
     opened: Counter[str] = Counter()
 
     def text(raw: str) -> None:
         if raw and not raw.isspace():
             decoded = html_lib.unescape(raw) if "&" in raw else raw
-            _, element, boiler, in_main = stack[-1]
-            kind = "boilerplate" if boiler else "link" if opened["a"] else "plain"
-            out.append(Segment(decoded, len(decoded.split()), kind, main=in_main, element=element))
+            top = stack[-1]
+            kind = "boilerplate" if top.boiler else "link" if opened["a"] else "plain"
+            out.append(Segment(decoded, len(decoded.split()), kind, main=top.in_main, element=top.element))
         elif raw:
             out.append(Segment(" ", 0))
 
     def close() -> str:
-        name, element, *_ = stack.pop()
-        elements.last[element] = len(elements.names) - 1
-        opened[name] -= 1
-        return name
+        top = stack.pop()
+        elements.last[top.element] = len(elements.names) - 1
+        opened[top.name] -= 1
+        return top.name
 
     at = 0
     for m in TOKEN.finditer(page):
@@ -144,14 +200,20 @@ def segments(page: str) -> tuple[list[Segment], Elements]:
             continue
         name = named[2].lower()
         out.append(Segment(tag=name, opens=not named[1]))
+        if not named[1]:
+            for kind in ENDED_BY.get(name, ()):
+                depth = stack[-1].ends[OPEN_KINDS.index(kind)]
+                while depth and len(stack) > depth:
+                    close()
         if name in VOID or m[0].endswith("/>"):
             continue
         if not named[1]:
-            _, parent, boiler, in_main = stack[-1]
-            boiler = is_boilerplate(name, m[0], in_main) or boiler
-            stack.append((name, len(elements.names), boiler, in_main or name in MAIN))
+            top = stack[-1]
+            boiler = is_boilerplate(name, m[0], top.in_main) or top.boiler
+            ends = ends_inside(name, top.ends, len(stack))
+            stack.append(Open(name, len(elements.names), boiler, top.in_main or (name in MAIN and not boiler), ends))
             elements.names.append(name)
-            elements.parents.append(parent)
+            elements.parents.append(top.element)
             elements.last.append(0)
             opened[name] += 1
         elif opened[name]:

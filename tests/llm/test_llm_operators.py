@@ -403,6 +403,40 @@ graph with <b>bold</b> &eacute; words.<p>Second paragraph goes on and on.<aside>
 with many words in it</p></section><form><p>Subscribe to us</p></form><footer>&copy; 2024</footer></body></html>"""
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<article><div class="article-header"><h1>Title</h1></div><p>body text<p class="comment">mine</article>', "Title\nbody text"),
+        ('<div class="header">Site</div><article><p>one two three</article>', "one two three"),
+        ('<article><p>one<div class="ad"><p>x</div><p>two<ul><li class="ad">buy<li>item</ul><p>three</article>', "one\ntwo\nitem\nthree"),
+        ('<article><p class="promo">sale<p class="comment-free intro">keep <b>this<p>last</article>', "keep this\nlast"),
+        ('<table><tr><td class="ad">a<td>keep these words<tr><td>b c d</table>', "keep these words\nb c d"),
+        ('<dl><dt class="ad">a<dd>keep these words<dt>b c d</dl>', "keep these words\nb c d"),
+        ('<ul><li class="ad">a<ul><li>b</ul>c<li>keep these words</ul>', "keep these words"),
+        ('<main><article><p>the text itself</article><article class="comment"><p>I say so</article></main>', "the text itself"),
+    ],
+)
+def test_elements_without_end_tags_and_named_boilerplate(page, text):
+    assert html_extract.main_text(page, html_extract.Weights(other_tag=-0.05)) == text
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<ul>" + "<li>a b c" * 30_000, "<p><div>" + "<b>" * 20_000 + "<hr>w " * 20_000, "<p>" + "<b>" * 20_000 + "<div>a</div>" * 20_000],
+)
+def test_implied_end_tags_take_linear_time(page):
+    import time
+
+    start = time.process_time()
+    html_extract.main_text(page, html_extract.Weights())
+    assert time.process_time() - start < 5
+
+
+def test_article_without_article_element():
+    named = re.sub(r"<(/?)article>", r"<\1div>", PAGE)
+    assert html_extract.main_text(named, html_extract.fit_weights([PAGE])) == html_extract.main_text(PAGE, html_extract.fit_weights([PAGE]))
+
+
 def test_pages_of_unclosed_tags_take_linear_memory():
     import tracemalloc
 
