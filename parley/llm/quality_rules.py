@@ -5,17 +5,23 @@ that holds.  On a sample each rule's cost (seconds) and selectivity (rejected
 rows) are measured, and the rules are put in order of rejections per second,
 so that most rejected documents leave after cheap rules.  The order changes
 the work, never the verdict.
+
+Where only the verdict counts (``keep_documents``) the base is part of the
+cascade and every rule computes its own statistics, so a document rejected by a
+cheap rule is never searched for repeated windows.
 """
 
 from __future__ import annotations
 
+import statistics
 import time
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.llm.common import WORD, let, words
+from parley.llm.common import WORD, let, words, written
 
 WINDOW = 5
 
@@ -103,39 +109,78 @@ def with_word_statistics(df: DataFrame, id_col: str, text_col: str) -> DataFrame
     )
 
 
-def base_failed() -> Column:
+def base_rules(s: Mapping[str, Column]) -> list[Rule]:
     """Too short, or more than a fifth of the words in repeated windows."""
-    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return [
+        Rule("short", s["n_words"] < 10),
+        Rule("repeated_words", 100 * s["n_repeat_words"] > 20 * s["n_words"]),
+    ]
 
 
-def default_rules() -> list[Rule]:
-    """Rules over ``with_word_statistics``; all ratios are exact integer
-    comparisons."""
-    text = F.col("text")
-    letters = F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))
-    capitals = F.length(F.regexp_replace(text, r"[^\p{Lu}]+", ""))
-    digits = F.length(F.regexp_replace(text, r"[^0-9]+", ""))
+def style_rules(s: Mapping[str, Column]) -> list[Rule]:
+    """The other rules; all ratios are exact integer comparisons."""
+    letters = F.length(F.regexp_replace(s["text"], r"[^\p{L}]+", ""))
+    capitals = F.length(F.regexp_replace(s["text"], r"[^\p{Lu}]+", ""))
+    digits = F.length(F.regexp_replace(s["text"], r"[^0-9]+", ""))
     return [
-        Rule("symbols", 10 * F.col("n_symbols") > F.col("n_words")),
+        Rule("symbols", 10 * s["n_symbols"] > s["n_words"]),
         Rule("capitals", 10 * capitals > 3 * letters),
-        Rule("digits", 2 * digits > F.col("word_chars")),
-        Rule("word_length", (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 20 * F.col("n_words"))),
-        Rule("repeated_lines", (F.col("n_dup_lines") >= 10) & (2 * F.col("n_dup_lines") > F.col("n_lines"))),
+        Rule("digits", 2 * digits > s["word_chars"]),
+        Rule("word_length", (s["word_chars"] < 2 * s["n_words"]) | (s["word_chars"] > 20 * s["n_words"])),
+        Rule("repeated_lines", (s["n_dup_lines"] >= 10) & (2 * s["n_dup_lines"] > s["n_lines"])),
     ]
 
 
+def statistic_columns() -> dict[str, Column]:
+    """The columns of ``with_word_statistics`` by name."""
+    names = ("text", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+    return {name: F.col(name) for name in names}
+
+
+def lazy_statistics(ws: Column, text: Column) -> dict[str, Column]:
+    """The same statistics as expressions over a document's words and text,
+    each computed where a rule asks for it."""
+    lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(WORD))
+    return {
+        "text": text,
+        "n_words": F.size(ws),
+        "word_chars": F.length(F.concat_ws("", ws)),
+        "n_symbols": F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")),
+        "n_lines": F.size(lines),
+        "n_dup_lines": let(lines, lambda ls: F.size(ls) - F.size(F.array_distinct(ls))),
+        "n_repeat_words": repeat_words(ws),
+    }
+
+
+def base_failed() -> Column:
+    """Whether one of the base rules rejects."""
+    short, repeated = base_rules(statistic_columns())
+    return short.rejects | repeated.rejects
+
+
+def default_rules() -> list[Rule]:
+    """The style rules over ``with_word_statistics``."""
+    return style_rules(statistic_columns())
+
+
+def all_rules(ws: Column, text: Column) -> list[Rule]:
+    """Base and style rules over a document's words and text."""
+    s = lazy_statistics(ws, text)
+    return base_rules(s) + style_rules(s)
+
+
 def measure_rules(sample: DataFrame, rules: list[Rule], repeat: int = 20) -> list[tuple[Rule, float, float]]:
     """(rule, seconds, share rejected) of each rule on ``sample``, whose rows
     are repeated so that the time of a job's start does not drown the rule's."""
     rows = sample.withColumn("__again", F.explode(F.sequence(F.lit(1), F.lit(repeat)))).drop("__again")
 
     def run(condition: Column) -> tuple[float, float]:
-        best, share = float("inf"), 0.0
-        for _ in range(2):
+        taken, share = [], 0.0
+        for _ in range(3):
             began = time.perf_counter()
             share = rows.agg(F.avg(F.when(condition, 1.0).otherwise(0.0)).alias("r")).first()["r"] or 0.0
-            best = min(best, time.perf_counter() - began)
-        return best, share
+            taken.append(time.perf_counter() - began)
+        return statistics.median(taken), share
 
     floor, _ = run(F.lit(False))
     out = []
@@ -152,9 +197,9 @@ def order_rules(sample: DataFrame, rules: list[Rule]) -> list[Rule]:
 
 
 def bounded_sample(df: DataFrame, rows: int) -> DataFrame:
-    """At most ``rows`` rows of the first partitions as a local relation.  It
-    only decides the order of the rules."""
-    return df.sparkSession.createDataFrame(df.limit(rows).collect(), df.schema)
+    """At most ``rows`` rows of the first partitions, written, so that rules are
+    timed on stored rows.  It only decides the order of the rules."""
+    return written(df.limit(rows), "rule-sample")
 
 
 def rejecting_rule(rules: list[Rule]) -> Column:
@@ -174,21 +219,32 @@ def quality_cascade(df: DataFrame, rules: list[Rule], sample: DataFrame | None =
 
 def ordered_default_rules(docs: DataFrame, id_col: str, text_col: str, sample_rows: int) -> list[Rule]:
     """The default rules in cascade order."""
-    texts = docs.select(F.col(id_col), F.col(text_col)).where(F.col(text_col).isNotNull())
-    return order_rules(with_word_statistics(bounded_sample(texts, sample_rows), id_col, text_col), default_rules())
+    texts = docs.select(F.col(id_col), F.col(text_col)).where(F.col(text_col).isNotNull()).limit(sample_rows)
+    return order_rules(bounded_sample(with_word_statistics(texts, id_col, text_col), sample_rows), default_rules())
+
+
+def order_of_all_rules(docs: DataFrame, text_col: str, sample_rows: int) -> list[str]:
+    """Names of base and style rules in cascade order, each timed with the
+    statistics that it needs."""
+    texts = docs.select(F.col(text_col).alias("text")).where(F.col(text_col).isNotNull()).limit(sample_rows)
+    sample = bounded_sample(texts.select(words(F.col("text")).alias("ws"), "text"), sample_rows)
+    return [rule.name for rule in order_rules(sample, all_rules(F.col("ws"), F.col("text")))]
 
 
 def keep_documents(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 256
 ) -> DataFrame:
     """The documents that pass the base and all rules, with all their columns."""
-    rules = ordered_default_rules(docs, id_col, text_col, sample_rows)
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(text_col).alias("text"))
-    rows = with_word_statistics(packed, "doc", "text")
-    kept = ~base_failed() & rejecting_rule(rules).isNull()
-    # A generator, not a filter: filters are moved below the projections and
-    # would compute the statistics again.
-    return rows.select(F.inline(F.when(kept, F.array("doc"))))
+    order = order_of_all_rules(docs, text_col, sample_rows)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+
+    def verdict(ws: Column) -> Column:
+        return rejecting_rule(sorted(all_rules(ws, text), key=lambda rule: order.index(rule.name)))
+
+    kept = let(words(F.col(text_col)), verdict).isNull()
+    # A generator, not a filter: a filter would be moved and split.
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(F.inline(F.when(kept, F.array(doc))))
 
 
 def quality_rules(

@@ -88,6 +88,17 @@ def test_quality_rules(docs, rows, nothing):
     assert back.columns == docs.columns and {r["doc_id"] for r in back.collect()} == kept
 
 
+def test_cascade_over_all_statistics(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    kept = {r["doc_id"] for r in quality_rules.quality_rules(table).where("kept").collect()}
+    back = quality_rules.keep_documents(table)
+    assert back.schema.simpleString() == table.schema.simpleString() and {r["doc_id"] for r in back.collect()} == kept
+    # A rule behind one that rejects is not evaluated.
+    stop = F.raise_error(F.lit("evaluated")).cast("boolean")
+    rules = [quality_rules.Rule("first", F.col("id") >= 0), quality_rules.Rule("later", stop)]
+    assert spark.range(5).select(quality_rules.rejecting_rule(rules).alias("r")).where("r = 'first'").count() == 5
+
+
 def test_rule_order_is_rejections_per_cost(spark):
     df = spark.range(100).withColumn("text", F.lit("x"))
     rules = [quality_rules.Rule("none", F.lit(False)), quality_rules.Rule("most", F.col("id") < 90)]
