@@ -197,9 +197,10 @@ def order_rules(sample: DataFrame, rules: list[Rule]) -> list[Rule]:
 
 
 def bounded_sample(df: DataFrame, rows: int) -> DataFrame:
-    """At most ``rows`` rows of the first partitions, written, so that rules are
-    timed on stored rows.  It only decides the order of the rules."""
-    return written(df.limit(rows), "rule-sample")
+    """At most ``rows`` rows of the first partitions, read by a few tasks and
+    written, so that rules are timed on stored rows.  It only decides the order
+    of the rules."""
+    return written(df.sparkSession.createDataFrame(df.limit(rows).collect(), df.schema), "rule-sample")
 
 
 def rejecting_rule(rules: list[Rule]) -> Column:
@@ -219,15 +220,16 @@ def quality_cascade(df: DataFrame, rules: list[Rule], sample: DataFrame | None =
 
 def ordered_default_rules(docs: DataFrame, id_col: str, text_col: str, sample_rows: int) -> list[Rule]:
     """The default rules in cascade order."""
-    texts = docs.select(F.col(id_col), F.col(text_col)).where(F.col(text_col).isNotNull()).limit(sample_rows)
-    return order_rules(bounded_sample(with_word_statistics(texts, id_col, text_col), sample_rows), default_rules())
+    texts = docs.select(F.col(id_col), F.col(text_col)).where(F.col(text_col).isNotNull())
+    sample = written(with_word_statistics(bounded_sample(texts, sample_rows), id_col, text_col), "rule-statistics")
+    return order_rules(sample, default_rules())
 
 
 def order_of_all_rules(docs: DataFrame, text_col: str, sample_rows: int) -> list[str]:
     """Names of base and style rules in cascade order, each timed with the
     statistics that it needs."""
-    texts = docs.select(F.col(text_col).alias("text")).where(F.col(text_col).isNotNull()).limit(sample_rows)
-    sample = bounded_sample(texts.select(words(F.col("text")).alias("ws"), "text"), sample_rows)
+    texts = docs.select(F.col(text_col).alias("text")).where(F.col(text_col).isNotNull())
+    sample = written(bounded_sample(texts, sample_rows).select(words(F.col("text")).alias("ws"), "text"), "rule-words")
     return [rule.name for rule in order_rules(sample, all_rules(F.col("ws"), F.col("text")))]
 
 
