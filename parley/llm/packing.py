@@ -147,31 +147,44 @@ def search_bins(
         used += times
     best_used = used
 
-    # Depth first; a stack entry is a partial packing with its untried fillings.
+    # Depth first.  The counts of the partial packing are kept once: a stack
+    # entry has the run that led to it, which is undone when the entry is left,
+    # so the driver's memory grows with the fillings and not with a histogram
+    # for each level.
     def options(counts, lengths):
         return iter(undominated_fillings(room_counts(counts, lengths), lengths, capacity - lengths[0], keep, nodes))
 
-    stack = [(start, order, 0, 0, options(start, order))] if order else []
+    counts = dict(start)
+    stack = [(0, 0, options(counts, order))] if order else []
     runs: list[Run] = []
+
+    def undo() -> None:
+        filling, times = runs.pop()
+        for length, k in filling:
+            counts[length] += k * times
+
     while stack and best_used > bound and branches > 0:
-        counts, lengths, used, wasted, untried = stack[-1]
+        used, wasted, untried = stack[-1]
         waste, filling = next(untried, (0, None))
         if filling is None:
             stack.pop()
             if runs:
-                runs.pop()
+                undo()
             continue
         branches -= 1
+        lengths = [length for length in order if counts[length]]
         filling = with_largest(counts, lengths, filling)
-        after, remaining, times = step(counts, lengths, filling)
-        if remaining and wasted + waste * times > (best_used - 1) * capacity - total:
-            continue
-        if not remaining:
-            if used + times < best_used:
-                best, best_used = [*runs, (filling, times)], used + times
-            continue
+        times = min(counts[length] // k for length, k in filling)
         runs.append((filling, times))
-        stack.append((after, remaining, used + times, wasted + waste * times, options(after, remaining)))
+        for length, k in filling:
+            counts[length] -= k * times
+        remaining = [length for length in lengths if counts[length]]
+        if remaining and wasted + waste * times <= (best_used - 1) * capacity - total:
+            stack.append((used + times, wasted + waste * times, options(counts, remaining)))
+            continue
+        if not remaining and used + times < best_used:
+            best, best_used = list(runs), used + times
+        undo()
     return best, "bound" if best_used <= bound else "budget" if stack else "searched"
 
 

@@ -2,7 +2,10 @@
 NULLs, empty and long texts, ties, repeated rows and clashing columns."""
 
 import collections
+import contextlib
+import io
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -310,6 +313,24 @@ def test_ngram_join_counts_every_link(spark, monkeypatch, docs, rows, nothing):
     assert collections.Counter(map(tuple, got)) == components(items)
 
 
+def test_plans_of_the_components_stay_short(spark, monkeypatch):
+    # A path of 40 classes takes several rounds of stars; each is planned alone.
+    plans = []
+
+    def explained(df, name):
+        with contextlib.redirect_stdout(io.StringIO()) as plan:
+            df.explain()
+        plans.append(plan.getvalue().count("Exchange"))
+        return written(df, name)
+
+    written = ngram_join.written
+    monkeypatch.setattr(ngram_join, "written", explained)
+    links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101)], "a long, b long")
+    roots = {r["class"]: r["root"] for r in ngram_join.connected_roots(links).collect()}
+    assert roots == {**{k: 0 for k in range(41)}, 100: 100, 101: 100}
+    assert max(plans) <= 6
+
+
 def test_one_row_per_component_stays(spark):
     a, b, c, d = (phrase(70 + i, 80) for i in range(4))
     items = [(5, a), (None, a + " tail"), (None, b), (None, None), (None, ""),  # only the second is left out
@@ -376,6 +397,23 @@ def test_bin_completion_tells_how_it_ended():
     assert packing.search_bins({}, 10) == ([], "bound")
 
 
+def test_bin_search_keeps_one_histogram():
+    # 2,048 lengths: a histogram for each level of the search took 200 MB.
+    histogram = {length: 1 + length * 37 % 91 for length in range(1, 2049)}
+    tracemalloc.start()
+    try:
+        bins = packing.complete_bins(histogram, 2048)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    packed = collections.Counter()
+    for filling, times in bins:
+        assert sum(length * k for length, k in filling) <= 2048
+        packed.update({length: k * times for length, k in filling})
+    assert packed == histogram
+    assert peak < 20_000_000
+
+
 def test_token_files(docs, rows, nothing, tokenizer):
     got = token_stream.token_files_round_trip(docs, length=64).collect()
     assert collections.Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got) == collections.Counter(
