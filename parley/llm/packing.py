@@ -233,7 +233,8 @@ def token_pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int, tok
                      pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                     names=fields.names,
                 )
-        hand_back_memory()
+                del ids, offsets, crc
+            hand_back_memory()
 
     return rows.mapInArrow(cut, fields)
 

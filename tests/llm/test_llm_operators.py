@@ -4,7 +4,10 @@ NULLs, empty and long texts, ties, repeated rows and clashing columns."""
 import collections
 import contextlib
 import io
+import os
 import re
+import subprocess
+import sys
 import tracemalloc
 import zlib
 
@@ -430,6 +433,24 @@ def test_token_files(docs, rows, nothing, tokenizer):
     assert token_stream.token_files_round_trip(nothing).collect() == []
 
 
+def test_encoder_starts_no_threads():
+    # Each worker had a thread for each core of the machine, with memory of its own.
+    code = """
+import os
+import pyarrow as pa
+from parley.llm import tokens
+encoder = tokens.WordEncoder(tokens.default_tokenizer())
+texts = pa.array([" ".join(f"word{i}x{j}" for j in range(200)) for i in range(20)])
+before = len(os.listdir("/proc/self/task"))
+encoder.encode(texts, 0)
+print(len(os.listdir("/proc/self/task")) - before)
+"""
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, env=env, capture_output=True, text=True, check=True)
+    assert int(out.stdout) == 0
+
+
 def test_sequences_are_random_access(tmp_path):
     path = str(tmp_path / "t.arrow")
     ids = np.arange(100_003, dtype=np.uint32) % 50_000
