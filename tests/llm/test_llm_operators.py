@@ -334,6 +334,75 @@ def test_plans_of_the_components_stay_short(spark, monkeypatch):
     assert max(plans) <= 6
 
 
+def exchanges(df):
+    """The exchanges of a plan that are not reused ones."""
+    with contextlib.redirect_stdout(io.StringIO()) as plan:
+        df.explain()
+    return len(re.findall(r"(?<!Reused)(?<!Broadcast)Exchange (?:hash|range|Single)", plan.getvalue()))
+
+
+def union_find(edges):
+    root = {v: v for edge in edges for v in edge}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {v: find(v) for v in root}
+
+
+def test_components_take_few_exchanges(spark, monkeypatch):
+    # Each exchange costs a task per partition however few the edges are.
+    rng = np.random.default_rng(11)
+    hub = [(int(v), 5000) for v in rng.integers(0, 400, 300)] + [(-7, int(v)) for v in rng.integers(400, 700, 300)]
+    loose = [(int(a), int(b)) for a, b in rng.integers(1000, 1400, (320, 2)) if a != b]
+    path = [(k, k + 1) for k in range(2000, 2040)]
+    edges = [(min(e), max(e)) for e in hub + loose + path + [(9000, 9001), (9000, 9001)]]
+    rng.shuffle(edges)
+    links = spark.createDataFrame([(int(a), int(b)) for a, b in edges], "a long, b long").repartition(7)
+    plans = []
+    written = ngram_join.written
+    monkeypatch.setattr(ngram_join, "written", lambda df, name: plans.append(exchanges(df)) or written(df, name))
+    got = ngram_join.connected_roots(written(links, "edges")).collect()
+    assert len(got) == len({r["class"] for r in got})
+    assert {r["class"]: r["root"] for r in got} == union_find(edges)
+    assert max(plans) <= 3 and sum(plans) <= 15
+
+
+def test_no_edges_have_no_components(spark):
+    assert ngram_join.connected_roots(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_stars_of_a_task_connect_what_its_edges_do(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "STAR_EDGES", 50)
+    rng = np.random.default_rng(12)
+    for n, ids in [(1, 2), (40, 60), (200, 50)]:
+        edges = [(int(a), int(b)) for a, b in rng.integers(-ids, ids, (n, 2))]
+        want = union_find(edges)
+        low, high = (np.array(x, np.int64) for x in zip(*edges, strict=True))
+        got = list(zip(*[x.tolist() for x in ngram_join.stars(low, high)], strict=True))
+        assert sorted(got) == sorted((r, v) for v, r in want.items() if r != v)
+    cut = ngram_join.starred(spark.createDataFrame(edges, "a long, b long").coalesce(1)).collect()
+    assert {v: r for v, r in union_find([tuple(r) for r in cut]).items() if r != v} == {v: r for v, r in want.items() if r != v}
+
+
+def test_star_pairs_take_an_exchange_for_all_orders(spark):
+    rng = np.random.default_rng(13)
+    rows = [(int(c), int(n), float(n) / 3, int(column), int(n), int(c) % 9)
+            for c, n, column in zip(rng.integers(0, 500, 900), rng.integers(50, 90, 900), rng.integers(0, 5, 900), strict=True)]
+    rows = {(r[0], r[3]): r for r in rows}.values()
+    prefix = spark.createDataFrame(list(rows), "class long, n long, centre double, column long, left long, root long")
+    orders = [-F.col("centre"), F.col("n")]
+    both = ngram_join.star_pairs(prefix, orders)
+    assert exchanges(both) <= 5
+    each = [tuple(r) for order in orders for r in ngram_join.star_pairs(prefix, [order]).collect()]
+    assert sorted(map(tuple, both.collect())) == sorted(set(each)) != []
+
+
 def test_one_row_per_component_stays(spark):
     a, b, c, d = (phrase(70 + i, 80) for i in range(4))
     items = [(5, a), (None, a + " tail"), (None, b), (None, None), (None, ""),  # only the second is left out
